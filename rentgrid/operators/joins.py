@@ -1,0 +1,17 @@
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def null_safe_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Equi-join on same-named keys where NULL equals NULL; keys appear once."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(renamed, condition, how).drop(*(f"_right_{k}" for k in keys))
