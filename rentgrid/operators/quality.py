@@ -1,4 +1,4 @@
-"""Checks as one-row DataFrames ``(check, n_bad)``; ``report`` adds ``ok``.
+"""Checks as one-row DataFrames ``(check_name, n_bad)``; ``report`` adds ``ok``.
 
 Building a check runs nothing. ``enforce`` runs a report, and what it brings to
 the driver is the failed rows only, never more than the number of checks.
@@ -20,14 +20,14 @@ class QualityError(RuntimeError):
 
 
 def _check(name: str, df: DataFrame, bad: Column) -> DataFrame:
-    return df.agg(bad.cast("bigint").alias("n_bad")).select(F.lit(name).alias("check"), "n_bad")
+    return df.agg(bad.cast("bigint").alias("n_bad")).select(F.lit(name).alias("check_name"), "n_bad")
 
 
 def _checks(df: DataFrame, bad: Mapping[str, Column]) -> DataFrame:
     """Several checks of one table in a single pass."""
     named = {f"c{i}": item for i, item in enumerate(bad.items())}
     rows = F.array(
-        *(F.struct(F.lit(n).alias("check"), F.col(c).alias("n_bad")) for c, (n, _) in named.items())
+        *(F.struct(F.lit(n).alias("check_name"), F.col(c).alias("n_bad")) for c, (n, _) in named.items())
     )
     return df.agg(*(b.cast("bigint").alias(c) for c, (_, b) in named.items())).select(F.inline(rows))
 
@@ -178,9 +178,9 @@ def report(*checks: DataFrame) -> DataFrame:
 
 
 def enforce(checks: DataFrame, tolerated: Iterable[str] = ()) -> None:
-    failed = checks.where(~F.col("ok") & ~F.col("check").isin(list(tolerated))).collect()
+    failed = checks.where(~F.col("ok") & ~F.col("check_name").isin(list(tolerated))).collect()
     if failed:
-        raise QualityError(", ".join(f"{row['check']}={row['n_bad']}" for row in failed))
+        raise QualityError(", ".join(f"{name}={n}" for name, n, _ in failed))
 
 
 # --- reports that show figures rather than pass or fail ------------------------
@@ -225,28 +225,60 @@ def fact_tail_by_source(fact: DataFrame) -> DataFrame:
     )
 
 
-def fact_with_staging(fact: DataFrame, staged: DataFrame) -> DataFrame:
-    """Join on (fuente, id): ids are unique inside one source only."""
-    return fact.select("fuente", "id", "precio_uf_oficial").join(
-        staged.select("fuente", "id", "precio_uf", "tipo_propiedad", "tipo_operacion"),
-        ["fuente", "id"],
-    )
-
+def indexed_price_gap(fact: DataFrame, staged: DataFrame) -> DataFrame:
+    """Mean gap in percent between the native and the official indexed price.
 
-def indexed_price_gap(joined: DataFrame) -> DataFrame:
-    """Mean gap in percent between the native and the official indexed price."""
-    gap = F.try_divide(
-        F.col("precio_uf") - F.col("precio_uf_oficial"), F.col("precio_uf_oficial")
+    The mean runs over all (fact, staging) pairs with the same (fuente, id). The
+    pairs are never formed: both sides are summed per key first, and
+    ``sum(s / f - 1) = sum(s) * sum(1 / f) - pairs``.
+    """
+    key = ["fuente", "id"]
+    official = F.nullif(F.col("precio_uf_oficial"), F.lit(0.0))
+    of_fact = fact.groupBy(*key).agg(
+        F.sum(F.lit(1.0) / official).alias("_inverse"), F.count(official).alias("_nf")
     )
+    of_staging = staged.groupBy(*key).agg(
+        F.sum("precio_uf").alias("_native"), F.count("precio_uf").alias("_ns")
+    )
+    pairs = F.col("_nf") * F.col("_ns")
     return (
-        joined.where(F.col("precio_uf").isNotNull())
+        of_fact.where("_nf > 0")
+        .join(of_staging.where("_ns > 0"), key)
         .groupBy("fuente")
-        .agg(F.round(F.avg(gap * 100), 2).alias("diff_pct_promedio"))
+        .agg(
+            F.round(
+                F.sum(F.col("_native") * F.col("_inverse") - pairs) / F.sum(pairs) * 100, 2
+            ).alias("diff_pct_promedio")
+        )
     )
 
 
-def constant_dimensions(joined: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return joined.groupBy(*columns).agg(F.count("*").alias("n"))
+def constant_dimensions(
+    fact: DataFrame, staged: DataFrame, columns: Sequence[str]
+) -> DataFrame:
+    """(fact, staging) pairs with the same (fuente, id), per value of ``columns``."""
+    key = ["fuente", "id"]
+    of_fact = fact.groupBy(*key).agg(F.count("*").alias("_nf"))
+    of_staging = staged.groupBy(*key, *columns).agg(F.count("*").alias("_ns"))
+    return (
+        of_staging.join(of_fact, key)
+        .groupBy(*columns)
+        .agg(F.sum(F.col("_nf") * F.col("_ns")).alias("n"))
+    )
+
+
+def outliers_absent(usable: DataFrame, thresholds: DataFrame, fact: DataFrame) -> DataFrame:
+    """Listings beyond their source's threshold, and how many of them the fact has."""
+    key = ["fuente", "id", "precio_clp", "superficie_m2", "fecha_publicacion", "fecha_scraping"]
+    beyond = (
+        usable.join(thresholds, "fuente")
+        .where(F.col("precio_clp_por_m2") > F.col("umbral"))
+        .select(*key)
+    )
+    in_fact = beyond.join(fact.select(*key), key, "left_semi")
+    return beyond.agg(F.count("*").alias("n"), F.lit(0).cast("bigint").alias("k")).unionByName(
+        in_fact.agg(F.lit(0).cast("bigint").alias("n"), F.count("*").alias("k"))
+    ).agg(F.sum("n").alias("n_atipicos"), F.sum("k").alias("n_en_hechos"))
 
 
 def layer_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -52,8 +52,11 @@ class RunTables:
         self.views[namespace, name] = parts
 
     def publish(self) -> None:
+        for namespace in {namespace for namespace, _ in [*self.written, *self.views]}:
+            self.spark.sql(
+                f"CREATE DATABASE IF NOT EXISTS `{namespace}` LOCATION '{self.root}/{namespace}'"
+            )
         for (namespace, name), (path, table) in self.written.items():
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`")
             self.spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")
             self.spark.catalog.createTable(
                 f"`{namespace}`.`{name}`", path=path, source="parquet", schema=table.schema
