@@ -52,21 +52,24 @@ class Listings:
         return Workspace(self.spark)
 
     def _placed_items(self, status: str) -> DataFrame:
-        """Line items with their supplier's place; the join is sized by Spark."""
-        places = (
-            self.table("supplier")
-            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select("s_suppkey", "n_name", "r_name")
-        )
+        """Line items with their supplier's place.
+
+        One lookup after the other, each sized by Spark from its own file: small
+        tables are broadcast, and a large supplier table costs one shuffle, where a
+        hot supplier is split at run time.
+        """
         items = self.table("lineitem").where(F.col("l_linestatus") == status)
-        placed = items.join(places, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        placed = (
+            items.join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
+            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        )
         copies = F.when(F.col("l_partkey") % 100 == 0, 2).otherwise(1)
         return placed.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
 
     def _raw(self, status: str, prefix: str, source: str, area: str, **money: Column) -> DataFrame:
         upper = status == "O"
-        name = F.concat(F.lit(" "), F.regexp_replace("n_name", "_", "  "), F.lit(" "))
+        name = F.concat(F.lit(" "), F.replace("n_name", F.lit("_"), F.lit("  ")), F.lit(" "))
         captured = F.col("l_shipdate").cast("date")
         published = F.date_sub(captured, F.col("l_linenumber") * 7)
         even = F.col("l_partkey") % 2 == 0

@@ -18,7 +18,7 @@ from ..operators.quantiles import approx_quantiles
 from ..plans.marts import below_threshold, ratio_thresholds, usable_listings
 from ..plans.pipeline import run
 from ..sources.csv_tree import (
-    missing_periods, period_of_path, list_files, scan_csv_tree, with_source_file, write_csv_tree,
+    list_files, missing_periods, period_of_path, scan_csv_tree, with_source_file, write_csv_tree,
 )
 from ..sources.rates import flatten_payloads, typed_rates, write_rate_csv
 from ..sources.tables import loaded_row_count, overwrite_folder
@@ -607,7 +607,7 @@ def approx_quantiles_rank(x: Listings) -> DataFrame:
 
 @query(FREQUENCIES)
 def value_frequencies(x: Listings) -> DataFrame:
-    return q.union_all(pf.value_counts(x.raw_alpha, c, keep_null=True) for c in CATEGORIES)
+    return pf.value_counts_of(x.raw_alpha, CATEGORIES)
 
 
 @query("SELECT 'divisa' AS columna, divisa AS valor, count(*) AS n FROM raw_alpha "

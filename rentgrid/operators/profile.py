@@ -183,42 +183,68 @@ def head(df: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def value_counts_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Frequencies of several columns, NULL included, from one scan."""
+    pairs = F.array(
+        *(
+            F.struct(F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor"))
+            for c in columns
+        )
+    )
+    return (
+        df.select(F.inline(pairs)).groupBy("columna", "valor").agg(F.count("*").alias("n"))
+    )
+
+
 def source_profile(
     df: DataFrame, columns: Sequence[str], numbers: Sequence[str], categories: Sequence[str],
     dates: Sequence[str], stripped: str, key: str = "id",
 ) -> DataFrame:
-    """The single profiles of one source in long format: (metrica, columna, valor, n)."""
+    """The profiles of one source in long format: (metrica, columna, valor, n).
 
-    def long(part: DataFrame, metric: str, n: str, column: Column, value: Column | None = None):
-        value = F.lit(None) if value is None else value
-        return part.select(
-            F.lit(metric).alias("metrica"), column.cast("string").alias("columna"),
-            value.cast("string").alias("valor"), F.col(n).cast("bigint").alias("n"),
-        )
+    Everything that is a plain count over the rows shares one scan, and so do the
+    frequencies of all categories; only copies, keys and distinct values add theirs.
+    """
 
-    stripped_counts = strip_profile(df, stripped)
-    keys = duplicate_key_count(df, key)
+    def rows(source: DataFrame, entries: Sequence[tuple[str, str | None, Column]]) -> DataFrame:
+        structs = [
+            F.struct(
+                F.lit(metric).alias("metrica"), F.lit(column).cast("string").alias("columna"),
+                F.lit(None).cast("string").alias("valor"), n.cast("bigint").alias("n"),
+            )
+            for metric, column, n in entries
+        ]
+        return source.select(F.inline(F.array(*structs)))
+
+    counted = [("nulos", c, F.count_if(F.col(c).isNull())) for c in columns]
+    counted += [("no_positivos", c, F.count_if(number(c) <= 0)) for c in numbers]
+    counted += [("sin_parsear", c, F.count_if(day(c).isNull())) for c in dates]
+    counted.append(
+        (
+            "publicacion_posterior", "fecha_publicacion",
+            F.count_if(day("fecha_publicacion") > day("fecha_scraping")),
+        )
+    )
+    plain = df.agg(*(n.alias(f"n{i}") for i, (_, _, n) in enumerate(counted)))
+    values = strip_profile(df, stripped)
     parts = [
-        long(null_profile(df, columns), "nulos", "n_nulos", F.col("columna")),
-        long(exact_duplicate_count(df, columns), "copias", "n_duplicados", F.lit(None)),
-        long(keys, "id_repetido", "diferencia", F.lit(key)),
-        long(
-            key_collisions(df, key, [c for c in columns if c != key]),
-            "max_distintos", "max_distintos", F.col("columna"),
+        rows(plain, [(m, c, F.col(f"n{i}")) for i, (m, c, _) in enumerate(counted)]),
+        rows(exact_duplicate_count(df, columns), [("copias", None, F.col("n_duplicados"))]),
+        rows(duplicate_key_count(df, key), [("id_repetido", key, F.col("diferencia"))]),
+        key_collisions(df, key, [c for c in columns if c != key]).select(
+            F.lit("max_distintos").alias("metrica"), "columna",
+            F.lit(None).cast("string").alias("valor"), F.col("max_distintos").alias("n"),
         ),
-        long(nonpositive_counts(df, numbers), "no_positivos", "n_no_positivos", F.col("columna")),
-        long(date_profile(df, dates), "sin_parsear", "n_sin_parsear", F.col("columna")),
-        long(
-            published_after_capture(df), "publicacion_posterior", "n_inconsistentes",
-            F.lit("fecha_publicacion"),
+        rows(
+            values,
+            [
+                ("unicos", stripped, F.col("n_unicos")),
+                ("con_espacios", stripped, F.col("n_con_espacios")),
+                ("unicos_sin_espacios", stripped, F.col("n_unicos_sin_espacios")),
+            ],
         ),
-        long(stripped_counts, "unicos", "n_unicos", F.col("columna")),
-        long(stripped_counts, "con_espacios", "n_con_espacios", F.col("columna")),
-        long(stripped_counts, "unicos_sin_espacios", "n_unicos_sin_espacios", F.col("columna")),
+        value_counts_of(df, categories).select(F.lit("frecuencia").alias("metrica"), "*"),
     ]
-    for c in categories:
-        counted = value_counts(df, c, keep_null=True)
-        parts.append(long(counted, "frecuencia", "n", F.col("columna"), F.col("valor")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
