@@ -36,7 +36,7 @@ def _owner():
 def price_by_month(fact: DataFrame) -> DataFrame:
     rows = _dated(fact)
     basic = rows.groupBy("_mes").agg(
-        F.count("*").alias("n_avisos"), F.round(F.avg("precio_clp"), 2).alias("precio_promedio")
+        F.count("*").alias("n_avisos"), F.avg("precio_clp").alias("precio_promedio")
     )
     median = exact_quantiles(rows, ["_mes"], "precio_clp", {"precio_mediano": 0.5})
     return null_safe_join(basic, median, ["_mes"], "left").select(

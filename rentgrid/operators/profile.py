@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import trimmed
 from ..sources.workspace import Workspace
-from .joins import null_safe_join
 from .quantiles import exact_quantiles
 
 
@@ -75,19 +74,17 @@ def key_collisions(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame
 
 def describe_numeric(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """count, mean, std, min, quartiles, max; exact quartiles, per group or overall."""
-    rows = df.select(*by, number(value).alias("_v")) if by else df.select(
-        F.lit("todo").alias("grupo"), number(value).alias("_v")
-    )
-    by = list(by) or ["grupo"]
+    rows = df.select(*by, number(value).alias("_v"))
     basic = rows.groupBy(*by).agg(
         F.count("_v").alias("n"), F.avg("_v").alias("media"),
         F.stddev_samp("_v").alias("desviacion"), F.min("_v").alias("minimo"),
         F.max("_v").alias("maximo"),
     )
     quartiles = exact_quantiles(rows, by, "_v", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    return null_safe_join(basic, quartiles, by, "left").select(
-        *by, "n", "media", "desviacion", "minimo", "q25", "q50", "q75", "maximo"
-    )
+    figures = ["n", "media", "desviacion", "minimo", "q25", "q50", "q75", "maximo"]
+    # both sides have one row per group, so a group-by puts them together, NULL keys too
+    together = basic.unionByName(quartiles, allowMissingColumns=True)
+    return together.groupBy(*by).agg(*(F.max(c).alias(c) for c in figures))
 
 
 def nonpositive_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -170,8 +167,13 @@ def rows_per_file(df: DataFrame, file_column: str = "archivo_origen") -> DataFra
 
 
 def id_overlap(first: DataFrame, second: DataFrame, key: str = "id") -> DataFrame:
-    """How many key values the two sources share."""
-    return first.select(key).intersect(second.select(key)).agg(F.count("*").alias("n_compartidos"))
+    """How many key values the two sources share.
+
+    Each side is made distinct first: repeats combine before the shuffle, and the
+    join then finds both sides partitioned already.
+    """
+    shared = first.select(key).distinct().join(second.select(key).distinct(), key, "left_semi")
+    return shared.agg(F.count("*").alias("n_compartidos"))
 
 
 def id_prefixes(df: DataFrame, key: str = "id", length: int = 3) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import PipelineConfig
 from ..operators import quality as q
 from ..sources.csv_tree import file_inventory, scan_csv_tree
-from ..sources.rates import typed_rates
+from ..sources.rates import rate_series, read_payloads, typed_rates, write_rate_csv
 from ..sources.tables import RunTables
 from ..sources.workspace import Workspace
 from .marts import build_calendar_dim, build_fact, build_place_dim
@@ -86,6 +86,19 @@ def build_layers(
     return Layers(raw_first, raw_second, rates, first, second, listings, places, calendar, fact)
 
 
+def land_rate_series(
+    spark: SparkSession, payload_folder: str, csv_folder: str, years: tuple[int, ...],
+    tolerated: frozenset[str] = frozenset(),
+) -> DataFrame:
+    """Landed yearly payloads -> one checked series, sorted by day, as raw CSV."""
+    payloads = read_payloads(spark, payload_folder)
+    q.enforce(q.report(q.payload_quality(payloads)), tolerated)
+    series = rate_series(payloads)
+    q.enforce(q.report(q.year_coverage_check(typed_rates(series), years)), tolerated)
+    write_rate_csv(series, csv_folder)
+    return series
+
+
 def run(spark: SparkSession, config: PipelineConfig) -> Layers:
     """CSV trees below ``raw_root`` -> published tables of all three layers."""
     folders = {s.name: f"{config.raw_root}/{s.name}" for s in (config.first, config.second)}

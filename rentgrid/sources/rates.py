@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import date_from_iso_prefix
@@ -10,6 +10,16 @@ from ..functions import date_from_iso_prefix
 PAYLOAD_SCHEMA = "serie array<struct<fecha:string,valor:double>>"
 
 
+def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed JSON files, one payload (one year of days) per file."""
+    return (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.json")
+        .text(folder, wholetext=True)
+        .withColumnRenamed("value", "payload")
+    )
+
+
 def parse_payloads(payloads: DataFrame, column: str = "payload") -> DataFrame:
     """One row per payload with its ``serie`` (NULL when the key is missing)."""
     return payloads.select(F.from_json(F.col(column), PAYLOAD_SCHEMA)["serie"].alias("serie"))

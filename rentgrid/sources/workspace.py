@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -22,9 +23,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="rentgrid-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="rentgrid-")
+    return _local_folders[application]
 
 
 class Workspace:

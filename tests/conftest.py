@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -16,6 +17,7 @@ def session():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="rentgrid-warehouse-"))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
@@ -24,8 +26,7 @@ def session():
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     spark = session()
-    spark.conf.set("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
     yield spark
     spark.stop()
