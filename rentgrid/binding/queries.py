@@ -149,7 +149,7 @@ def usable_listings_fact(x: Listings) -> DataFrame:
 
 
 @query("""
-    SELECT fuente, round(umbral, 4) AS umbral, count(*) AS n_con_razon,
+    SELECT fuente, round(umbral, 6) AS umbral, count(*) AS n_con_razon,
            count(*) FILTER (WHERE m2 > umbral) AS n_sobre
     FROM (SELECT fuente, precio_clp_por_m2 AS m2,
                  quantile_cont(precio_clp_por_m2, 0.99) OVER (PARTITION BY fuente) AS umbral
@@ -165,7 +165,7 @@ def percentile_threshold_window(x: Listings) -> DataFrame:
             F.count(ratio).alias("n_con_razon"),
             F.count_if(ratio > F.col("umbral")).alias("n_sobre"),
         )
-        .withColumn("umbral", F.round("umbral", 4))
+        .withColumn("umbral", F.round("umbral", 6))
     )
 
 
@@ -551,14 +551,14 @@ def nonpositive_counts(x: Listings) -> DataFrame:
 
 
 @query("""
-    SELECT divisa, round(p, 4) AS umbral, max(precio) AS maximo,
+    SELECT divisa, round(p, 6) AS umbral, max(precio) AS maximo,
            count(*) FILTER (WHERE precio > p) AS n_sobre_umbral
     FROM raw_alpha JOIN (SELECT divisa, quantile_cont(precio, 0.995) AS p
                          FROM raw_alpha WHERE divisa IS NOT NULL GROUP BY divisa) USING (divisa)
     GROUP BY divisa, p""")
 def tail_quantiles(x: Listings) -> DataFrame:
     tails = pf.tail_report(x.raw_alpha, "precio", "divisa", 0.995, x.workspace)
-    return tails.withColumn("umbral", F.round("umbral", 4))
+    return tails.withColumn("umbral", F.round("umbral", 6))
 
 
 @query("SELECT count(*) FILTER (WHERE precio_uf IS NULL AND precio_clp IS NOT NULL) "
