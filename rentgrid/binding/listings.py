@@ -14,10 +14,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ListingRules, dual_price_source, single_price_source
-from ..plans.marts import build_fact, build_place_dim, calendar_spanning
+from ..plans.marts import (
+    build_fact,
+    build_place_dim,
+    calendar_spanning,
+    ratio_thresholds,
+    usable_listings,
+)
 from ..plans.staging import stage_dual_price, stage_single_price, unify_sources
+from ..plans.together import together
 from ..sources.rates import typed_rates
-from ..sources.workspace import Workspace
+from ..sources.workspace import Workspace, workspace_of
 
 ALPHA = single_price_source("alpha")
 BETA = dual_price_source("beta")
@@ -43,13 +50,16 @@ class Listings:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
-    @cached_property
+    @property
     def workspace(self) -> Workspace:
-        return Workspace(self.spark)
+        return workspace_of(self.spark)
 
     def _placed_items(self, status: str) -> DataFrame:
         """Line items with their supplier's place.
@@ -133,6 +143,15 @@ class Listings:
 
     # --- layers ----------------------------------------------------------------
 
+    @cached_property
+    def alpha_raw(self) -> DataFrame:
+        """The raw table of ``alpha``: what profiles read again and again."""
+        return self.workspace.keep(self.raw_alpha, "raw_alpha")
+
+    @cached_property
+    def beta_raw(self) -> DataFrame:
+        return self.workspace.keep(self.raw_beta, "raw_beta")
+
     @cached_property
     def rates(self) -> DataFrame:
         return self.workspace.keep(typed_rates(self.raw_rates), "rates")
@@ -148,7 +167,8 @@ class Listings:
 
     @cached_property
     def listings(self) -> DataFrame:
-        return unify_sources(self.alpha, self.beta)
+        self.rates  # both sources share it
+        return unify_sources(*together(lambda: self.alpha, lambda: self.beta))
 
     @cached_property
     def places(self) -> DataFrame:
@@ -159,14 +179,19 @@ class Listings:
         days = calendar_spanning(self.listings, "fecha_publicacion", "fecha_scraping")
         return self.workspace.keep(days, "dim_calendario")
 
+    @cached_property
+    def thresholds(self) -> DataFrame:
+        limits = ratio_thresholds(usable_listings(self.listings), RULES.tail_quantile)
+        return self.workspace.keep(limits, "umbral")
+
     @cached_property
     def fact(self) -> DataFrame:
-        return self.workspace.keep(
-            build_fact(
-                self.listings, self.places, self.rates, self.workspace, RULES.tail_quantile
-            ),
-            "fct_arriendos",
+        self.listings  # the three below share it
+        places, thresholds, _ = together(
+            lambda: self.places, lambda: self.thresholds, lambda: self.calendar
         )
+        fact = build_fact(self.listings, thresholds, places, self.rates)
+        return self.workspace.keep(fact, "fct_arriendos")
 
 
 INPUT_TABLES = ("lineitem", "orders", "supplier", "nation", "region")

@@ -62,7 +62,7 @@ def both(x: Listings, fn: Callable[[DataFrame, str, str], DataFrame]) -> DataFra
     parts = [
         fn(raw, area, name).withColumn("fuente", F.lit(name))
         for raw, area, name in (
-            (x.raw_alpha, ALPHA.area, "alpha"), (x.raw_beta, BETA.area, "beta"),
+            (x.alpha_raw, ALPHA.area, "alpha"), (x.beta_raw, BETA.area, "beta"),
         )
     ]
     return parts[0].unionByName(parts[1])
@@ -104,7 +104,7 @@ def staging_union(x: Listings) -> DataFrame:
                lambda w: upper(w[1:1]) || w[2:]), ' ') AS comuna FROM raw_both) l
     GROUP BY l.comuna""")
 def title_case_places(x: Listings) -> DataFrame:
-    raw = x.raw_alpha.select("comuna").unionByName(x.raw_beta.select("comuna"))
+    raw = x.alpha_raw.select("comuna").unionByName(x.beta_raw.select("comuna"))
     return raw.groupBy(title_case_words("comuna").alias("comuna")).agg(
         F.count("*").alias("n"), F.count_distinct(F.col("comuna")).alias("n_formas")
     )
@@ -117,8 +117,8 @@ def title_case_places(x: Listings) -> DataFrame:
     WHERE upper(trim(tipo_propiedad)) = 'DEPARTAMENTO' AND upper(trim(tipo_operacion)) = 'ARRIENDO'
     GROUP BY fuente""")
 def canonical_categories(x: Listings) -> DataFrame:
-    raw = x.raw_alpha.select("fuente", "tipo_propiedad", "tipo_operacion").unionByName(
-        x.raw_beta.select("fuente", "tipo_propiedad", "tipo_operacion")
+    raw = x.alpha_raw.select("fuente", "tipo_propiedad", "tipo_operacion").unionByName(
+        x.beta_raw.select("fuente", "tipo_propiedad", "tipo_operacion")
     )
     return (
         raw.withColumn("_forma", F.col("tipo_propiedad"))
@@ -181,7 +181,7 @@ def raw_tree(x: Listings) -> str:
     """Raw CSV trees of the binding, one folder per source and month; written once."""
     if "_tree" not in x.__dict__:
         root = x.workspace.path("raw")
-        for raw, name in ((x.raw_alpha, "alpha"), (x.raw_beta, "beta")):
+        for raw, name in ((x.alpha_raw, "alpha"), (x.beta_raw, "beta")):
             month = F.substring("fecha_scraping", 1, 7)
             write_csv_tree(raw.withColumn("periodo", month), f"{root}/{name}", "periodo")
         write_rate_csv(x.raw_rates, f"{root}/uf")
@@ -214,8 +214,8 @@ def rows_per_file(x: Listings) -> DataFrame:
 @query("SELECT 'raw_beta' AS tabla, count(*) AS n, count(*) AS n_otra_vez FROM raw_beta")
 def overwrite_idempotent(x: Listings) -> DataFrame:
     path = x.workspace.path("overwrite")
-    first = loaded_row_count(overwrite_folder(x.raw_beta, path))
-    again = overwrite_folder(x.raw_beta, path)
+    first = loaded_row_count(overwrite_folder(x.beta_raw, path))
+    again = overwrite_folder(x.beta_raw, path)
     return again.agg(F.count("*").alias("n_otra_vez")).select(
         F.lit("raw_beta").alias("tabla"), F.lit(first).cast("bigint").alias("n"), "n_otra_vez"
     )
@@ -321,7 +321,7 @@ def pipeline_checks(x: Listings) -> DataFrame:
         q.fact_not_larger(x.fact, x.listings),
         q.no_null_prices(x.fact),
         q.sentinel_consistency(x.listings),
-        q.dedup_conservation(x.raw_alpha, x.alpha),
+        q.dedup_conservation(x.alpha_raw, x.alpha),
         q.dimension_key_unique(x.places, "comuna_id"),
         q.rate_date_unique(x.rates),
         q.one_region_per_place(x.listings),
@@ -375,9 +375,7 @@ def fact_tail_by_source(x: Listings) -> DataFrame:
                AND f.fecha_publicacion = u.fecha_publicacion)) AS n_en_hechos
     FROM usable u JOIN limits USING (fuente) WHERE u.precio_clp_por_m2 > umbral""")
 def outliers_absent(x: Listings) -> DataFrame:
-    usable = usable_listings(x.listings)
-    limits = x.workspace.keep(ratio_thresholds(usable, RULES.tail_quantile), "umbral")
-    return q.outliers_absent(usable, limits, x.fact)
+    return q.outliers_absent(usable_listings(x.listings), x.thresholds, x.fact)
 
 
 @query("""
@@ -478,10 +476,8 @@ NONPOSITIVE = " UNION ALL ".join(
     UNION ALL SELECT 'unicos_sin_espacios', columna, NULL, n_unicos_sin_espacios FROM ({STRIPPED})
     UNION ALL SELECT 'frecuencia', columna, valor, n FROM ({FREQUENCIES})""")
 def source_profile(x: Listings) -> DataFrame:
-    # written once: the profiles read it many times
-    raw = x.workspace.keep(x.raw_alpha, "raw_alpha")
     return pf.source_profile(
-        raw, ALPHA.columns, ["precio", "superficie_m2"], CATEGORIES,
+        x.alpha_raw, ALPHA.columns, ["precio", "superficie_m2"], CATEGORIES,
         ["fecha_publicacion", "fecha_scraping"], "comuna",
     )
 
@@ -490,7 +486,7 @@ def source_profile(x: Listings) -> DataFrame:
     SELECT id, precio, superficie_m2, fecha_scraping FROM raw_alpha
     ORDER BY id, precio, superficie_m2, fecha_scraping LIMIT 3""")
 def head_sample(x: Listings) -> DataFrame:
-    typed = x.raw_alpha.select(
+    typed = x.alpha_raw.select(
         "id", pf.number("precio").alias("precio"),
         pf.number("superficie_m2").alias("superficie_m2"),
         pf.day("fecha_scraping").alias("fecha_scraping"),
@@ -500,22 +496,22 @@ def head_sample(x: Listings) -> DataFrame:
 
 @query(NULLS)
 def null_profile(x: Listings) -> DataFrame:
-    return pf.null_profile(x.raw_alpha, ALPHA.columns)
+    return pf.null_profile(x.alpha_raw, ALPHA.columns)
 
 
 @query(DUPLICATES)
 def exact_duplicates(x: Listings) -> DataFrame:
-    return pf.exact_duplicate_count(x.raw_alpha, ALPHA.columns)
+    return pf.exact_duplicate_count(x.alpha_raw, ALPHA.columns)
 
 
 @query(KEYS)
 def duplicate_keys(x: Listings) -> DataFrame:
-    return pf.duplicate_key_count(x.raw_alpha, "id")
+    return pf.duplicate_key_count(x.alpha_raw, "id")
 
 
 @query(COLLISIONS)
 def key_collisions(x: Listings) -> DataFrame:
-    return pf.key_collisions(x.raw_alpha, "id", [c for c in ALPHA.columns if c != "id"])
+    return pf.key_collisions(x.alpha_raw, "id", [c for c in ALPHA.columns if c != "id"])
 
 
 @query("""
@@ -525,7 +521,7 @@ def key_collisions(x: Listings) -> DataFrame:
            round(quantile_cont(precio, 0.75), 4) AS q75, max(precio) AS maximo
     FROM raw_alpha GROUP BY divisa""")
 def numeric_describe(x: Listings) -> DataFrame:
-    return _rounded(pf.describe_numeric(x.raw_alpha, "precio", ["divisa"]))
+    return _rounded(pf.describe_numeric(x.alpha_raw, "precio", ["divisa"]))
 
 
 @query("""
@@ -536,7 +532,7 @@ def numeric_describe(x: Listings) -> DataFrame:
            round(quantile_cont(precio_uf, 0.75), 4) AS q75, max(precio_uf) AS maximo
     FROM raw_beta""")
 def numeric_describe_overall(x: Listings) -> DataFrame:
-    return _rounded(pf.describe_numeric(x.raw_beta, "precio_uf"))
+    return _rounded(pf.describe_numeric(x.beta_raw, "precio_uf"))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -547,7 +543,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query(NONPOSITIVE)
 def nonpositive_counts(x: Listings) -> DataFrame:
-    return pf.nonpositive_counts(x.raw_alpha, ["precio", "superficie_m2"])
+    return pf.nonpositive_counts(x.alpha_raw, ["precio", "superficie_m2"])
 
 
 @query("""
@@ -557,14 +553,14 @@ def nonpositive_counts(x: Listings) -> DataFrame:
                          FROM raw_alpha WHERE divisa IS NOT NULL GROUP BY divisa) USING (divisa)
     GROUP BY divisa, p""")
 def tail_quantiles(x: Listings) -> DataFrame:
-    tails = pf.tail_report(x.raw_alpha, "precio", "divisa", 0.995, x.workspace)
+    tails = pf.tail_report(x.alpha_raw, "precio", "divisa", 0.995, x.workspace)
     return tails.withColumn("umbral", F.round("umbral", 6))
 
 
 @query("SELECT count(*) FILTER (WHERE precio_uf IS NULL AND precio_clp IS NOT NULL) "
        "AS n_sin_precio_indexado FROM raw_beta")
 def indexed_price_missing(x: Listings) -> DataFrame:
-    return pf.indexed_price_missing(x.raw_beta, "precio_uf", "precio_clp")
+    return pf.indexed_price_missing(x.beta_raw, "precio_uf", "precio_clp")
 
 
 QUANTILES = {"p95": 0.95, "p99": 0.99}
@@ -608,23 +604,23 @@ def approx_quantiles_rank(x: Listings) -> DataFrame:
 
 @query(FREQUENCIES)
 def value_frequencies(x: Listings) -> DataFrame:
-    return pf.value_counts_of(x.raw_alpha, CATEGORIES)
+    return pf.value_counts_of(x.alpha_raw, CATEGORIES)
 
 
 @query("SELECT 'divisa' AS columna, divisa AS valor, count(*) AS n FROM raw_alpha "
        "WHERE divisa IS NOT NULL GROUP BY divisa")
 def currency_frequencies(x: Listings) -> DataFrame:
-    return pf.value_counts(x.raw_alpha, "divisa")
+    return pf.value_counts(x.alpha_raw, "divisa")
 
 
 @query(STRIPPED)
 def strip_profile(x: Listings) -> DataFrame:
-    return pf.strip_profile(x.raw_alpha, "comuna")
+    return pf.strip_profile(x.alpha_raw, "comuna")
 
 
 @query(DATES)
 def date_profile(x: Listings) -> DataFrame:
-    return pf.date_profile(x.raw_alpha, ["fecha_publicacion", "fecha_scraping"])
+    return pf.date_profile(x.alpha_raw, ["fecha_publicacion", "fecha_scraping"])
 
 
 @query("""
@@ -633,7 +629,7 @@ def date_profile(x: Listings) -> DataFrame:
 def source_id_overlap(x: Listings) -> DataFrame:
     """Without their prefixes the ids of the two sources do overlap."""
     bare = F.expr("substring(id, 4)").alias("id")
-    return pf.id_overlap(x.raw_alpha.select(bare), x.raw_beta.select(bare))
+    return pf.id_overlap(x.alpha_raw.select(bare), x.beta_raw.select(bare))
 
 
 @query("SELECT fuente, left(id, 3) AS prefijo, count(*) AS n FROM raw_both GROUP BY 1, 2")
@@ -750,7 +746,7 @@ def segment_gap(x: Listings) -> DataFrame:
       ORDER BY precio / superficie_m2 DESC, id, fecha_scraping, superficie_m2 LIMIT 40)
     GROUP BY superficie""")
 def top_ratio_listings(x: Listings) -> DataFrame:
-    indexed = x.raw_alpha.where(F.col("divisa") == "UF")
+    indexed = x.alpha_raw.where(F.col("divisa") == "UF")
     top = an.top_by_ratio(indexed, "precio", ALPHA.area, 40, ["id", "fecha_scraping"])
     return an.area_distribution(top)
 
@@ -760,7 +756,7 @@ def top_ratio_listings(x: Listings) -> DataFrame:
     FROM raw_beta ORDER BY precio_clp DESC, id, fecha_scraping, superficie_total_m2 LIMIT 5""")
 def top_price_listings(x: Listings) -> DataFrame:
     top = an.top_by_price(
-        x.raw_beta, "precio_clp", ["id", "precio_clp", BETA.area, "fecha_scraping"], 5,
+        x.beta_raw, "precio_clp", ["id", "precio_clp", BETA.area, "fecha_scraping"], 5,
         ["id", "fecha_scraping", pf.number(BETA.area)],
     )
     return top.select(

@@ -5,16 +5,17 @@ buffer and a percentile window sorts a whole group in one task. With two listing
 sources either one stops working long before 100 TB. Here the rank is found by
 counting instead:
 
-1. rows collapse to (group, value, n), combined before the shuffle, so a value
-   that a third of the rows share is one record per map task;
-2. a histogram over a fixed, monotone log scale tells which bucket holds the rank;
-3. only the values of those buckets are cut again, into equal steps, and only the
-   values of the step that holds the rank are ordered.
-
-The number of histogram rows per group has a fixed bound whatever the data
-(the scale covers all doubles in ``2 * 709 * LOG_STEPS`` steps), and a last step
-holds few representable doubles. No row is dropped or sampled: the result equals
-``percentile`` on the same rows.
+1. a histogram over a fixed, monotone log scale tells which bucket holds the rank.
+   Rows combine to bucket counts inside each map task, so next to nothing is
+   shuffled, and a value that a third of the rows share costs no more than another;
+2. the rows of those buckets alone collapse to (value, n), are cut into equal steps
+   of their bucket, and only the values of the step that holds the rank are ordered.
+
+The buckets of step 1 are written as a table of a few rows per group, so the join
+that picks the rows of step 2 is sized by Spark from that file. The number of
+histogram rows per group has a fixed bound whatever the data (the scale covers all
+doubles in ``2 * 710 * LOG_STEPS`` steps). No row is dropped or sampled: the result
+equals ``percentile`` on the same rows, at the price of reading them twice.
 """
 
 from __future__ import annotations
@@ -24,7 +25,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LOG_STEPS = 1024
+from ..sources.workspace import workspace_of
+
+LOG_STEPS = 256
 SUB_STEPS = 65_536
 
 
@@ -37,92 +40,95 @@ def exact_quantiles(
     """One row per group: ``keys`` plus one double per entry of ``quantiles``.
 
     NULL values are ignored; a group with no value at all has no row. NULL keys
-    form a group of their own, as in ``groupBy``.
+    form a group of their own, as in ``groupBy``. ``df`` is read twice, so it
+    should be a table, not a long lineage; the first reading happens at the call.
     """
+    spark = df.sparkSession
     value = F.col(value) if isinstance(value, str) else value
     group = [f"k{i}" for i in range(max(1, len(keys)))]
     key_columns = [F.col(k) for k in keys] or [F.lit(0)]
-    source = df.select(
-        *(c.alias(g) for c, g in zip(key_columns, group)), value.cast("double").alias("v")
+    v = F.col("v")
+    rows = (
+        df.select(
+            *(c.alias(g) for c, g in zip(key_columns, group)), value.cast("double").alias("v")
+        )
+        .where(v.isNotNull())
+        .withColumn("b", F.floor(F.signum(v) * F.log1p(F.abs(v)) * F.lit(float(LOG_STEPS))))
     )
     k = ", ".join(group)
     same_group = " AND ".join(f"l.{g} <=> r.{g}" for g in group)
+    running = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    has_rank = "exists(t, x -> x.r >= upto - n AND x.r < upto)"
+    own_ranks = "filter(t, x -> x.r >= upto - n AND x.r < upto)"
     wanted = ", ".join(
         f"struct({i} AS i, {float(p)!r}D * (total - 1) AS pos, {side} AS upper, "
         f"{rounding}({float(p)!r}D * (total - 1)) AS r)"
         for i, p in enumerate(quantiles.values())
         for side, rounding in (("false", "floor"), ("true", "ceil"))
     )
+    coarse = spark.sql(
+        f"""
+        WITH buckets AS (
+          SELECT {k}, b, min(v) AS lo, max(v) AS hi, count(*) AS n
+          FROM {{rows}} GROUP BY {k}, b
+        ),
+        ranks AS (
+          SELECT *, sum(n) OVER (PARTITION BY {k} ORDER BY b {running}) AS upto,
+                 sum(n) OVER (PARTITION BY {k}) AS total
+          FROM buckets
+        )
+        SELECT {k}, b, lo, hi, upto - n AS base, {own_ranks} AS t
+        FROM (SELECT *, array({wanted}) AS t FROM ranks) WHERE {has_rank}
+        """,
+        rows=rows,
+    )
+    coarse = workspace_of(spark).keep(coarse, "buckets")
+
     picks = ", ".join(
         f"max(CASE WHEN i = {i} AND NOT upper THEN v END) AS lo{i}, "
         f"max(CASE WHEN i = {i} AND upper THEN v END) AS hi{i}, "
         f"max(CASE WHEN i = {i} THEN pos END) AS pos{i}"
         for i in range(len(quantiles))
     )
-    names = ", ".join(
+    named = [f"{g} AS `{key}`" for g, key in zip(group, keys)] + [
         f"CASE WHEN lo{i} = hi{i} THEN lo{i} "
         f"ELSE (ceil(pos{i}) - pos{i}) * lo{i} + (pos{i} - floor(pos{i})) * hi{i} END AS `{name}`"
         for i, name in enumerate(quantiles)
-    )
-    renamed = ", ".join(f"{g} AS `{key}`" for g, key in zip(group, keys))
-    running = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-    inside = "filter(t, x -> x.r >= upto - n AND x.r < upto)"
-
-    # Joins are null-safe throughout: a plain equality would add IS NOT NULL to one
-    # reference of ``counts`` only, and its shuffle could no longer be shared.
-    return df.sparkSession.sql(
+    ]
+    return spark.sql(
         f"""
-        WITH counts AS (
-          SELECT {k}, v, count(*) AS n,
-                 floor(signum(v) * log1p(abs(v)) * {float(LOG_STEPS)}D) AS b
-          FROM {{source}} WHERE v IS NOT NULL GROUP BY {k}, v
-        ),
-        -- coarse level: which log bucket holds each wanted rank
-        log_buckets AS (
-          SELECT {k}, b, min(v) AS lo, max(v) AS hi, sum(n) AS n FROM counts GROUP BY {k}, b
-        ),
-        log_ranks AS (
-          SELECT *, sum(n) OVER (PARTITION BY {k} ORDER BY b {running}) AS upto,
-                 sum(n) OVER (PARTITION BY {k}) AS total
-          FROM log_buckets
-        ),
-        coarse AS (
-          SELECT {k}, b, lo, hi, upto - n AS base, {inside} AS t
-          FROM (SELECT *, array({wanted}) AS t FROM log_ranks)
-          WHERE exists(t, x -> x.r >= upto - n AND x.r < upto)
-        ),
-        -- fine level: equal steps inside those buckets only
-        near AS (
-          SELECT l.*, r.base, r.t,
+        WITH near AS (
+          SELECT {", ".join("l." + g for g in group)}, l.b, l.v,
                  CASE WHEN r.hi > r.lo
                       THEN floor((l.v - r.lo) / (r.hi - r.lo) * {float(SUB_STEPS)}D)
                       ELSE 0L END AS s
-          FROM counts l JOIN coarse r ON {same_group} AND l.b <=> r.b
-        ),
-        steps AS (
-          SELECT {k}, b, s, base, t, sum(n) AS n FROM near GROUP BY {k}, b, s, base, t
+          FROM {{rows}} l JOIN {{coarse}} r ON {same_group} AND l.b <=> r.b
         ),
+        counts AS (SELECT {k}, b, s, v, count(*) AS n FROM near GROUP BY {k}, b, s, v),
+        steps AS (SELECT {k}, b, s, sum(n) AS n FROM counts GROUP BY {k}, b, s),
         step_ranks AS (
-          SELECT *, base + sum(n) OVER (PARTITION BY {k}, b ORDER BY s {running}) AS upto
-          FROM steps
+          SELECT l.*, r.t,
+                 r.base + sum(l.n) OVER (
+                   PARTITION BY {", ".join("l." + g for g in group)}, l.b
+                   ORDER BY l.s {running}) AS upto
+          FROM steps l JOIN {{coarse}} r ON {same_group} AND l.b <=> r.b
         ),
         fine AS (
-          SELECT {k}, b, s, upto - n AS base, {inside} AS t FROM step_ranks
-          WHERE exists(t, x -> x.r >= upto - n AND x.r < upto)
+          SELECT {k}, b, s, upto - n AS base, {own_ranks} AS t FROM step_ranks WHERE {has_rank}
         ),
-        -- order the few values left and pick
         last AS (
-          SELECT l.* EXCEPT (base, t), r.t,
+          SELECT l.*, r.t,
                  r.base + sum(l.n) OVER (
                    PARTITION BY {", ".join("l." + g for g in group)}, l.b, l.s
                    ORDER BY l.v {running}) AS upto
-          FROM near l JOIN fine r ON {same_group} AND l.b <=> r.b AND l.s <=> r.s
+          FROM counts l JOIN fine r ON {same_group} AND l.b <=> r.b AND l.s <=> r.s
         ),
-        picked AS (SELECT {k}, v, inline({inside}) FROM last),
+        picked AS (SELECT {k}, v, inline({own_ranks}) FROM last),
         ends AS (SELECT {k}, {picks} FROM picked GROUP BY {k})
-        SELECT {renamed + ", " if keys else ""}{names} FROM ends
+        SELECT {", ".join(named)} FROM ends
         """,
-        source=source,
+        rows=rows,
+        coarse=coarse,
     )
 
 

@@ -11,7 +11,6 @@ from ..config import AREA_VALID, TAIL_QUANTILE
 from ..functions import is_weekend, iso_weekday, month_name_es, weekday_name_es
 from ..operators.keys import surrogate_key
 from ..operators.quantiles import exact_quantiles
-from ..sources.workspace import Workspace
 
 
 def build_place_dim(staged: DataFrame) -> DataFrame:
@@ -81,21 +80,15 @@ def below_threshold(usable: DataFrame, thresholds: DataFrame) -> DataFrame:
 
 
 def build_fact(
-    staged: DataFrame,
-    places: DataFrame,
-    rates: DataFrame,
-    workspace: Workspace,
-    quantile: float = TAIL_QUANTILE,
+    staged: DataFrame, thresholds: DataFrame, places: DataFrame, rates: DataFrame
 ) -> DataFrame:
-    """The fact. ``staged``, ``places`` and ``rates`` should be written tables.
+    """The fact, from written tables.
 
-    The thresholds are kept first: one row per source, so the joins to them, to
-    the places and to the rates are sized by Spark from files, and the listings
-    are never shuffled by source, place or day.
+    Thresholds (a row per source), places and rates are small tables with a known
+    file size, so Spark's own limit decides whether their joins broadcast; then no
+    listing is shuffled by source, place or day.
     """
-    usable = usable_listings(staged)
-    thresholds = workspace.keep(ratio_thresholds(usable, quantile), "umbral")
-    kept = below_threshold(usable, thresholds)
+    kept = below_threshold(usable_listings(staged), thresholds)
     return (
         kept.join(places.select("comuna_id", "comuna"), "comuna", "left")
         .join(rates, F.col("fecha_scraping") == F.col("fecha_dt"), "left")

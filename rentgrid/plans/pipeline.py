@@ -12,8 +12,15 @@ from ..sources.csv_tree import file_inventory, scan_csv_tree
 from ..sources.rates import rate_series, read_payloads, typed_rates, write_rate_csv
 from ..sources.tables import RunTables
 from ..sources.workspace import Workspace
-from .marts import build_calendar_dim, build_fact, build_place_dim
+from .marts import (
+    build_calendar_dim,
+    build_fact,
+    build_place_dim,
+    ratio_thresholds,
+    usable_listings,
+)
 from .staging import stage_dual_price, stage_single_price, unify_sources
+from .together import together
 
 
 @dataclass(frozen=True)
@@ -42,13 +49,15 @@ def build_layers(
     more would only double the staging layer.
     """
     spark, ns = raw_first.sparkSession, config.namespaces
-    first = tables.write(
-        stage_single_price(raw_first, rates, config.first, config.rules),
-        ns.staging, f"stg_{config.first.name}",
-    )
-    second = tables.write(
-        stage_dual_price(raw_second, config.second, config.rules),
-        ns.staging, f"stg_{config.second.name}",
+    first, second = together(
+        lambda: tables.write(
+            stage_single_price(raw_first, rates, config.first, config.rules),
+            ns.staging, f"stg_{config.first.name}",
+        ),
+        lambda: tables.write(
+            stage_dual_price(raw_second, config.second, config.rules),
+            ns.staging, f"stg_{config.second.name}",
+        ),
     )
     listings = unify_sources(first, second)
     tables.union_view(
@@ -65,13 +74,17 @@ def build_layers(
         ),
         config.tolerated,
     )
-    places = tables.write(build_place_dim(listings), ns.marts, "dim_comuna")
-    calendar = tables.write(
-        build_calendar_dim(spark, *config.calendar), ns.marts, "dim_calendario"
+    places, calendar, thresholds = together(
+        lambda: tables.write(build_place_dim(listings), ns.marts, "dim_comuna"),
+        lambda: tables.write(
+            build_calendar_dim(spark, *config.calendar), ns.marts, "dim_calendario"
+        ),
+        lambda: workspace.keep(
+            ratio_thresholds(usable_listings(listings), config.rules.tail_quantile), "umbral"
+        ),
     )
     fact = tables.write(
-        build_fact(listings, places, rates, workspace, config.rules.tail_quantile),
-        ns.marts, "fct_arriendos",
+        build_fact(listings, thresholds, places, rates), ns.marts, "fct_arriendos"
     )
     q.enforce(
         q.report(
@@ -106,29 +119,24 @@ def run(spark: SparkSession, config: PipelineConfig) -> Layers:
     q.enforce(q.report(q.file_inventory_check(missing)), config.tolerated)
 
     tables, workspace = RunTables(spark, config.warehouse), Workspace(spark)
-    raw = {
-        s.name: tables.write(
-            scan_csv_tree(spark, folders[s.name], s.columns).select(*s.columns),
-            config.namespaces.raw, s.name,
-        )
-        for s in (config.first, config.second)
-    }
-    raw_rates = tables.write(
-        scan_csv_tree(spark, f"{config.raw_root}/{config.rate_name}", ["fecha", "valor"]).select(
-            "fecha", "valor"
-        ),
-        config.namespaces.raw, config.rate_name,
+
+    def load(name: str, columns: list[str]) -> DataFrame:
+        raw = scan_csv_tree(spark, f"{config.raw_root}/{name}", columns)
+        return tables.write(raw.select(*columns), config.namespaces.raw, name)
+
+    raw_first, raw_second, raw_rates = together(
+        lambda: load(config.first.name, config.first.columns),
+        lambda: load(config.second.name, config.second.columns),
+        lambda: load(config.rate_name, ["fecha", "valor"]),
     )
     rates = workspace.keep(typed_rates(raw_rates), "rates")
     q.enforce(
         q.report(
-            q.tables_non_empty({name: df for name, df in raw.items()}),
+            q.tables_non_empty({config.first.name: raw_first, config.second.name: raw_second}),
             q.year_coverage_check(rates, config.expected_years),
         ),
         config.tolerated,
     )
-    layers = build_layers(
-        raw[config.first.name], raw[config.second.name], rates, config, tables, workspace
-    )
+    layers = build_layers(raw_first, raw_second, rates, config, tables, workspace)
     tables.publish()
     return layers

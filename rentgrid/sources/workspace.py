@@ -50,3 +50,14 @@ class Workspace:
         path = self.path(label)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+
+_workspaces: dict[str, Workspace] = {}
+
+
+def workspace_of(spark: SparkSession) -> Workspace:
+    """The application's own workspace."""
+    application = spark.sparkContext.applicationId
+    if application not in _workspaces:
+        _workspaces[application] = Workspace(spark)
+    return _workspaces[application]

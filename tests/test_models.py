@@ -34,7 +34,8 @@ def staged_second(spark, *overrides):
 def fact_of(spark, staged, workspace):
     staged = workspace.keep(staged, "s")
     places = workspace.keep(build_place_dim(staged), "p")
-    return build_fact(staged, places, typed_rates(rates(spark)), workspace)
+    limits = workspace.keep(ratio_thresholds(usable_listings(staged)), "u")
+    return build_fact(staged, limits, places, typed_rates(rates(spark)))
 
 
 def test_schema_is_shared(spark):
