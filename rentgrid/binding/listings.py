@@ -167,7 +167,6 @@ class Listings:
 
     @cached_property
     def listings(self) -> DataFrame:
-        self.rates  # both sources share it
         return unify_sources(*together(lambda: self.alpha, lambda: self.beta))
 
     @cached_property

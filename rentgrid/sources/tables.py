@@ -36,7 +36,8 @@ class RunTables:
 
     def __init__(self, spark: SparkSession, warehouse: str):
         self.spark = spark
-        self.root = f"{warehouse.rstrip('/')}/run-{uuid.uuid4().hex}"
+        self.warehouse = warehouse.rstrip("/")
+        self.root = f"{self.warehouse}/run-{uuid.uuid4().hex}"
         self.written: dict[tuple[str, str], tuple[str, DataFrame]] = {}
         self.views: dict[tuple[str, str], list[str]] = {}
 
@@ -54,7 +55,7 @@ class RunTables:
     def publish(self) -> None:
         for namespace in {namespace for namespace, _ in [*self.written, *self.views]}:
             self.spark.sql(
-                f"CREATE DATABASE IF NOT EXISTS `{namespace}` LOCATION '{self.root}/{namespace}'"
+                f"CREATE DATABASE IF NOT EXISTS `{namespace}` LOCATION '{self.warehouse}/{namespace}'"
             )
         for (namespace, name), (path, table) in self.written.items():
             self.spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")
