@@ -55,21 +55,37 @@ def duplicate_key_count(df: DataFrame, key: str) -> DataFrame:
 def key_collisions(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Most distinct values any repeated key has, per column: 1 means true copies.
 
-    Only rows of repeated keys are compared; the distinct counts are combined on
-    (key, value), so one key with very many rows stays spread out.
+    0 means that no key repeats, or only with NULLs in that column. Only rows of
+    repeated keys are compared. Each cell becomes one narrow (key, column, value) row
+    and repeats combine before the shuffle, so a key with very many rows stays
+    spread out.
     """
     repeated = df.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key)
-    per_key = (
-        df.select(key, *columns)
-        .join(repeated, key, "left_semi")
-        .groupBy(key)
-        .agg(*(F.count_distinct(c).alias(c) for c in columns))
+    cells = df.select(key, *columns).join(repeated, key, "left_semi").select(
+        key, F.inline(_named_values(columns))
     )
-    most = per_key.agg(*(F.max(c).alias(c) for c in columns))
-    rows = F.array(
-        *(F.struct(F.lit(c).alias("columna"), F.col(c).alias("max_distintos")) for c in columns)
+    values = cells.where(F.col("valor").isNotNull()).distinct()
+    most = (
+        values.groupBy(key, "columna")
+        .agg(F.count("*").alias("_n"))
+        .groupBy("columna")
+        .agg(F.max("_n").alias("_n"))
+    )
+    none = df.sparkSession.range(1).select(
+        F.explode(F.array(*map(F.lit, columns))).alias("columna"),
+        F.lit(0).cast("bigint").alias("_n"),
+    )
+    return most.unionByName(none).groupBy("columna").agg(F.max("_n").alias("max_distintos"))
+
+
+def _named_values(columns: Sequence[str]) -> Column:
+    """Each cell of a row as (columna, valor)."""
+    return F.array(
+        *(
+            F.struct(F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor"))
+            for c in columns
+        )
     )
-    return most.select(F.inline(rows))
 
 
 def describe_numeric(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -187,15 +203,8 @@ def head(df: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:
 
 def value_counts_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Frequencies of several columns, NULL included, from one scan."""
-    pairs = F.array(
-        *(
-            F.struct(F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor"))
-            for c in columns
-        )
-    )
-    return (
-        df.select(F.inline(pairs)).groupBy("columna", "valor").agg(F.count("*").alias("n"))
-    )
+    cells = df.select(F.inline(_named_values(columns)))
+    return cells.groupBy("columna", "valor").agg(F.count("*").alias("n"))
 
 
 def source_profile(

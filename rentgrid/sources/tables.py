@@ -58,10 +58,24 @@ class RunTables:
                 f"CREATE DATABASE IF NOT EXISTS `{namespace}` LOCATION '{self.warehouse}/{namespace}'"
             )
         for (namespace, name), (path, table) in self.written.items():
-            self.spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")
-            self.spark.catalog.createTable(
-                f"`{namespace}`.`{name}`", path=path, source="parquet", schema=table.schema
-            )
+            full_name = f"`{namespace}`.`{name}`"
+            if self._same_shape(full_name, table):
+                # one catalog change: readers never find the name gone
+                self.spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{path}'")
+                self.spark.catalog.refreshTable(full_name)
+            else:
+                self.spark.sql(f"DROP TABLE IF EXISTS {full_name}")
+                self.spark.catalog.createTable(
+                    full_name, path=path, source="parquet", schema=table.schema
+                )
         for (namespace, name), parts in self.views.items():
             union = " UNION ALL ".join(f"SELECT * FROM `{namespace}`.`{p}`" for p in parts)
             self.spark.sql(f"CREATE OR REPLACE VIEW `{namespace}`.`{name}` AS {union}")
+
+    def _same_shape(self, full_name: str, table: DataFrame) -> bool:
+        catalog = self.spark.catalog
+        return (
+            catalog.tableExists(full_name)
+            and catalog.getTable(full_name).tableType == "EXTERNAL"
+            and self.spark.table(full_name).dtypes == table.dtypes
+        )

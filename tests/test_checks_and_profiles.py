@@ -89,6 +89,8 @@ def test_copies_keys_and_collisions(spark):
     assert tuple(pf.duplicate_key_count(raw, "id").first()) == (5, 3, 2)
     most = dict(map(tuple, pf.key_collisions(raw, "id", ["precio", "comuna"]).collect()))
     assert most == {"precio": 2, "comuna": 1}
+    alone = pf.key_collisions(first(spark, {}, {"id": "A-2"}), "id", ["precio"])
+    assert list(map(tuple, alone.collect())) == [("precio", 0)]
 
 
 def test_profiles_tolerate_bad_values(spark):
