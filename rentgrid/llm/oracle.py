@@ -34,3 +34,26 @@ r AS (
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(m.c, s.doc_id) AS component_id
 FROM s LEFT JOIN m ON m.id = s.doc_id
 """
+
+LEAKS = f"""
+WITH b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {_words("text", ALNUM)} AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item, least(len(w), 10) AS m, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), d AS (
+  SELECT doc_id, {_words("text", ALNUM)} AS w FROM documents
+), m AS (SELECT DISTINCT m FROM bw),
+dw AS (
+  SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, m WHERE len(w) >= m)
+), h AS (SELECT doc_id, m, i, item FROM dw JOIN bw USING (m, g)),
+k AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+  SELECT doc_id, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT doc_id, m, i FROM h)) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s
+      FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(k.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(t.n, 0) AS BIGINT) AS n_items, sha256(coalesce(t.s, '')) AS items_sha256,
+       coalesce(k.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
