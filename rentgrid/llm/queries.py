@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import oracle
 from .decontaminate import contamination
 from .jaccard_join import near_duplicates
+from .token_files import read_documents, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +35,20 @@ def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(_table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
+END_ID = 2
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return read_documents(write_token_files(docs, tokenizer_path(), END_ID))
+
 
 @query(oracle.LEAKS)
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
