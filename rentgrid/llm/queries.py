@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracle
+from . import oracle, quality_gam
 from .decontaminate import contamination
 from .jaccard_join import near_duplicates
+from .labels import held_out
 from .token_files import read_documents, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,25 @@ def query(sql: str | None = None):
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
+PREDICT_AT = 0.3
+
+
+def _classified(found: DataFrame, out: Column) -> DataFrame:
+    return found.select(
+        "row.doc_id", out.alias("held_out"), "score", (F.col("score") >= PREDICT_AT).cast("int").alias("predicted")
+    )
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality_gam.Gam:
+    return quality_gam.train(docs, labels, learn=lambda c: ~held_out(c, 5, 0))
+
+
+@query()
+def op3_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_model(docs, _table(spark, folder, "labels"))
+    return _classified(quality_gam.score(docs, model, with_text=False), held_out(F.col("row.doc_id"), 5, 0))
+
 
 @query(oracle.JACCARD)
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
