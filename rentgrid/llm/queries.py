@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracle, quality_gam
+from . import oracle, quality_gam, toxicity_fm
 from .decontaminate import contamination
 from .jaccard_join import near_duplicates
 from .labels import held_out
@@ -50,6 +50,13 @@ def op3_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
     return _classified(quality_gam.score(docs, model, with_text=False), held_out(F.col("row.doc_id"), 5, 0))
 
 
+@query()
+def op6_toxicity_fm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity_fm.train(docs, _table(spark, folder, "labels"), learn=lambda c: ~held_out(c, 4, 2))
+    return _classified(toxicity_fm.score(docs, model, with_text=False), held_out(F.col("row.doc_id"), 4, 2))
+
+
 @query(oracle.JACCARD)
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(_table(spark, folder, "documents"))
