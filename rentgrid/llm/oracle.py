@@ -57,3 +57,46 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(k.n, 0) AS BIGIN
        coalesce(k.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN k USING (doc_id) LEFT JOIN t USING (doc_id)
 """
+
+
+def _raked(rounds: int, powers: dict[str, float]) -> str:
+    """The rounds of raking, one block per dimension and round."""
+    blocks, last, k = [], "c0", 0
+    for _ in range(rounds):
+        for d in ("source", "lang", "topic"):
+            k += 1
+            blocks.append(f"""
+c{k} AS MATERIALIZED (
+  SELECT c.source, c.lang, c.topic, c.m, c.f * CASE WHEN s.s > 0 THEN t.t / s.s ELSE 1 END AS f
+  FROM {last} c
+  JOIN (SELECT {d} AS v, sum(m * f) AS s FROM {last} GROUP BY 1) s ON s.v IS NOT DISTINCT FROM c.{d}
+  JOIN t_{d} t ON t.v IS NOT DISTINCT FROM c.{d}
+)""")
+            last = f"c{k}"
+    targets = [
+        f"""
+p_{d} AS (SELECT {d} AS v, pow(CAST(sum(m) AS DOUBLE), {powers.get(d, 1.0)}) AS p FROM c0 GROUP BY 1),
+t_{d} AS MATERIALIZED (
+  SELECT v, p / (SELECT sum(p) FROM p_{d}) * (SELECT CAST(sum(m) AS DOUBLE) FROM c0) AS t FROM p_{d})"""
+        for d in ("source", "lang", "topic")
+    ]
+    return ",".join([*targets, *blocks, f"""
+raked AS (SELECT *, least(1, f / (SELECT max(f) FROM {last} WHERE m > 0)) AS p FROM {last})"""])
+
+
+MIXED = f"""
+WITH sized AS MATERIALIZED (
+  SELECT doc_id, source, lang, CASE
+      WHEN text IS NULL OR text = '' THEN 'empty' WHEN contains(text, ' | ') THEN 'tables'
+      WHEN contains(text, 'http') OR contains(text, '@') THEN 'links' WHEN contains(text, '?') THEN 'questions'
+      WHEN regexp_matches(text, '[0-9]{{4}}') THEN 'figures' WHEN length(text) > 6000 THEN 'long' ELSE 'prose'
+    END AS topic, CAST(len({_words("text", SPACED)}) AS BIGINT) AS n_tokens
+  FROM documents
+), c0 AS MATERIALIZED (
+  SELECT source, lang, topic, CAST(sum(n_tokens) AS BIGINT) AS m, CAST(1 AS DOUBLE) AS f FROM sized GROUP BY ALL
+), {_raked(8, {"source": 0.85})}
+SELECT doc_id, s.source, s.lang, s.topic, n_tokens, round(f, 6) AS factor, round(p, 6) AS probability,
+       CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0 < p AS kept
+FROM sized s JOIN raked r ON r.source IS NOT DISTINCT FROM s.source AND r.lang IS NOT DISTINCT FROM s.lang
+  AND r.topic IS NOT DISTINCT FROM s.topic
+"""

@@ -11,6 +11,7 @@ from . import oracle, quality_gam, toxicity_fm
 from .decontaminate import contamination
 from .jaccard_join import near_duplicates
 from .labels import held_out
+from .raking import DIMENSIONS, mix
 from .token_files import read_documents, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +51,15 @@ def op3_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
     return _classified(quality_gam.score(docs, model, with_text=False), held_out(F.col("row.doc_id"), 5, 0))
 
 
+@query(oracle.MIXED)
+def op5_source_raking(spark: SparkSession, folder: str) -> DataFrame:
+    found = mix(_table(spark, folder, "documents").select("doc_id", "text", "source", "lang"))
+    return found.select(
+        "row.doc_id", *DIMENSIONS, "n_tokens", F.round("factor", 6).alias("factor"),
+        F.round("probability", 6).alias("probability"), "kept",
+    )
+
+
 @query()
 def op6_toxicity_fm(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
