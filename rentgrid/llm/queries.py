@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracle, quality_gam, toxicity_fm
+from . import ngram_trie, oracle, quality_gam, toxicity_fm
 from .decontaminate import contamination
 from .jaccard_join import near_duplicates
 from .labels import held_out
@@ -51,6 +51,16 @@ def op3_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
     return _classified(quality_gam.score(docs, model, with_text=False), held_out(F.col("row.doc_id"), 5, 0))
 
 
+@query()
+def op4_ngram_trie(spark: SparkSession, folder: str) -> DataFrame:
+    out = held_out(F.col("doc_id"), 7, 2)
+    found = ngram_trie.scores(_table(spark, folder, "documents").select("doc_id", "text"), ~out)
+    return found.select(
+        F.col("id").alias("doc_id"), (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score",
+    )
+
+
 @query(oracle.MIXED)
 def op5_source_raking(spark: SparkSession, folder: str) -> DataFrame:
     found = mix(_table(spark, folder, "documents").select("doc_id", "text", "source", "lang"))
