@@ -100,3 +100,20 @@ SELECT doc_id, s.source, s.lang, s.topic, n_tokens, round(f, 6) AS factor, round
 FROM sized s JOIN raked r ON r.source IS NOT DISTINCT FROM s.source AND r.lang IS NOT DISTINCT FROM s.lang
   AND r.topic IS NOT DISTINCT FROM s.topic
 """
+
+VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), g AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x <> 0)) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93
+), r AS (
+  SELECT DISTINCT a AS id, a AS other FROM l UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.other
+), c AS (SELECT id, min(other) AS c FROM r GROUP BY id), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, coalesce(c.c, vec_id) AS component_id,
+       coalesce(c.c, vec_id) = vec_id AS kept
+FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.id = vec_id
+"""

@@ -11,6 +11,7 @@ from . import ngram_trie, oracle, quality_gam, toxicity_fm
 from .decontaminate import contamination
 from .jaccard_join import near_duplicates
 from .labels import held_out
+from .near_vectors import near_vectors
 from .raking import DIMENSIONS, mix
 from .token_files import read_documents, write_token_files
 
@@ -51,6 +52,11 @@ def op3_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
     return _classified(quality_gam.score(docs, model, with_text=False), held_out(F.col("row.doc_id"), 5, 0))
 
 
+@query(oracle.VECTORS)
+def op2_inverted_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(_table(spark, folder, "embeddings"))
+
+
 @query()
 def op4_ngram_trie(spark: SparkSession, folder: str) -> DataFrame:
     out = held_out(F.col("doc_id"), 7, 2)
