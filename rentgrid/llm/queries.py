@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ngram_trie, oracle, quality_gam, toxicity_fm
+from .chat_repair import formatted
 from .decontaminate import contamination
 from .jaccard_join import near_duplicates
 from .labels import held_out
@@ -114,6 +115,11 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+@query()
+def op9_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return formatted(_table(spark, folder, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
