@@ -117,3 +117,27 @@ SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, coalesce(c.c, vec_id
        coalesce(c.c, vec_id) = vec_id AS kept
 FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.id = vec_id
 """
+
+
+def licensed(templates: dict[str, str], threshold: float) -> str:
+    values = ", ".join(f"('{name}', '{text.replace("'", "''")}')" for name, text in sorted(templates.items()))
+    pairs = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    return f"""
+WITH t AS (
+  SELECT name, {pairs} AS b FROM (SELECT name, {_words("text", ALNUM)} AS w FROM (VALUES {values}) AS x(name, text))
+), s AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM documents
+  UNION ALL SELECT doc_id, text FROM documents
+), c AS (
+  SELECT doc_id, {pairs} AS b FROM (SELECT doc_id, {_words("text", ALNUM)} AS w FROM s) WHERE len(w) > 1
+), m AS (
+  SELECT doc_id, name, 2.0 * len(list_intersect(c.b, t.b)) / (len(c.b) + len(t.b)) AS dice FROM c JOIN t
+    ON len(c.b) >= {threshold / (2 - threshold)} * len(t.b) AND len(c.b) <= len(t.b) / {threshold / (2 - threshold)}
+), g AS (
+  SELECT doc_id, count(*) AS n, string_agg(DISTINCT name, ',' ORDER BY name) AS names, max(dice) AS best
+  FROM m WHERE dice >= {threshold} GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_matches, coalesce(names, '') AS licenses,
+       round(CAST(best AS DOUBLE), 6) AS best_dice
+FROM documents LEFT JOIN g USING (doc_id)
+"""

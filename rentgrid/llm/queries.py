@@ -12,6 +12,7 @@ from .chat_repair import formatted
 from .decontaminate import contamination
 from .jaccard_join import near_duplicates
 from .labels import held_out
+from .licenses import TEMPLATES, THRESHOLD, licenses
 from .near_vectors import near_vectors
 from .raking import DIMENSIONS, mix
 from .token_files import read_documents, write_token_files
@@ -120,6 +121,16 @@ def op9_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
     return formatted(_table(spark, folder, "conversations"))
 
 
+@query(oracle.licensed(TEMPLATES, THRESHOLD))
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses(_table(spark, folder, "documents").select("doc_id", "text"))
+    names = F.array_sort(F.array_distinct("found.license"))
+    return found.select(
+        "row.doc_id", F.size("found").cast("long").alias("n_matches"), F.array_join(names, ",").alias("licenses"),
+        F.round(F.array_max("found.dice"), 6).alias("best_dice"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
