@@ -9,9 +9,10 @@ necessary conditions; only pairs that pass all of them are verified.
    the set, so copies cost nothing from here on, however many there are.
 2. **First order**: by hash, tokens of many texts last (a shared passage then does not
    make candidates). Prefix tokens are shuffled as (token, class), and tokens of a
-   single class are dropped.
-3. **Stars.** Each class is verified against one earlier class of its tokens' lists.
-   That joins large groups of near copies with as many comparisons as texts.
+   single class, or of no two classes of fitting sizes, are dropped.
+3. **Stars.** Each class is verified against one central class of its tokens' lists, one
+   whose tokens are shared most. That joins large groups of near copies with a comparison
+   per text.
 4. **Rest.** In each token's list, pairs of *different* components within the size bounds
    are counted over all tokens. A pair needs a number of common prefix tokens that
    follows from both sizes. What remains is checked under two more orders, and then
@@ -187,14 +188,29 @@ def _postings(docs: DataFrame, how: Similarity, frequent: np.ndarray) -> DataFra
 
     rows = docs.mapInArrow(task, "token long, cls long, n int")
     ordered = rows.repartition("token").sortWithinPartitions("token", "cls")
-    return ordered.mapInArrow(_shared_tokens, "token long, cls long, n int, hub long, hub_n int")
 
+    def shared(batches):
+        return _shared_tokens(batches, how)
 
-def _shared_tokens(batches):
-    """Keep tokens of two classes or more, with the first class of each; rows come sorted.
+    return ordered.mapInArrow(shared, "token long, cls long, n int")
+
+
+def _partnered(token: np.ndarray, n: np.ndarray, how: Similarity) -> np.ndarray:
+    """Rows whose token has another row of a fitting size."""
+    order = np.lexsort((n, token))
+    t, m = token[order], n[order].astype(np.int64)
+    near = (t[1:] == t[:-1]) & (how.over * m[:-1] >= how.up * m[1:])
+    out = np.zeros(len(token), dtype=bool)
+    out[order] = np.r_[near, False] | np.r_[False, near]
+    return out
+
+
+def _shared_tokens(batches, how: Similarity):
+    """Keep tokens of two classes or more; rows come sorted.
 
     The last token's rows seen so far need only its first class and whether it was
-    shown already, so a list of any length streams through.
+    shown already, so a list of any length streams through. In lists that lie inside a
+    batch, rows without a partner of a fitting size go too.
     """
     last = None  # token, first class, its n, already out, last class
     for batch in batches:
@@ -212,7 +228,6 @@ def _shared_tokens(batches):
             shown = last[3]
         start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
         size = np.diff(np.r_[start, len(token)])
-        hub = np.repeat(start, size)
         out = np.repeat(size > 1, size)
         done = shown or bool(size[-1] > 1)
         if shown:
@@ -221,26 +236,63 @@ def _shared_tokens(batches):
                 out[1 : size[0]] = True
             done = shown if len(start) == 1 else bool(size[-1] > 1)
         last = (token[-1], cls[start[-1]], n[start[-1]], done, cls[-1])
+        inside = (token != token[0]) & (token != token[-1])
+        out &= ~inside | _partnered(token, n, how)
         if out.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[out]) for x in (token, cls, n, cls[hub], n[hub])],
-                ["token", "cls", "n", "hub", "hub_n"],
+                [pa.array(x[out]) for x in (token, cls, n)], ["token", "cls", "n"]
             )
 
 
 def _stars(postings: DataFrame, how: Similarity) -> DataFrame:
-    """One candidate (a, b) per class: the hub of most of its tokens."""
-    fits = F.least("n", "hub_n") * how.over >= F.greatest("n", "hub_n") * how.up
+    """One candidate (a, b) per class: the hub of most of its tokens, if a sixteenth or more.
+
+    A list's hub is the class with the largest share of prefix tokens that others have
+    too. These candidates only save comparisons; what they miss is found among the rest.
+    """
+    shared = postings.groupBy("cls").agg(F.count("*").alias("w"))
+    rows = postings.join(shared, "cls").select("token", "cls", "n", (F.col("w") / F.col("n")).alias("w"))
+
+    def task(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            token, cls, n, w = (batch.column(i).to_numpy() for i in range(4))
+            order = np.lexsort((cls, -w, token))
+            token, cls, n = token[order], cls[order], n[order].astype(np.int64)
+            start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+            hub = np.repeat(start, np.diff(np.r_[start, len(token)]))
+            good = (cls != cls[hub]) & how.sizes_fit(n, n[hub])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cls[good]), pa.array(cls[hub][good]), pa.array(n[good])], ["a", "b", "n"]
+            )
+
     votes = (
-        postings.where((F.col("cls") != F.col("hub")) & fits)
-        .groupBy("cls", "hub").agg(F.count("*").alias("c"))
+        rows.repartition("token").sortWithinPartitions("token").mapInArrow(task, "a long, b long, n long")
+        .groupBy("a", "b").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+        .where(F.col("c") * 16 >= F.col("n"))
     )
-    best = votes.groupBy("cls").agg(F.max(F.struct("c", "hub")).alias("best"))
-    return best.select(F.col("cls").alias("a"), F.col("best.hub").alias("b"))
+    best = votes.groupBy("a").agg(F.max(F.struct("c", "b")).alias("best"))
+    return best.select("a", F.col("best.b").alias("b"))
+
+
+def _all_pairs(cls, n, comp, how: Similarity):
+    """Pairs of different components and fitting sizes; the largest's members don't meet.
+
+    ``n`` ascends.
+    """
+    ids, inverse, counts = np.unique(comp, return_inverse=True, return_counts=True)
+    largest = int(np.argmax(counts))
+    for i in np.flatnonzero(inverse != largest) if len(ids) > 1 else ():
+        lo = np.searchsorted(n, -(-int(n[i]) * how.up // how.over))
+        hi = np.searchsorted(n, int(n[i]) * how.over // how.up, "right")
+        j = np.arange(lo, hi)
+        other = inverse[lo:hi]
+        yield i, j[(other != inverse[i]) & ((other == largest) | (j < i))]
 
 
 def _rest(postings: DataFrame, labels: DataFrame, how: Similarity) -> DataFrame:
-    """Candidate pairs of different components under the first order."""
+    """All candidate pairs (a, b) of different components under the first order."""
     labels = labels.where("node <> component")
     rows = (
         postings.select("token", "cls", "n")
@@ -249,22 +301,24 @@ def _rest(postings: DataFrame, labels: DataFrame, how: Similarity) -> DataFrame:
         .repartition("token").sortWithinPartitions("token", "n", "cls")
     )
 
-    def pairs_of(cls, n, comp):
-        """Pairs of a token's list; the largest component's members don't meet each other."""
-        ids, inverse, counts = np.unique(comp, return_inverse=True, return_counts=True)
-        if len(ids) < 2:
-            return
-        largest = int(np.argmax(counts))
-        for i in np.flatnonzero(inverse != largest):
-            lo = np.searchsorted(n, -(-int(n[i]) * how.up // how.over))
-            hi = np.searchsorted(n, int(n[i]) * how.over // how.up, "right")
-            j = np.arange(lo, hi)
-            other = inverse[lo:hi]
-            j = j[(other != inverse[i]) & ((other == largest) | (j < i))]
-            if len(j):
-                low, high = np.minimum(cls[j], cls[i]), np.maximum(cls[j], cls[i])
-                swap = cls[j] < cls[i]
-                yield low, high, np.where(swap, n[j], n[i]), np.where(swap, n[i], n[j])
+    def lists(batches):
+        """Lists of several components; others only where they may go on in another batch."""
+        kept = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = [batch.column(i).to_numpy() for i in range(4)]
+            cut = np.flatnonzero(np.r_[True, table[0][1:] != table[0][:-1]])
+            mixed = np.minimum.reduceat(table[3], cut) != np.maximum.reduceat(table[3], cut)
+            mixed[[0, -1]] = True
+            for a, b in zip(cut[mixed], np.r_[cut[1:], len(table[0])][mixed]):
+                own = [x[a:b] for x in table]
+                if kept and kept[-1][0][0] != own[0][0]:
+                    yield [np.concatenate(x) for x in zip(*kept)]
+                    kept = []
+                kept.append(own)
+        if kept:
+            yield [np.concatenate(x) for x in zip(*kept)]
 
     def task(batches):
         def flush(found):
@@ -272,34 +326,19 @@ def _rest(postings: DataFrame, labels: DataFrame, how: Similarity) -> DataFrame:
                 [pa.array(np.concatenate(x)) for x in zip(*found)], ["a", "b", "an", "bn"]
             )
 
-        def lists():
-            kept = []
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                table = [batch.column(i).to_numpy() for i in range(4)]
-                cut = np.flatnonzero(np.r_[True, table[0][1:] != table[0][:-1]])
-                mixed = np.minimum.reduceat(table[3], cut) != np.maximum.reduceat(table[3], cut)
-                mixed[[0, -1]] = True  # these may go on in another batch
-                for a, b in zip(cut[mixed], np.r_[cut[1:], len(table[0])][mixed]):
-                    own = [x[a:b] for x in table]
-                    if kept and kept[-1][0][0] != own[0][0]:
-                        yield [np.concatenate(x) for x in zip(*kept)]
-                        kept = []
-                    kept.append(own)
-            if kept:
-                yield [np.concatenate(x) for x in zip(*kept)]
-
         found, size = [], 0
-        for _, cls, n, comp in lists():
-            if len(cls) < 2:
-                continue
-            for pair in pairs_of(cls, n, comp):
-                found.append(pair)
-                size += len(pair[0])
-                if size > 100_000:
-                    yield flush(found)
-                    found, size = [], 0
+        for _, cls, n, comp in lists(batches):
+            for i, j in _all_pairs(cls, n, comp, how):
+                if len(j):
+                    swap = cls[j] < cls[i]
+                    found.append((
+                        np.minimum(cls[j], cls[i]), np.maximum(cls[j], cls[i]),
+                        np.where(swap, n[j], n[i]), np.where(swap, n[i], n[j]),
+                    ))
+                    size += len(j)
+            if size > 100_000:
+                yield flush(found)
+                found, size = [], 0
         if found:
             yield flush(found)
 
@@ -307,7 +346,6 @@ def _rest(postings: DataFrame, labels: DataFrame, how: Similarity) -> DataFrame:
         rows.mapInArrow(task, "a long, b long, an int, bn int")
         .groupBy("a", "b").agg(F.count("*").alias("c"), F.first("an").alias("an"), F.first("bn").alias("bn"))
     )
-    n, m = F.col("an").cast("long"), F.col("bn").cast("long")
     up, over = how.up, how.over
     beyond = lambda x: F.expr(f"({x}n * {up} + {over - 1}) div {over} - 1")
     overlap = F.expr(f"((an + bn) * {up} + {up + over - 1}) div {up + over}")
@@ -317,12 +355,12 @@ def _rest(postings: DataFrame, labels: DataFrame, how: Similarity) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, how: Similarity) -> DataFrame:
     """The pairs of classes that link.
 
-    The sets are made anew from the texts of one document of each class. A 1 MB filter
-    leaves the others unread by Python; the join on the id is exact.
+    The sets are made anew from the texts; any document of a class gives its set. A 1 MB
+    filter leaves most others unread by Python, copies combine before the shuffle, and
+    both joins below read one and the same shuffle of the sets.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    chosen = keep(classes.join(wanted, "cls", "left_semi").select("rep", "cls"), "reps")
-    held = docs.sparkSession.sparkContext.broadcast(bloom(chosen.select("rep")))
+    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    held = docs.sparkSession.sparkContext.broadcast(bloom(classes.join(wanted, "cls", "left_semi").select("rep")))
 
     def sets(batches):
         bits = np.unpackbits(np.frombuffer(held.value, dtype=np.uint8), count=BLOOM_BITS).astype(bool)
@@ -330,15 +368,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, how: Simila
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             take = in_bloom(bits, ids)
             if take.any():
-                part = batch.filter(pa.array(take))
-                rows = list(_sets_of(part.column(1), how.width))
-                own = _longs([fingerprint(u) for u in rows])
-                tokens = pa.array([u.tobytes() for u in rows], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), own, tokens], ["rep", "cls", "tokens"])
-
-    made = docs.mapInArrow(sets, "rep long, cls long, tokens binary")
-    by_class = made.join(chosen, ["rep", "cls"]).select("cls", "tokens").dropDuplicates(["cls"])
-    by_class = keep(by_class, "sets")
+                rows = [u for u in _sets_of(batch.column(1).filter(pa.array(take)), how.width) if len(u)]
+                own, first = np.unique([fingerprint(u) for u in rows], return_index=True)
+                tokens = pa.array([rows[i].tobytes() for i in first], pa.binary())
+                yield pa.RecordBatch.from_arrays([_longs(own), tokens], ["cls", "tokens"])
+
+    by_class = docs.mapInArrow(sets, "cls long, tokens binary").dropDuplicates(["cls"])
     left = by_class.select(F.col("cls").alias("a"), F.col("tokens").alias("x"))
     right = by_class.select(F.col("cls").alias("b"), F.col("tokens").alias("y"))
 
@@ -384,11 +419,12 @@ def near_duplicates(
     classes = keep(rows.where("n > 0 and id is not null").groupBy("cls").agg(F.min("id").alias("rep")), "classes")
     postings = keep(_postings(docs, how, _frequent(survey)), "postings")
     release_shuffles(spark)
-    star_links = keep(_verified(keep(_stars(postings, how), "stars"), docs, classes, how), "links")
-    labels = components(star_links, "a", "b")
+    links = keep(_verified(keep(_stars(postings, how), "stars"), docs, classes, how), "links")
+    labels = components(links, "a", "b")
     release_shuffles(spark)
     candidates = keep(_rest(postings, labels, how), "candidates")
-    links = star_links.unionByName(_verified(candidates, docs, classes, how))
+    if not candidates.isEmpty():
+        links = links.unionByName(_verified(candidates, docs, classes, how))
     labels = keep(components(links, "a", "b"), "labels")
     named = classes.join(labels, F.col("cls") == F.col("node"), "left").select(
         "cls", "rep", F.coalesce("component", "cls").alias("comp")
