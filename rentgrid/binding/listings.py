@@ -36,8 +36,6 @@ RULES = ListingRules(
     extreme_local=60_000.0,
     extreme_indexed=60.0,
 )
-# The rate series ends before the last ship date, so some listings have no rate.
-RATE_END = "2001-06-01"
 
 
 def _text(c: Column) -> Column:
@@ -124,7 +122,6 @@ class Listings:
         """(fecha, valor): the day's dearest order; stamped in UTC like a landed series."""
         return (
             self.table("orders")
-            .where(F.col("o_orderdate") < F.lit(RATE_END).cast("timestamp_ntz"))
             .groupBy(F.col("o_orderdate").cast("date").alias("_dia"))
             .agg(F.max("o_totalprice").alias("_max"))
             .select(
@@ -158,12 +155,12 @@ class Listings:
 
     @cached_property
     def alpha(self) -> DataFrame:
-        staged = stage_single_price(self.raw_alpha, self.rates, ALPHA, RULES)
+        staged = stage_single_price(self.alpha_raw, self.rates, ALPHA, RULES)
         return self.workspace.keep(staged, "stg_alpha")
 
     @cached_property
     def beta(self) -> DataFrame:
-        return self.workspace.keep(stage_dual_price(self.raw_beta, BETA, RULES), "stg_beta")
+        return self.workspace.keep(stage_dual_price(self.beta_raw, BETA, RULES), "stg_beta")
 
     @cached_property
     def listings(self) -> DataFrame:
@@ -198,14 +195,15 @@ _open: dict[tuple, Listings] = {}
 
 
 def _stamp(spark: SparkSession, folder: str) -> tuple:
-    """Size and change time of the inputs: layers of changed inputs are not reused."""
-    sc = spark.sparkContext
-    stamps = []
-    for name in INPUT_TABLES:
-        path = sc._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}.parquet")
-        status = path.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(path)
-        stamps.append((status.getLen(), status.getModificationTime()))
-    return tuple(stamps)
+    """Count and checksum of the inputs' files (path, length, last change).
+
+    Layers of changed inputs are not reused. Spark lists the files, so a table may be a
+    folder of any depth; contents are not read.
+    """
+    paths = [f"{folder.rstrip('/')}/{name}.parquet" for name in INPUT_TABLES]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    return tuple(files.agg(F.count("*"), F.sum(mark)).first())
 
 
 def listings(spark: SparkSession, folder: str) -> Listings:

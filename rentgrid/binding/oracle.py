@@ -49,7 +49,7 @@ BLOCKS = {
                tipo_propiedad, tipo_operacion, contact_type FROM raw_beta""",
     "rates": """
         SELECT CAST(o_orderdate AS DATE) AS fecha_dt, max(o_totalprice) / 100 AS valor_uf
-        FROM orders WHERE o_orderdate < TIMESTAMP '2001-06-01' GROUP BY 1""",
+        FROM orders GROUP BY 1""",
     "clean": """
         SELECT DISTINCT * FROM raw_both""",
     "listings": """

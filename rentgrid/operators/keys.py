@@ -1,27 +1,40 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.workspace import workspace_of
 
-def surrogate_key(df: DataFrame, order: str, name: str, prefix: int = 2) -> DataFrame:
-    """1-based consecutive number in the order of a unique string column.
 
-    A window without partitions would sort everything in one task. Names are
-    numbered inside their first ``prefix`` characters instead, and only the
-    per-prefix counts (bounded by the alphabet, not by the rows) are summed in
-    order. Prefix order and name order agree because strings compare by code point.
+def numbered(df: DataFrame, name: str, *order: Column | str) -> DataFrame:
+    """1-based consecutive number in an order, without one task that sorts everything.
+
+    Rows are dealt to tasks by ranges of the order and sorted there; the counts of the
+    parts (one row per task) are summed in order. Ranges follow the values, so a prefix
+    that all names share does not matter.
     """
-    tagged = df.withColumn("_prefix", F.substring(order, 1, prefix))
-    sizes = tagged.groupBy("_prefix").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id()  # task number above 33 bits, place in the task below
+    dealt = workspace_of(df.sparkSession).keep(dealt.withColumn("_place", place), "numbered")
+    part, inside = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = dealt.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        F.col("_prefix").alias("_p"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
+        F.col("_part"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
-    inside = F.row_number().over(Window.partitionBy("_prefix").orderBy(order))
-    return (
-        tagged.withColumn("_i", inside)
-        .join(offsets, F.col("_prefix") == F.col("_p"))
-        .select((F.col("_offset") + F.col("_i")).cast("bigint").alias(name), *df.columns)
+    return dealt.join(offsets, part == F.col("_part")).select(
+        (F.col("_offset") + inside + 1).cast("bigint").alias(name), *df.columns
     )
+
+
+def surrogate_key(df: DataFrame, order: str, name: str) -> DataFrame:
+    """Consecutive number in the order of a unique string column (code-point order)."""
+    return numbered(df, name, order)
+
+
+def ranked(df: DataFrame, name: str, column: str) -> DataFrame:
+    """Rank from the highest value, NULL last; equal values share the best of their places."""
+    placed = numbered(df, "_number", F.col(column).desc_nulls_last())
+    best = placed.groupBy(F.col(column).alias("_value")).agg(F.min("_number").alias(name))
+    return placed.join(best, F.col(column).eqNullSafe(F.col("_value"))).select(*df.columns, name)

@@ -14,6 +14,7 @@ from ..config import OWNER_DIRECT
 from ..functions import month_key
 from ..sources.workspace import Workspace
 from .joins import null_safe_join
+from .keys import ranked
 from .quantiles import exact_quantiles, exact_quantiles_of
 
 RATIO = "precio_clp_por_m2"
@@ -46,7 +47,7 @@ def price_by_month(fact: DataFrame) -> DataFrame:
 
 
 def place_price_growth(fact: DataFrame, places: DataFrame) -> DataFrame:
-    """Median price of a place's first and last year, and the change between them."""
+    """Median price of a place's first and last year, and the change between them, ranked."""
     rows = fact.where(F.col("comuna_id").isNotNull()).select(
         "comuna_id", F.year("fecha_scraping").cast("bigint").alias("anio"), "precio_clp"
     )
@@ -63,7 +64,7 @@ def place_price_growth(fact: DataFrame, places: DataFrame) -> DataFrame:
         ),
     ).join(places, "comuna_id")
     in_region = Window.partitionBy("region").orderBy(F.desc("variacion_pct"))
-    return growth.withColumn(
+    return ranked(growth, "puesto", "variacion_pct").withColumn(
         "puesto_en_region", F.rank().over(in_region).cast("bigint")
     ).orderBy(F.desc("variacion_pct"), "comuna_id")
 
@@ -135,9 +136,9 @@ def place_attractiveness(fact: DataFrame, places: DataFrame) -> DataFrame:
             )
         ),
     )
-    over = Window.partitionBy("metric")
-    z = F.try_divide(F.col("x") - F.avg("x").over(over), F.stddev_samp("x").over(over))
-    scored = figures.select("comuna_id", "metric", z.alias("z"))
+    spread = figures.groupBy("metric").agg(F.avg("x").alias("_avg"), F.stddev_samp("x").alias("_dev"))
+    z = F.try_divide(F.col("x") - F.col("_avg"), F.col("_dev"))
+    scored = figures.join(spread, "metric").select("comuna_id", "metric", z.alias("z"))
     pick = {m: F.max(F.when(F.col("metric") == m, F.col("z"))) for m in ("oferta", "dueno", "m2")}
     return (
         scored.groupBy("comuna_id")

@@ -13,7 +13,9 @@ from .quantiles import exact_quantiles
 
 
 def number(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).try_cast("double")
+    """Tolerant number: NULL where the text is none; "NaN" means missing too."""
+    value = (F.col(c) if isinstance(c, str) else c).try_cast("double")
+    return F.when(~F.isnan(value), value)
 
 
 def day(c: str) -> Column:

@@ -15,7 +15,8 @@ The buckets of step 1 are written as a table of a few rows per group, so the joi
 that picks the rows of step 2 is sized by Spark from that file. The number of
 histogram rows per group has a fixed bound whatever the data (the scale covers all
 doubles in ``2 * 710 * LOG_STEPS`` steps). No row is dropped or sampled: the result
-equals ``percentile`` on the same rows, at the price of reading them twice.
+equals ``percentile`` on the same rows, at the price of reading them twice. As there, NaN
+counts as a value above all others; both infinities have buckets of their own.
 """
 
 from __future__ import annotations
@@ -31,6 +32,15 @@ LOG_STEPS = 256
 SUB_STEPS = 65_536
 
 
+def _bucket(v: Column) -> Column:
+    """Place on the log scale; NaN last, as in Spark's order of doubles."""
+    edge = F.lit(1 << 60)
+    scale = F.floor(F.signum(v) * F.log1p(F.abs(v)) * F.lit(float(LOG_STEPS)))
+    return (
+        F.when(F.isnan(v), edge * 2).when(v == float("inf"), edge).when(v == float("-inf"), -edge).otherwise(scale)
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -53,7 +63,7 @@ def exact_quantiles(
             *(c.alias(g) for c, g in zip(key_columns, group)), value.cast("double").alias("v")
         )
         .where(v.isNotNull())
-        .withColumn("b", F.floor(F.signum(v) * F.log1p(F.abs(v)) * F.lit(float(LOG_STEPS))))
+        .withColumn("b", _bucket(v))
     )
     k = ", ".join(group)
     same_group = " AND ".join(f"l.{g} <=> r.{g}" for g in group)

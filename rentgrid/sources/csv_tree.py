@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# ".../2023/2023-04.csv" and ".../periodo=2023-04/part-0.csv" both carry the period.
-PERIOD_IN_PATH = r"[/=](\d{4})-(\d{2})(?:\.csv$|/)"
+# ".../2023/2023-04.csv" and ".../periodo=2023-04/part-0.csv" both carry the period: the
+# file name or the last folder, never a folder above.
+PERIOD_IN_PATH = r"[/=](\d{4})-(\d{2})(?:\.csv|/[^/]*)$"
+ROWS_PER_FILE = 1_000_000
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
@@ -98,9 +100,14 @@ def missing_periods(
 
 
 def write_csv_tree(df: DataFrame, folder: str, period: str) -> None:
-    """One folder per period, all values as they are (outer spaces included)."""
+    """One folder per period, all values as they are (outer spaces included).
+
+    Rows are clustered by period first, else each task would write a file per period;
+    rebalancing splits a large period and merges small ones by size.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", F.col(period)).write.mode("overwrite")
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(period)
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)

@@ -7,41 +7,51 @@ may broadcast it. That is why no join in this package carries a broadcast hint.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only for a local session."""
+    """The cluster's shared folder; below the warehouse, which is shared too, if none is named."""
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="rentgrid-")
-    return _local_folders[application]
+    return f"{spark.conf.get(WAREHOUSE_SETTING).rstrip('/')}/_work"
 
 
 class Workspace:
-    """One run's own folder below the shared one, removed when the JVM ends."""
+    """One run's own folder below the shared one.
+
+    Removed by ``close`` or at the end of a ``with`` block, else when the JVM ends.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = root or f"{shared_folder(spark)}/rentgrid-{uuid.uuid4().hex}"
         if root is None:
-            jvm = spark.sparkContext._jvm
-            path = jvm.org.apache.hadoop.fs.Path(self.root)
-            fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            fs, path = self._store()
             fs.mkdirs(path)
             fs.deleteOnExit(path)
 
+    def _store(self):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def close(self) -> None:
+        """Remove the folder; tables kept in it can't be read any more."""
+        fs, path = self._store()
+        fs.delete(path, True)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
     def path(self, label: str) -> str:
         return f"{self.root}/{label}-{uuid.uuid4().hex[:12]}"
 

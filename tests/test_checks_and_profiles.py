@@ -136,10 +136,10 @@ def test_workspace_uses_the_shared_folder(spark):
     assert shared_folder(spark) == shared_folder(spark)
 
 
-def test_cluster_without_a_shared_folder_is_refused():
+def test_shared_folder_is_the_named_one_or_below_the_warehouse():
     class Session:
-        conf = {}
-        sparkContext = type("Context", (), {"master": "yarn"})
+        conf = {"spark.sql.warehouse.dir": "s3a://b/warehouse/"}
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Session)
+    assert shared_folder(Session) == "s3a://b/warehouse/_work"
+    Session.conf["spark.checkpoint.dir"] = "hdfs://x/work/"
+    assert shared_folder(Session) == "hdfs://x/work"

@@ -85,3 +85,11 @@ def test_place_with_every_name_in_one_prefix(spark):
         F.count("*"), F.min("comuna_id"), F.max("comuna_id"), F.count_distinct("comuna_id")
     )
     assert tuple(got.first()) == (120, 1, 120, 120)
+
+
+def test_ranks_share_places_and_spread_over_tasks(spark):
+    from rentgrid.operators.keys import ranked
+
+    rows = [("a", 5.0), ("b", 7.0), ("c", 5.0), ("d", None), ("e", 1.0)]
+    got = ranked(spark.createDataFrame(rows, "k string, v double"), "puesto", "v").collect()
+    assert {r.k: r.puesto for r in got} == {"b": 1, "a": 2, "c": 2, "e": 4, "d": 5}

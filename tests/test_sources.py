@@ -163,3 +163,23 @@ def test_missing_file_stops_the_run(spark, landing):
     (landing / "raw" / SECOND.name / "2023" / "2023-09.csv").unlink()
     with pytest.raises(q.QualityError, match="file_inventory_complete=1"):
         run(spark, config(landing / "raw", landing / "warehouse"))
+
+
+def test_period_comes_from_the_file_or_its_folder(spark):
+    from rentgrid.sources.csv_tree import period_of_path
+
+    paths = {
+        "s3a://b/2024-01/raw/a/2023/2023-04.csv": "2023-04", "/raw/2020-05/a/periodo=2023-04/part-0.csv": "2023-04",
+        "/raw/2020-05/a/all.csv/x": None, "/raw/2020-05/a/b/part.csv": None,
+    }
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert {r.p: r.q for r in df.select("p", period_of_path(F.col("p")).alias("q")).collect()} == paths
+
+
+def test_files_per_period_do_not_follow_the_tasks(spark, tmp_path):
+    from rentgrid.sources.csv_tree import write_csv_tree
+
+    rows = spark.range(0, 4000, 1, 8).select("id", F.concat(F.lit("2023-0"), F.col("id") % 5 + 1).alias("periodo"))
+    write_csv_tree(rows, str(tmp_path / "tree"), "periodo")
+    files = list((tmp_path / "tree").rglob("*.csv"))
+    assert len(files) <= 5
