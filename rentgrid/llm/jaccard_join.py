@@ -14,10 +14,12 @@ necessary conditions; only pairs that pass all of them are verified.
    whose tokens are shared most. That joins large groups of near copies with a comparison
    per text.
 4. **Rest.** In each token's list, pairs of *different* components within the size bounds
-   are counted over all tokens. A pair needs a number of common prefix tokens that
-   follows from both sizes. What remains is checked under two more orders, and then
-   verified on the whole sets. Pairs inside a component could add no new component,
-   so the components are those of all links.
+   are counted. A pair needs a number of common prefix tokens that follows from both
+   sizes, so a class may leave out as many of its longest lists, less one, and meets a
+   linked one in the others: a class that holds too few shared tokens makes no pair.
+   What remains is checked under two more orders, and then verified on the whole sets.
+   Pairs inside a component could add no new component, so the components are those of
+   all links.
 
 Exactness: shingles and sets are compared by 64-bit hashes; any two differ except with
 a chance of 2**-64. The list of frequent tokens only changes the order: the join is
@@ -34,7 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -43,6 +45,7 @@ from .texts import Words, mix, words
 
 FREQUENT = 1 << 20  # entries of the broadcast list of frequent tokens, at most
 LEAST_FREQUENT = 64
+SLACK = 3  # lists beyond the necessary one in which a pair is counted
 
 
 @dataclass(frozen=True)
@@ -276,10 +279,12 @@ def _stars(postings: DataFrame, how: Similarity) -> DataFrame:
     return best.select("a", F.col("best.b").alias("b"))
 
 
-def _all_pairs(cls, n, comp, how: Similarity):
+def _all_pairs(cls, n, comp, rank, lists, how: Similarity):
     """Pairs of different components and fitting sizes; the largest's members don't meet.
 
-    ``n`` ascends.
+    ``n`` ascends. A linked pair shares ``shared_prefix`` lists, so of the lists of one of
+    them, ranked from the longest, it shares one beyond that rank less one; SLACK more
+    leave the count some power. That one is the class of fewer lists.
     """
     ids, inverse, counts = np.unique(comp, return_inverse=True, return_counts=True)
     largest = int(np.argmax(counts))
@@ -288,38 +293,51 @@ def _all_pairs(cls, n, comp, how: Similarity):
         hi = np.searchsorted(n, int(n[i]) * how.over // how.up, "right")
         j = np.arange(lo, hi)
         other = inverse[lo:hi]
-        yield i, j[(other != inverse[i]) & ((other == largest) | (j < i))]
+        j = j[(other != inverse[i]) & ((other == largest) | (j < i))]
+        mine = (lists[i] < lists[j]) | ((lists[i] == lists[j]) & (cls[i] < cls[j]))
+        at = np.where(mine, rank[i], rank[j])
+        yield i, j[at >= how.shared_prefix(n[i], n[j]) - SLACK]
+
+
+def _lists(batches):
+    """The columns of one token's rows at a time; rows come sorted by token."""
+    kept = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = [batch.column(i).to_numpy() for i in range(batch.num_columns)]
+        cut = np.flatnonzero(np.r_[True, table[0][1:] != table[0][:-1]])
+        for a, b in zip(cut, np.r_[cut[1:], len(table[0])]):
+            own = [x[a:b] for x in table]
+            if kept and kept[-1][0][0] != own[0][0]:
+                yield [np.concatenate(x) for x in zip(*kept)]
+                kept = []
+            kept.append(own)
+    if kept:
+        yield [np.concatenate(x) for x in zip(*kept)]
 
 
 def _rest(postings: DataFrame, labels: DataFrame, how: Similarity) -> DataFrame:
-    """All candidate pairs (a, b) of different components under the first order."""
+    """All candidate pairs (a, b) of different components under the first order.
+
+    Only lists of several components count. A class meets others in its shortest lists
+    alone, so what many texts share makes no pairs unless they share enough besides.
+    """
     labels = labels.where("node <> component")
+    by_token, by_class = Window.partitionBy("token"), Window.partitionBy("cls")
     rows = (
         postings.select("token", "cls", "n")
         .join(labels, F.col("cls") == F.col("node"), "left")
         .select("token", "cls", "n", F.coalesce("component", "cls").alias("comp"))
+        .withColumn("size", F.count("*").over(by_token))
+        .withColumn("mixed", F.min("comp").over(by_token) < F.max("comp").over(by_token))
+        .where("mixed")
+        .withColumn("rank", F.row_number().over(by_class.orderBy(F.desc("size"), "token")))
+        .withColumn("lists", F.count("*").over(by_class))
+        .select("token", "cls", F.col("n").cast("long").alias("n"), "comp", "rank", "lists")
         .repartition("token").sortWithinPartitions("token", "n", "cls")
     )
 
-    def lists(batches):
-        """Lists of several components; others only where they may go on in another batch."""
-        kept = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = [batch.column(i).to_numpy() for i in range(4)]
-            cut = np.flatnonzero(np.r_[True, table[0][1:] != table[0][:-1]])
-            mixed = np.minimum.reduceat(table[3], cut) != np.maximum.reduceat(table[3], cut)
-            mixed[[0, -1]] = True
-            for a, b in zip(cut[mixed], np.r_[cut[1:], len(table[0])][mixed]):
-                own = [x[a:b] for x in table]
-                if kept and kept[-1][0][0] != own[0][0]:
-                    yield [np.concatenate(x) for x in zip(*kept)]
-                    kept = []
-                kept.append(own)
-        if kept:
-            yield [np.concatenate(x) for x in zip(*kept)]
-
     def task(batches):
         def flush(found):
             return pa.RecordBatch.from_arrays(
@@ -327,8 +345,8 @@ def _rest(postings: DataFrame, labels: DataFrame, how: Similarity) -> DataFrame:
             )
 
         found, size = [], 0
-        for _, cls, n, comp in lists(batches):
-            for i, j in _all_pairs(cls, n, comp, how):
+        for _, cls, n, *others in _lists(batches):
+            for i, j in _all_pairs(cls, n, *others, how):
                 if len(j):
                     swap = cls[j] < cls[i]
                     found.append((
@@ -343,13 +361,14 @@ def _rest(postings: DataFrame, labels: DataFrame, how: Similarity) -> DataFrame:
             yield flush(found)
 
     counted = (
-        rows.mapInArrow(task, "a long, b long, an int, bn int")
+        rows.mapInArrow(task, "a long, b long, an long, bn long")
         .groupBy("a", "b").agg(F.count("*").alias("c"), F.first("an").alias("an"), F.first("bn").alias("bn"))
     )
     up, over = how.up, how.over
     beyond = lambda x: F.expr(f"({x}n * {up} + {over - 1}) div {over} - 1")
     overlap = F.expr(f"((an + bn) * {up} + {up + over - 1}) div {up + over}")
-    return counted.where(F.col("c") >= overlap - F.greatest(beyond("a"), beyond("b"))).select("a", "b")
+    least = F.least(overlap - F.greatest(beyond("a"), beyond("b")), F.lit(SLACK + 1))
+    return counted.where(F.col("c") >= least).select("a", "b")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, how: Similarity) -> DataFrame:
