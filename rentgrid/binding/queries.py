@@ -205,21 +205,28 @@ def csv_tree_roundtrip(x: Listings) -> DataFrame:
 
 
 @query("""
-    SELECT strftime(fecha_scraping, '%Y-%m') AS periodo_archivo, count(*) AS n
-    FROM raw_beta GROUP BY 1""")
+    SELECT fuente, strftime(fecha_scraping, '%Y-%m') AS periodo_archivo, count(*) AS n
+    FROM raw_both GROUP BY 1, 2""")
 def rows_per_file(x: Listings) -> DataFrame:
-    rows = with_source_file(scan_csv_tree(x.spark, f"{raw_tree(x)}/beta", BETA.columns))
-    return pf.rows_per_file(rows, "periodo_archivo")
+    def counts(source, name: str) -> DataFrame:
+        rows = with_source_file(scan_csv_tree(x.spark, f"{raw_tree(x)}/{name}", source.columns))
+        return pf.rows_per_file(rows, "periodo_archivo").withColumn("fuente", F.lit(name))
 
+    return counts(ALPHA, "alpha").unionByName(counts(BETA, "beta"))
 
-@query("SELECT 'raw_beta' AS tabla, count(*) AS n, count(*) AS n_otra_vez FROM raw_beta")
+
+@query("""
+    SELECT 'raw_' || fuente AS tabla, count(*) AS n, count(*) AS n_otra_vez
+    FROM raw_both GROUP BY fuente""")
 def overwrite_idempotent(x: Listings) -> DataFrame:
-    path = x.workspace.path("overwrite")
-    first = loaded_row_count(overwrite_folder(x.beta_raw, path))
-    again = overwrite_folder(x.beta_raw, path)
-    return again.agg(F.count("*").alias("n_otra_vez")).select(
-        F.lit("raw_beta").alias("tabla"), F.lit(first).cast("bigint").alias("n"), "n_otra_vez"
-    )
+    def twice(raw: DataFrame, _area: str, name: str) -> DataFrame:
+        path = x.workspace.path("overwrite")
+        first = loaded_row_count(overwrite_folder(raw, path))
+        return overwrite_folder(raw, path).agg(F.count("*").alias("n_otra_vez")).select(
+            F.lit(f"raw_{name}").alias("tabla"), F.lit(first).cast("bigint").alias("n"), "n_otra_vez"
+        )
+
+    return both(x, twice).drop("fuente")
 
 
 @query("""
@@ -302,7 +309,8 @@ def payload_quality(x: Listings) -> DataFrame:
         FROM listings WHERE fuente = 'beta'
       UNION ALL SELECT 'tables_non_empty:fct_arriendos', CASE WHEN count(*) = 0 THEN 1 ELSE 0 END
         FROM fact
-      UNION ALL SELECT 'union_row_conservation', 0
+      UNION ALL SELECT 'union_row_conservation', abs((SELECT count(*) FROM listings)
+        - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_both)))
       UNION ALL SELECT 'fact_not_larger',
         greatest((SELECT count(*) FROM fact) - (SELECT count(*) FROM listings), 0)
       UNION ALL SELECT 'no_null_prices:precio_clp',
@@ -315,9 +323,12 @@ def payload_quality(x: Listings) -> DataFrame:
         WHERE superficie_categoria = 'habitacion' AND superficie_m2 IS NULL) FROM listings
       UNION ALL SELECT 'sentinel_without_price', count(*) FILTER (
         WHERE superficie_categoria = 'centinela' AND precio_clp IS NULL) FROM listings
-      UNION ALL SELECT 'dedup_conservation',
+      UNION ALL SELECT 'dedup_conservation:alpha',
         abs((SELECT count(*) FROM listings WHERE fuente = 'alpha')
             - (SELECT count(DISTINCT id) FROM raw_alpha))
+      UNION ALL SELECT 'dedup_conservation:beta',
+        abs((SELECT count(*) FROM listings WHERE fuente = 'beta')
+            - (SELECT count(DISTINCT id) FROM raw_beta))
       UNION ALL SELECT 'dimension_key_unique', count(*) - count(DISTINCT comuna_id) FROM places
       UNION ALL SELECT 'rate_date_unique', count(*) - count(DISTINCT fecha_dt) FROM rates
       UNION ALL SELECT 'one_region_per_place', count(*) FROM (
@@ -332,7 +343,8 @@ def pipeline_checks(x: Listings) -> DataFrame:
         q.fact_not_larger(x.fact, x.listings),
         q.no_null_prices(x.fact),
         q.sentinel_consistency(x.listings),
-        q.dedup_conservation(x.alpha_raw, x.alpha),
+        q.dedup_conservation(x.alpha_raw, x.alpha, name="alpha"),
+        q.dedup_conservation(x.beta_raw, x.beta, name="beta"),
         q.dimension_key_unique(x.places, "comuna_id"),
         q.rate_date_unique(x.rates),
         q.one_region_per_place(x.listings),

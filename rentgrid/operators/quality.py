@@ -84,11 +84,14 @@ def sentinel_consistency(staged: DataFrame) -> DataFrame:
     )
 
 
-def dedup_conservation(raw: DataFrame, staged: DataFrame, key: str = "id") -> DataFrame:
-    """Staging has one row per raw key."""
+def dedup_conservation(
+    raw: DataFrame, staged: DataFrame, key: str = "id", name: str | None = None
+) -> DataFrame:
+    """Staging has one row per raw key; ``name`` tells several sources' checks apart."""
     keys = raw.agg((-F.count_distinct(key)).alias("d"))
     rows = staged.agg(F.count("*").alias("d"))
-    return _check("dedup_conservation", keys.unionByName(rows), F.abs(F.sum("d")))
+    label = f"dedup_conservation:{name}" if name else "dedup_conservation"
+    return _check(label, keys.unionByName(rows), F.abs(F.sum("d")))
 
 
 def dimension_key_unique(dim: DataFrame, key: str) -> DataFrame:
