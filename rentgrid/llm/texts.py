@@ -7,7 +7,9 @@ characters, so a word never splits a code point. A null text has no words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import cache
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,6 +62,22 @@ def _power(base: int, n: int) -> np.ndarray:
     return _powers[base][:n]
 
 
+@cache
+def _trim():
+    """The C library's call that returns freed memory to the system, if it has one."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def give_back_memory() -> None:
+    """Return freed arrays to the system.
+
+    Python workers stay between tasks, and what an allocator keeps would add each one's
+    peak to the executor's memory.
+    """
+    _trim()(0)
+
+
 @dataclass
 class Words:
     """Words of rows ``lo`` to ``hi`` of a batch: row ``r`` has words ``first[r-lo]:first[r-lo+1]``."""
@@ -137,3 +155,4 @@ def words(column: pa.Array, kind: np.ndarray = SPACED, limit: int = CHUNK_BYTES)
         starts = np.flatnonzero(here & (~before | cut))
         ends = np.flatnonzero(before & (~here | cut))
         yield Words(lo, hi, low, own, starts, ends, np.searchsorted(starts, own))
+    give_back_memory()
