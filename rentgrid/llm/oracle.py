@@ -141,3 +141,66 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_matches, coalesce(names, '')
        round(CAST(best AS DOUBLE), 6) AS best_dice
 FROM documents LEFT JOIN g USING (doc_id)
 """
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII text, bit by bit; NULL of NULL."""
+    bits = "list_reduce(list_prepend({x}, [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]), lambda v, z: xor(v >> 1, (v & 1) * 3988292384))"
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS UBIGINT))"
+    each = bits.format(x="xor(s, b)")
+    return f"CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), {codes}), lambda s, b: {each}), 4294967295) AS BIGINT)"
+
+
+def _runs(longest: int) -> str:
+    """Runs of periods up to ``longest``, a power of two.
+
+    In a run of period q the k words from its first one on, k the least power of two from q,
+    return exactly q later: distances between equal neighbours propose all periods.
+    """
+    blocks, parts, k, j = ["g0 AS MATERIALIZED (SELECT rid, i, hash(w) AS h FROM t)"], [], 1, 0
+    while True:
+        parts.append(f"""
+  SELECT DISTINCT rid, d FROM (
+    SELECT rid, lead(i) OVER (PARTITION BY rid, h ORDER BY i) - i AS d FROM g{j}) WHERE 2 * d > {k} AND d <= {k}""")
+        if k >= longest:
+            break
+        blocks.append(f"""g{j + 1} AS MATERIALIZED (
+  SELECT rid, i, hash(h, l) AS h FROM (
+    SELECT rid, i, h, lead(h, {k}) OVER (PARTITION BY rid ORDER BY i) AS l FROM g{j}) WHERE l IS NOT NULL)""")
+        k, j = 2 * k, j + 1
+    return ",\n".join(blocks) + ",\nc AS MATERIALIZED (" + " UNION ALL".join(parts) + ")"
+
+
+RUNS = f"""
+WITH x AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_crc32("CAST(doc_id AS VARCHAR)")} AS h,
+         regexp_extract_all(coalesce(text, ''), '{SPACED}') AS w FROM documents
+), y AS (
+  SELECT *, CAST(len(w) AS BIGINT) AS n, h // 10 AS g FROM x
+), z AS (
+  SELECT *, g % nullif(n, 0) AS a, 1 + (n - g % nullif(n, 0)) // (3 + g % 8) AS p FROM y
+), d AS MATERIALIZED (
+  SELECT rid, doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(
+    range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w FROM z
+), t AS MATERIALIZED (
+  SELECT rid, unnest(w) AS w, unnest(range(len(w))) AS i FROM d
+), {_runs(8192)}, e AS (
+  SELECT c.rid, c.d, a.i, a.i - row_number() OVER (PARTITION BY c.rid, c.d ORDER BY a.i) AS island
+  FROM c JOIN t a USING (rid) JOIN t b ON b.rid = c.rid AND b.i = a.i + c.d AND b.w = a.w
+), r AS MATERIALIZED (
+  SELECT rid, s, n, min(d) AS q FROM (
+    SELECT rid, d, min(i) AS s, count(*) + d AS n FROM e GROUP BY rid, d, island)
+  WHERE n >= greatest(6, 4 * d) GROUP BY rid, s, n
+), m AS (
+  SELECT rid, count(*) AS n_runs, max({{'n': n, 's': -s, 'q': -q}}) AS best,
+         string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM r GROUP BY rid
+), k AS (
+  SELECT rid, string_agg(w, ' ' ORDER BY i) AS kept FROM t
+  WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.rid = t.rid AND t.i >= r.s + r.q AND t.i < r.s + r.n) GROUP BY rid
+)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(-best.s AS BIGINT) AS start,
+       CAST(best.n AS BIGINT) AS length, CAST(-best.q AS BIGINT) AS period,
+       CAST(1000 * best.n // -best.q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN m USING (rid) LEFT JOIN k USING (rid)
+"""

@@ -104,7 +104,7 @@ def _figures(part: Words, line: Words, c: np.ndarray) -> np.ndarray:
         _share(c[:, 4], size), _share(c[:, 6], size), _share(c[:, 7], size), _share(c[:, 8], size), _share(c[:, 9], size),
         _share(c[:, 10], size), _share(c[:, 0], size), _share(total(marked), n), _share(total(length > 14), n),
         _share(total(length < 3), n), _share(distinct, n), _share(top, n), _share(total(again), n),
-        _share(pairs, n), np.log1p(lines), np.log1p(_share(size, lines)), 1 - _share(own_lines, lines),
+        _share(pairs, n), np.log1p(lines), np.log1p(_share(size, lines)), np.where(lines > 0, 1 - _share(own_lines, lines), 0),
     ])
 
 

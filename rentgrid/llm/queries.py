@@ -14,6 +14,7 @@ from .jaccard_join import near_duplicates
 from .labels import held_out
 from .licenses import TEMPLATES, THRESHOLD, licenses
 from .near_vectors import near_vectors
+from .periodic_runs import periodic_runs
 from .raking import DIMENSIONS, mix
 from .token_files import read_documents, write_token_files
 
@@ -131,6 +132,37 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def looped(id: Column, text: Column) -> Column:
+    """The text of every tenth id with its words from a place on replaced by a loop."""
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"))
+    h = F.crc32(id.cast("string").cast("binary"))
+
+    def loop(w: Column) -> Column:
+        n, g = F.size(w), F.floor(h / 10)
+        a = g % n
+        p = F.floor((n - a) / (g % 8 + 3)) + 1
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(w, place(i).cast("int")))
+
+    made = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, F.array_join(loop(w), " ")).otherwise(""))
+    return F.when((h % 10 == 0) & text.isNotNull(), made[0]).otherwise(text)
+
+
+@query(oracle.RUNS)
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = periodic_runs(docs.withColumn("text", looped(F.col("doc_id"), F.col("text"))))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("n"), (-r.start).alias("s"), (-r.period).alias("p"))))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r.start, r.length, r.period))
+    out = found.select("row.doc_id", "runs", "collapsed", longest.alias("best"))
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"),
+        F.col("best.n").alias("length"), (-F.col("best.p")).alias("period"),
+        F.expr("(1000 * best.n) div -best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -78,6 +78,12 @@ def give_back_memory() -> None:
     _trim()(0)
 
 
+def gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of ``data``, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return data[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
 @dataclass
 class Words:
     """Words of rows ``lo`` to ``hi`` of a batch: row ``r`` has words ``first[r-lo]:first[r-lo+1]``."""
@@ -114,6 +120,17 @@ class Words:
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
+    def numbers(self) -> np.ndarray:
+        """A number of each word; equal words, and only those, have the same one."""
+        sizes = self.ends - self.starts
+        offsets = np.zeros(len(sizes) + 1, dtype=np.int64)
+        np.cumsum(sizes, out=offsets[1:])
+        inside = gathered(self.data, self.starts, sizes)
+        column = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(inside)]
+        )
+        return column.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; nulls are empty."""
@@ -140,12 +157,16 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         lo = min(hi, n)
 
 
-def words(column: pa.Array, kind: np.ndarray = SPACED, limit: int = CHUNK_BYTES) -> Iterator[Words]:
-    """Lower-cased (A-Z only) words of a string column, some rows at a time."""
+def words(
+    column: pa.Array, kind: np.ndarray = SPACED, limit: int = CHUNK_BYTES, lower: bool = True
+) -> Iterator[Words]:
+    """Words of a string column, lower-cased (A-Z only) or as they are, some rows at a time."""
     data, offsets = buffers(column)
     for lo, hi in chunks(offsets, limit):
         own = offsets[lo : hi + 1] - offsets[lo]
-        low = _LOWER[data[offsets[lo] : offsets[hi]]]
+        low = data[offsets[lo] : offsets[hi]]
+        if lower:
+            low = _LOWER[low]
         inside = np.zeros(len(low) + 2, dtype=bool)
         inside[1:-1] = kind[low]
         cut = np.zeros(len(low) + 1, dtype=bool)  # a text starts here
