@@ -204,3 +204,76 @@ SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(-best.s AS BI
        sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
 FROM d LEFT JOIN m USING (rid) LEFT JOIN k USING (rid)
 """
+
+
+def _structure() -> str:
+    """Cheapest edits by a forward walk over turns: per state (cost k, initials a, text r).
+
+    Of equal costs at one state neither list of initials begins the other, so the least
+    list so far stays the least.
+    """
+    never = 1_000_000_000
+
+    def made(v: str, cost: str, initial: str, line: str | None) -> str:
+        text = f"{v}.r" if line is None else f"{v}.r || chr(10) || {line}"
+        return f"{{'k': CAST({v}.k + {cost} AS BIGINT), 'a': {v}.a || '{initial}', 'r': {text}}}"
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    given = lambda role: f"'{role}:'"
+    insert = lambda v, role: made(v, "5", "I", given(role))
+    own = "role || ':' || text"
+    keep = lambda v, x: made(v, f"stay + CASE WHEN who = '{x}' THEN 0 ELSE {never} END", "K", own)
+    name = lambda v, role: made(v, "stay + 1", "R", f"'{role}:' || text")
+    drop = lambda v: made(v, "2", "D", None)
+    opened = least("v2", *(insert(v, "user") for v in ("v0", "v1", "v3")))
+    closed = least("v3", insert("w2", "assistant"))
+    none = f"{{'k': CAST({never} AS BIGINT), 'a': '', 'r': ''}}"
+    before_user = ("v0", "v1", "w3")
+    return f"""
+WITH RECURSIVE o AS (
+  SELECT conv_id, coalesce(CAST(conv_id AS VARCHAR), ' ') AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS h
+  FROM conversations
+), r AS MATERIALIZED (
+  SELECT c, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM o
+), p AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role,
+              sha256(length(role) || ':' || role || text), copy) AS i FROM r
+), f AS MATERIALIZED (
+  SELECT c, i, turn, role, text, left(role, 1) AS who, CASE
+      WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' END AS fault,
+    coalesce(lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au'), FALSE) AS wrong
+  FROM p
+), g AS MATERIALIZED (
+  SELECT *, CASE fault WHEN 'blank' THEN {never} WHEN 'duplicate' THEN {never} WHEN 'truncated' THEN 5 ELSE 0 END AS stay FROM f
+), d AS (
+  SELECT DISTINCT c, CAST(0 AS BIGINT) AS i, {{'k': CAST(0 AS BIGINT), 'a': '', 'r': ''}} AS v0, {none} AS v1, {none} AS v2, {none} AS v3 FROM p
+  UNION ALL
+  SELECT c, i, {drop("v0")}, {least(drop("v1"), keep("v0", "s"))},
+         {least(drop("w2"), *(keep(v, "u") for v in before_user), *(name(v, "user") for v in before_user))},
+         {least(drop("w3"), keep("w2", "a"), name("w2", "assistant"))}
+  FROM (SELECT *, {closed} AS w3 FROM (
+    SELECT d.c, g.i, v0, v1, v3, {opened} AS w2, role, text, who, stay FROM d JOIN g ON g.c = d.c AND g.i = d.i + 1))
+), e AS (
+  SELECT c, {least("v0", "w3")} AS best FROM (SELECT *, {closed} AS w3 FROM (
+    SELECT d.c, v0, v1, v3, {opened} AS w2 FROM d JOIN (SELECT c, max(i) AS i FROM p GROUP BY c) USING (c, i)))
+), s AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE wrong) AS illegal FROM f GROUP BY c
+)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.k, 0) AS BIGINT) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.r, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, c FROM o) LEFT JOIN s USING (c) LEFT JOIN e USING (c)
+"""
+
+
+STRUCTURE = _structure()

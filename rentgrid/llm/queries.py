@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from .licenses import TEMPLATES, THRESHOLD, licenses
 from .near_vectors import near_vectors
 from .periodic_runs import periodic_runs
 from .raking import DIMENSIONS, mix
+from .structure_repair import fingerprints, repaired
 from .token_files import read_documents, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,6 +134,38 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns dropped, emptied, cut, repeated or given to the user, by a hash of their place."""
+    spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    h = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")) % 20
+    text = F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.regexp_replace(spaced("text"), "[.!?]", ""))
+    rows = turns.select("*", h.alias("h")).where("h <> 0").select(
+        "conv_id", "turn", F.when(F.col("h") == 4, "user").otherwise(spaced("role")).alias("role"),
+        text.otherwise(spaced("text")).alias("text"), "h",
+    )
+    copies = F.when(F.col("h") == 3, 2).otherwise(1)
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("h", "copy")
+
+
+EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
+
+
+@query(oracle.STRUCTURE)
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    found = repaired(damaged(turns))
+    texts = fingerprints(found.turns).withColumnRenamed("conv_id", "_id")
+    every = turns.select(F.col("conv_id").alias("_conv")).distinct()
+    report = found.report
+    out = every.join(report, every["_conv"].eqNullSafe(report["conv_id"]), "left").drop("conv_id")
+    out = out.join(texts, out["_conv"].eqNullSafe(texts["_id"]), "left")
+    figures = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return out.select(
+        F.col("_conv").alias("conv_id"), *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in figures),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.lit(EMPTY_SHA256)).alias("repaired_sha256"),
+    )
+
+
 def looped(id: Column, text: Column) -> Column:
     """The text of every tenth id with its words from a place on replaced by a loop."""
     words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"))

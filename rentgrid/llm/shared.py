@@ -70,3 +70,15 @@ def in_bloom(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """``bits``: the filter unpacked to one bool per bit."""
     a, b = _positions(ids.astype(np.int64))
     return bits[a] & bits[b]
+
+
+PART_BYTES = 64 << 20
+
+
+def parts_of(df: DataFrame) -> int:
+    """Tasks for a sort of ``df``: its size as Spark estimates it (files: their length) over PART_BYTES.
+
+    An explicit count is not adapted at run time, so it must grow with the input.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(df.sparkSession.sparkContext.defaultParallelism, min(-(-size // PART_BYTES), 1 << 16))
