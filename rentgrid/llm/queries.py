@@ -13,6 +13,7 @@ from .chat_repair import formatted
 from .decontaminate import contamination
 from .jaccard_join import near_duplicates
 from .labels import held_out
+from .learned_partitions import nearest
 from .licenses import TEMPLATES, THRESHOLD, licenses
 from .near_vectors import near_vectors
 from .periodic_runs import periodic_runs
@@ -197,6 +198,11 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op13_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(_table(spark, folder, "embeddings"), asks=lambda id: id % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
