@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by learned partitions (largest inner product).
 
-- **Neighbour graph.** On the driver, on about SAMPLE vectors at most: each one's NEIGHBOURS
-  nearest of the sample.
+- **Neighbour graph.** In one task, on about SAMPLE vectors at most: each one's NEIGHBOURS
+  nearest of the sample. The driver gets the fitted weights alone.
 - **Balanced partitions** of that graph: parts grow from seeds along edges up to an equal
   size, then vertices move to the part that holds most of their neighbours, as long as no
   part exceeds SLACK times the mean.
@@ -165,7 +165,7 @@ def _learn(x: np.ndarray, wanted: np.ndarray, hidden: int, epochs: int, rng) ->
     return Router(w[0], w[1])
 
 
-def fit(x: np.ndarray, parts: int, k: int = WANTED, seed: int = 3) -> Router:
+def fit(x: np.ndarray, parts: int, k: int = WANTED, target: float = TARGET, seed: int = 3) -> Router:
     """A router for ``parts`` parts; its mass is set on vectors that it has not learnt from."""
     rng = np.random.default_rng(seed)
     x = x / np.abs(x).max()
@@ -182,12 +182,31 @@ def fit(x: np.ndarray, parts: int, k: int = WANTED, seed: int = 3) -> Router:
     near, p = neighbours(held, min(k, len(held)), out), router.probabilities(out)
     for mass in 1 - np.geomspace(0.9, 1e-4, 60):
         router.mass = float(mass)
-        if np.take_along_axis(router.visits(p), place[near], 1).mean() >= TARGET:
+        if np.take_along_axis(router.visits(p), place[near], 1).mean() >= target:
             return router
     router.mass = 2.0  # all parts
     return router
 
 
+def _fitted(sample: DataFrame, width: int, most: int, k: int, target: float) -> Router:
+    """A router for ``most`` parts, fewer if the sample has less than 40 vectors for each."""
+
+    def task(batches):
+        batches = [b for b in batches if b.num_rows]
+        if batches:
+            table = pa.Table.from_batches(batches).sort_by([("rep", "ascending"), ("cls", "ascending")])
+            x = _matrix(table["vec"].combine_chunks(), width)
+            r = fit(x, max(1, min(most, len(x) // 40)), k, target)
+            values = {"first": [r.first.tobytes()], "second": [r.second.tobytes()], "parts": [r.parts], "mass": [r.mass]}
+            yield pa.RecordBatch.from_pydict(values)
+
+    rows = sample.repartition(1).mapInArrow(task, "first binary, second binary, parts long, mass double").collect()
+    if not rows:
+        return Router(np.zeros((width + 1, 1)), np.zeros((2, 1)))
+    first, second = np.frombuffer(rows[0].first), np.frombuffer(rows[0].second)
+    return Router(first.reshape(width + 1, -1), second.reshape(-1, rows[0].parts), rows[0].mass)
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     """Vectors as rows, zeros after shorter ones."""
     n = column.value_lengths().to_numpy(zero_copy_only=False)
@@ -252,9 +271,7 @@ def nearest(
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     share = min(1.0, SAMPLE / n)
     sample = classes.where(F.pmod(F.xxhash64("cls"), F.lit(1 << 30)) < int(share * (1 << 30))).select("rep", "cls", "vec")
-    sample = _matrix(sample.toArrow().sort_by([("rep", "ascending"), ("cls", "ascending")])["vec"].combine_chunks(), width)
-    parts = max(1, min(int(np.sqrt(n) / 4), len(sample) // 40))
-    router = fit(sample, parts, k) if len(sample) else Router(np.zeros((width + 1, 1)), np.zeros((2, 1)))
+    router = _fitted(sample, width, int(np.sqrt(n) / 4), k, TARGET)
 
     def place(batches):
         for batch in batches:
