@@ -107,6 +107,7 @@ class Namespaces:
     raw: str = "raw"
     staging: str = "staging"
     marts: str = "marts"
+    manifest: str = "manifest"
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,7 @@ from ..config import PipelineConfig
 from ..operators import quality as q
 from ..sources.csv_tree import file_inventory, scan_csv_tree
 from ..sources.rates import rate_series, read_payloads, typed_rates, write_rate_csv
-from ..sources.tables import RunTables
+from ..sources.snapshots import RunTables
 from ..sources.workspace import Workspace
 from .marts import (
     build_calendar_dim,
@@ -113,30 +113,33 @@ def land_rate_series(
 
 
 def run(spark: SparkSession, config: PipelineConfig) -> Layers:
-    """CSV trees below ``raw_root`` -> published tables of all three layers."""
+    """CSV trees below ``raw_root`` -> published tables of all three layers, in one step.
+
+    A run that fails leaves the last published tables as they were and removes its own.
+    """
     folders = {s.name: f"{config.raw_root}/{s.name}" for s in (config.first, config.second)}
     missing = file_inventory(spark, folders, config.expected_years)
     q.enforce(q.report(q.file_inventory_check(missing)), config.tolerated)
 
-    tables, workspace = RunTables(spark, config.warehouse), Workspace(spark)
-
-    def load(name: str, columns: list[str]) -> DataFrame:
-        raw = scan_csv_tree(spark, f"{config.raw_root}/{name}", columns)
-        return tables.write(raw.select(*columns), config.namespaces.raw, name)
-
-    raw_first, raw_second, raw_rates = together(
-        lambda: load(config.first.name, config.first.columns),
-        lambda: load(config.second.name, config.second.columns),
-        lambda: load(config.rate_name, ["fecha", "valor"]),
-    )
-    rates = workspace.keep(typed_rates(raw_rates), "rates")
-    q.enforce(
-        q.report(
-            q.tables_non_empty({config.first.name: raw_first, config.second.name: raw_second}),
-            q.year_coverage_check(rates, config.expected_years),
-        ),
-        config.tolerated,
-    )
-    layers = build_layers(raw_first, raw_second, rates, config, tables, workspace)
-    tables.publish()
-    return layers
+    with RunTables(spark, config.warehouse, config.namespaces.manifest) as tables, Workspace(spark) as workspace:
+
+        def load(name: str, columns: list[str]) -> DataFrame:
+            raw = scan_csv_tree(spark, f"{config.raw_root}/{name}", columns)
+            return tables.write(raw.select(*columns), config.namespaces.raw, name)
+
+        raw_first, raw_second, raw_rates = together(
+            lambda: load(config.first.name, config.first.columns),
+            lambda: load(config.second.name, config.second.columns),
+            lambda: load(config.rate_name, ["fecha", "valor"]),
+        )
+        rates = tables.write(typed_rates(raw_rates), config.namespaces.staging, f"stg_{config.rate_name}")
+        q.enforce(
+            q.report(
+                q.tables_non_empty({config.first.name: raw_first, config.second.name: raw_second}),
+                q.year_coverage_check(rates, config.expected_years),
+            ),
+            config.tolerated,
+        )
+        layers = build_layers(raw_first, raw_second, rates, config, tables, workspace)
+        tables.publish()
+        return layers

@@ -1,14 +1,7 @@
-"""Tables of the three layers.
-
-Each run writes its tables to a folder of its own and only then points the
-catalog names at them, so checks run before anything is published and a failed
-run leaves the last good tables in place.
-"""
+"""Plain tables and folders: read, replace, count. Runs publish through ``snapshots``."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,52 +23,3 @@ def overwrite_folder(df: DataFrame, path: str) -> DataFrame:
 def loaded_row_count(df: DataFrame) -> int:
     return df.count()
 
-
-class RunTables:
-    """Tables of one run below ``warehouse``; published together at the end."""
-
-    def __init__(self, spark: SparkSession, warehouse: str):
-        self.spark = spark
-        self.warehouse = warehouse.rstrip("/")
-        self.root = f"{self.warehouse}/run-{uuid.uuid4().hex}"
-        self.written: dict[tuple[str, str], tuple[str, DataFrame]] = {}
-        self.views: dict[tuple[str, str], list[str]] = {}
-
-    def write(self, df: DataFrame, namespace: str, name: str) -> DataFrame:
-        path = f"{self.root}/{namespace}/{name}"
-        df.write.parquet(path)
-        table = self.spark.read.schema(df.schema).parquet(path)
-        self.written[namespace, name] = (path, table)
-        return table
-
-    def union_view(self, namespace: str, name: str, parts: list[str]) -> None:
-        """Publish ``name`` as UNION ALL of tables of the same namespace."""
-        self.views[namespace, name] = parts
-
-    def publish(self) -> None:
-        for namespace in {namespace for namespace, _ in [*self.written, *self.views]}:
-            self.spark.sql(
-                f"CREATE DATABASE IF NOT EXISTS `{namespace}` LOCATION '{self.warehouse}/{namespace}'"
-            )
-        for (namespace, name), (path, table) in self.written.items():
-            full_name = f"`{namespace}`.`{name}`"
-            if self._same_shape(full_name, table):
-                # one catalog change: readers never find the name gone
-                self.spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{path}'")
-                self.spark.catalog.refreshTable(full_name)
-            else:
-                self.spark.sql(f"DROP TABLE IF EXISTS {full_name}")
-                self.spark.catalog.createTable(
-                    full_name, path=path, source="parquet", schema=table.schema
-                )
-        for (namespace, name), parts in self.views.items():
-            union = " UNION ALL ".join(f"SELECT * FROM `{namespace}`.`{p}`" for p in parts)
-            self.spark.sql(f"CREATE OR REPLACE VIEW `{namespace}`.`{name}` AS {union}")
-
-    def _same_shape(self, full_name: str, table: DataFrame) -> bool:
-        catalog = self.spark.catalog
-        return (
-            catalog.tableExists(full_name)
-            and catalog.getTable(full_name).tableType == "EXTERNAL"
-            and self.spark.table(full_name).dtypes == table.dtypes
-        )

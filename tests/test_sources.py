@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from listing_data import FIRST, SECOND
 from rentgrid.config import Namespaces, PipelineConfig
 from rentgrid.operators import quality as q
+from rentgrid.sources.snapshots import Manifest, RunTables
 from rentgrid.plans.pipeline import land_rate_series, run
 from rentgrid.sources import csv_tree, rates, tables
 
@@ -159,6 +160,119 @@ def test_failed_check_keeps_the_last_tables(spark, landing):
     assert tables.scan_table(spark, "t_marts", "fct_arriendos").count() == before
 
 
+def tables_of(spark):
+    """What readers of the published names see, all layers."""
+    names = {"t_raw": [FIRST.name, "uf"], "t_staging": ["stg_arriendos"], "t_marts": ["dim_comuna", "dim_calendario", "fct_arriendos"]}
+    return {
+        n: sorted(map(str, tables.scan_table(spark, ns, n).collect())) for ns, each in names.items() for n in each
+    }
+
+
+def snapshots_in(folder):
+    return {p.name for p in folder.rglob("snapshot=*")}
+
+
+def dearer(landing):
+    """New listings: the first source has other prices and places."""
+    for file in (landing / "raw" / FIRST.name).rglob("*.csv"):
+        file.write_text(file.read_text().replace(",50000", ",90000").replace("las   condes", "vitacura"))
+
+
+@pytest.mark.parametrize("step", ["second table", "last table", "before commit", "while cleaning"])
+def test_a_run_that_fails_while_publishing_shows_nothing(spark, landing, monkeypatch, step):
+    cfg = config(landing / "raw", landing / "warehouse")
+    run(spark, cfg)
+    before, held = tables_of(spark), snapshots_in(landing / "warehouse")
+    dearer(landing)
+    added = []
+    add, commit, clean = RunTables._add, Manifest.commit, RunTables._clean
+
+    def failing_add(self, namespace, name, table):
+        add(self, namespace, name, table)
+        added.append(name)
+        if len(added) == {"second table": 2, "last table": len(self.written)}.get(step):
+            raise OSError("lost")
+
+    def failing_commit(self, *a):
+        if step == "before commit":
+            raise OSError("lost")
+        return commit(self, *a)
+
+    def failing_clean(self, *a):
+        if step == "while cleaning":
+            raise OSError("lost")
+        return clean(self, *a)
+
+    monkeypatch.setattr(RunTables, "_add", failing_add)
+    monkeypatch.setattr(Manifest, "commit", failing_commit)
+    monkeypatch.setattr(RunTables, "_clean", failing_clean)
+    with pytest.raises(OSError):
+        run(spark, cfg)
+    monkeypatch.undo()
+    if step == "while cleaning":  # the commit has been made: everything is new
+        after = tables_of(spark)
+        assert all(after[n] != before[n] for n in ("stg_arriendos", "dim_comuna", "fct_arriendos"))
+        return
+    assert tables_of(spark) == before
+    assert snapshots_in(landing / "warehouse") == held
+    run(spark, cfg)  # and the next run publishes all of it
+    after = tables_of(spark)
+    assert all(after[n] != before[n] for n in ("stg_arriendos", "dim_comuna", "fct_arriendos"))
+
+
+def test_old_snapshots_are_removed(spark, landing):
+    cfg = config(landing / "raw", landing / "warehouse")
+    seen = []
+    for _ in range(4):
+        run(spark, cfg)
+        seen.append(snapshots_in(landing / "warehouse"))
+    assert [len(s) for s in seen] == [1, 2, 2, 2] and len(seen[0] | seen[1] | seen[2] | seen[3]) == 4
+    assert len(list((landing / "warehouse" / "commits").glob("commit-*.json"))) == 2
+    versions = spark.table("t_marts.fct_arriendos__snapshots").select("snapshot").distinct().count()
+    assert versions == 2
+    assert not list((landing / "warehouse").rglob("run-*"))
+
+
+def test_views_read_one_snapshot_alone(spark, landing):
+    cfg = config(landing / "raw", landing / "warehouse")
+    for _ in range(2):
+        run(spark, cfg)
+    df = spark.table("t_marts.fct_arriendos")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "snapshot" in plan
+    read = [p for p in df.inputFiles()]
+    rows = spark.table("t_marts.fct_arriendos__snapshots").groupBy("snapshot").count().collect()
+    assert read and len(rows) == 2 and {r["count"] for r in rows} == {df.count()}
+
+
+def test_a_table_may_gain_columns_only(spark, tmp_path):
+    def publish(df):
+        with RunTables(spark, str(tmp_path / "w"), "t_gain_manifest") as t:
+            t.write(df, "t_gain", "numbers")
+            t.publish()
+
+    publish(spark.range(3))
+    publish(spark.range(4).withColumn("b", F.lit("x")))
+    assert spark.table("t_gain.numbers").columns == ["id", "b"] and spark.table("t_gain.numbers").count() == 4
+    with pytest.raises(TypeError, match="gain columns only"):
+        publish(spark.range(5).select(F.col("id").cast("string"), F.lit("y").alias("b")))
+    assert spark.table("t_gain.numbers").count() == 4
+    with pytest.raises(ValueError, match="snapshot"):
+        publish(spark.range(1).withColumn("snapshot", F.lit(1)))
+
+
+def test_commits_of_two_writers_are_numbered(spark, tmp_path):
+    a, b = (Manifest(spark, str(tmp_path / "w"), "t_two") for _ in range(2))
+    a.register()
+    assert a.commit(10, ["x"]) == 1
+    assert b.store.create(f"{b.folder}/commit-000000000002.json", json.dumps({"seq": 2, "snapshot": 20, "tables": []}))
+    assert not b.store.create(f"{b.folder}/commit-000000000002.json", "{}")
+    assert a.commit(15, ["x"]) == 3
+    assert spark.sql(f"SELECT {a.current()} AS s").first().s == 15
+    assert a.forget(1) == [10, 20] and a.history() == [(3, 15)]
+
+
 def test_missing_file_stops_the_run(spark, landing):
     (landing / "raw" / SECOND.name / "2023" / "2023-09.csv").unlink()
     with pytest.raises(q.QualityError, match="file_inventory_complete=1"):
