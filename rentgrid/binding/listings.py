@@ -138,6 +138,48 @@ class Listings:
             F.to_json(F.struct(F.collect_list(point).alias("serie"))).alias("payload")
         )
 
+    @property
+    def faulty_payloads(self) -> DataFrame:
+        """``archivo, payload``: the series as it might land, with all kinds of faults.
+
+        By year: the payload, in which some days' points are faulty or come twice; the same
+        cut off; one without the key; one with an empty series.
+        """
+        day = F.substring("fecha", 1, 10).cast("date")
+        at = lambda d, rest: (F.dayofmonth(day) == d) & (F.month(day) % 4 == rest)
+        made = lambda fecha, valor: F.concat(
+            F.lit('{"fecha":"'), fecha, F.lit('","valor":'), valor, F.lit("}")
+        )
+        value = F.to_json(F.struct("valor"))
+        number = F.regexp_extract(value, r':(.*)\}', 1)
+        text = (
+            F.when(at(13, 1), made(F.lit("sin fecha"), number)).when(at(17, 2), made(F.col("fecha"), F.lit("null")))
+            .when(at(19, 3), made(F.col("fecha"), F.lit('"n/d"'))).otherwise(made(F.col("fecha"), number))
+        )
+        again = F.when(at(23, 0), F.array(text, made(F.col("fecha"), F.lit("1.0")))).otherwise(F.array(text))
+        points = self.raw_rates.select("fecha", F.posexplode(again).alias("copia", "punto"))
+        years = points.groupBy(F.substring("fecha", 1, 4).alias("anio")).agg(
+            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("fecha", "copia", "punto"))), lambda p: p.punto), ",").alias("lista")
+        )
+        whole = F.concat(F.lit('{"serie":['), "lista", F.lit("]}"))
+        half = F.substr(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int"))
+        contents = {
+            "": whole, "-cortado": half, "-vacio": F.lit('{"serie":[]}'),
+            "-otra": F.concat(F.lit('{"series":['), "lista", F.lit("]}")),
+        }
+        files = F.array(
+            *(F.struct(F.concat("anio", F.lit(end)).alias("archivo"), text.alias("payload")) for end, text in contents.items())
+        )
+        return years.select(F.inline(files))
+
+    @cached_property
+    def landed(self) -> str:
+        """Folder with those payloads, one text file each."""
+        path = self.workspace.path("payloads")
+        files = self.faulty_payloads
+        files.repartition(8, "archivo").write.partitionBy("archivo").text(path)
+        return path
+
     # --- layers ----------------------------------------------------------------
 
     @cached_property

@@ -50,6 +50,13 @@ BLOCKS = {
     "rates": """
         SELECT CAST(o_orderdate AS DATE) AS fecha_dt, max(o_totalprice) / 100 AS valor_uf
         FROM orders GROUP BY 1""",
+    "landed": """
+        SELECT *, CAST(strftime(fecha_dt, '%Y') AS VARCHAR) AS anio,
+               CASE WHEN day(fecha_dt) = 13 AND month(fecha_dt) % 4 = 1 THEN 'fecha_invalida'
+                    WHEN day(fecha_dt) = 17 AND month(fecha_dt) % 4 = 2 THEN 'valor_nulo'
+                    WHEN day(fecha_dt) = 19 AND month(fecha_dt) % 4 = 3 THEN 'valor_invalido' END AS motivo,
+               day(fecha_dt) = 23 AND month(fecha_dt) % 4 = 0 AS dos_veces
+        FROM rates""",
     "clean": """
         SELECT DISTINCT * FROM raw_both""",
     "listings": """

@@ -17,11 +17,13 @@ from ..operators import profile as pf
 from ..operators import quality as q
 from ..operators.quantiles import approx_quantiles
 from ..plans.marts import below_threshold, ratio_thresholds, usable_listings
-from ..plans.pipeline import run
+from ..plans.pipeline import land_rate_series, run
 from ..sources.csv_tree import (
     list_files, missing_periods, period_of_path, scan_csv_tree, with_source_file, write_csv_tree,
 )
-from ..sources.rates import flatten_payloads, typed_rates, write_rate_csv
+from ..sources.rates import (
+    flatten_payloads, landed_points, read_payloads, refused, typed_rates, write_rate_csv,
+)
 from ..sources.tables import loaded_row_count, overwrite_folder
 from .listings import ALPHA, BETA, RULES, Listings, listings
 from .oracle import with_blocks
@@ -294,13 +296,41 @@ def year_coverage(x: Listings) -> DataFrame:
 
 
 @query("""
-    SELECT unnest(['payload_without_series', 'payload_bad_date', 'payload_null_value']) AS check_name,
-           unnest([count(*) FILTER (WHERE fecha_dt IS NULL AND valor_uf IS NULL),
-                   count(*) FILTER (WHERE fecha_dt IS NULL),
-                   count(*) FILTER (WHERE valor_uf IS NULL)]) AS n_bad,
-           TRUE AS ok FROM rates""")
+    SELECT check_name, n_bad, n_bad = 0 AS ok FROM (
+      SELECT unnest(['payload_without_series', 'payload_bad_date', 'payload_null_value']) AS check_name,
+             unnest([(SELECT 3 * count(DISTINCT anio) FROM landed),
+                     (SELECT count(*) FROM landed WHERE motivo = 'fecha_invalida'),
+                     (SELECT count(*) FROM landed WHERE motivo IN ('valor_nulo', 'valor_invalido'))]) AS n_bad)""")
 def payload_quality(x: Listings) -> DataFrame:
-    return q.report(q.payload_quality(x.payloads))
+    return q.report(q.payload_quality(x.faulty_payloads))
+
+
+@query("SELECT fecha_dt, valor_uf FROM landed WHERE motivo IS NULL")
+def landed_rate_series(x: Listings) -> DataFrame:
+    """JSON files as they might land -> checks and quarantine -> CSV -> typed series."""
+    folder = x.workspace.path("uf")
+    # at small scales single days have no order, and the last year is short at all scales
+    years = tuple(range(1995, 2002))
+    land_rate_series(
+        x.spark, x.landed, folder, years, frozenset({"year_coverage"}), x.workspace.path("cuarentena"), "*.txt"
+    )
+    return typed_rates(x.spark.read.option("header", True).csv(folder))
+
+
+@query("""
+    SELECT anio AS archivo, motivo, count(*) AS n, CAST(0 AS BIGINT) AS n_con_contenido FROM landed
+    WHERE motivo IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT anio, 'fecha_repetida', count(*), 0 FROM landed WHERE dos_veces GROUP BY ALL
+    UNION ALL SELECT DISTINCT anio || ende, motivo, 1, 1 FROM (SELECT DISTINCT anio FROM landed),
+      (VALUES ('-cortado', 'json_invalido'), ('-otra', 'sin_serie'), ('-vacio', 'serie_vacia')) v(ende, motivo)""")
+def payload_quarantine(x: Listings) -> DataFrame:
+    """What the landing refuses, by file and reason."""
+    points = landed_points(read_payloads(x.spark, x.landed, "*.txt"))
+    kept = overwrite_folder(refused(points), x.workspace.path("cuarentena"))
+    file = F.regexp_extract("archivo", "archivo=([^/]+)/", 1)
+    return kept.groupBy(file.alias("archivo"), "motivo").agg(
+        F.count("*").alias("n"), F.count("contenido").alias("n_con_contenido")
+    )
 
 
 @query("""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AREA_ROOM, AREA_SENTINEL, YEAR_COVERAGE
-from ..sources.rates import parse_payloads
+from ..sources.rates import REASONS, parse_payloads
 
 
 class QualityError(RuntimeError):
@@ -139,6 +139,11 @@ def payload_quality(payloads: DataFrame, column: str = "payload") -> DataFrame:
     )
 
 
+def landed_quality(points: DataFrame) -> DataFrame:
+    """Points and payloads refused, by reason."""
+    return _checks(points, {f"payload:{r}": F.count_if(F.col("motivo") == r) for r in REASONS})
+
+
 def year_coverage(
     rates: DataFrame, years: Sequence[int] | None = None, share: float = YEAR_COVERAGE
 ) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import PipelineConfig
 from ..operators import quality as q
 from ..sources.csv_tree import file_inventory, scan_csv_tree
-from ..sources.rates import rate_series, read_payloads, typed_rates, write_rate_csv
+from ..sources.rates import accepted, landed_points, read_payloads, refused, typed_rates, write_rate_csv
 from ..sources.snapshots import RunTables
+from ..sources.tables import overwrite_folder
 from ..sources.workspace import Workspace
 from .marts import (
     build_calendar_dim,
@@ -101,15 +102,24 @@ def build_layers(
 
 def land_rate_series(
     spark: SparkSession, payload_folder: str, csv_folder: str, years: tuple[int, ...],
-    tolerated: frozenset[str] = frozenset(),
+    tolerated: frozenset[str] = frozenset(), quarantine: str | None = None, pattern: str = "*.json",
 ) -> DataFrame:
-    """Landed yearly payloads -> one checked series, sorted by day, as raw CSV."""
-    payloads = read_payloads(spark, payload_folder)
-    q.enforce(q.report(q.payload_quality(payloads)), tolerated)
-    series = rate_series(payloads)
-    q.enforce(q.report(q.year_coverage_check(typed_rates(series), years)), tolerated)
-    write_rate_csv(series, csv_folder)
-    return series
+    """Landed yearly payloads -> one checked series, sorted by day, as raw CSV.
+
+    A faulty point or payload stops the landing. With a ``quarantine`` folder it is put
+    there instead, with its reason, and the others land; then only the coverage of
+    ``years`` may stop it, and the faulty rows are there to be looked at.
+    """
+    with Workspace(spark) as workspace:
+        points = workspace.keep(landed_points(read_payloads(spark, payload_folder, pattern)), "points")
+        if quarantine is None:
+            q.enforce(q.report(q.landed_quality(points)), tolerated)
+        else:
+            overwrite_folder(refused(points), quarantine)
+        series = accepted(points)
+        q.enforce(q.report(q.year_coverage_check(typed_rates(series), years)), tolerated)
+        write_rate_csv(series, csv_folder)
+    return spark.read.schema(series.schema).option("header", True).csv(csv_folder)
 
 
 def run(spark: SparkSession, config: PipelineConfig) -> Layers:

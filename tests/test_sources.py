@@ -297,3 +297,55 @@ def test_files_per_period_do_not_follow_the_tasks(spark, tmp_path):
     write_csv_tree(rows, str(tmp_path / "tree"), "periodo")
     files = list((tmp_path / "tree").rglob("*.csv"))
     assert len(files) <= 5
+
+
+def point(day, value):
+    return {"fecha": f"{day}T03:00:00.000Z", "valor": value}
+
+
+PAYLOADS = {
+    "a": json.dumps({"serie": [point("2023-01-01", 1.5), point("2023-01-02", None), point("2023-01-03", "n/d"), point("x", 2)]}),
+    "b": json.dumps({"serie": [point("2023-01-01", 9.0), point("2023-01-04", 4), point("2023-01-05", "5.5"), None, point("2023-01-06", "NaN")]}),
+    "c": '{"serie": [', "d": "{}", "e": '{"serie": []}', "f": '{"serie": 7}', "g": "", "h": '{"serie": [{"fecha": "2023-01-07"}]}',
+}
+
+
+@pytest.fixture
+def faulty(tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, text in PAYLOADS.items():
+        (tmp_path / "in" / f"{name}.json").write_text(text)
+    return tmp_path
+
+
+def test_landed_points_have_their_reason(spark, faulty):
+    points = rates.landed_points(rates.read_payloads(spark, str(faulty / "in")))
+    got = sorted((r.archivo[-6], -1 if r.posicion is None else r.posicion, r.motivo, r.contenido) for r in points.collect())
+    assert got == [
+        ("a", 0, None, None), ("a", 1, "valor_nulo", None), ("a", 2, "valor_invalido", None), ("a", 3, "fecha_invalida", None),
+        ("b", 0, "fecha_repetida", None), ("b", 1, None, None), ("b", 2, None, None), ("b", 3, "fecha_invalida", None),
+        ("b", 4, "valor_invalido", None), ("c", -1, "json_invalido", PAYLOADS["c"]), ("d", -1, "sin_serie", "{}"),
+        ("e", -1, "serie_vacia", PAYLOADS["e"]), ("f", -1, "json_invalido", PAYLOADS["f"]), ("g", -1, got[-2][2], ""),
+        ("h", 0, "valor_nulo", None),
+    ]
+    assert got[-2][2] in ("json_invalido", "sin_serie")
+
+
+def test_faulty_points_stop_or_are_put_apart(spark, faulty):
+    folders = [str(faulty / n) for n in ("in", "uf", "apart")]
+    with pytest.raises(q.QualityError, match="payload:json_invalido"):
+        land_rate_series(spark, *folders[:2], (2023,))
+    assert not (faulty / "uf").exists()
+    with pytest.raises(q.QualityError, match="year_coverage"):
+        land_rate_series(spark, *folders[:2], (2023,), quarantine=folders[2])
+    assert spark.read.parquet(folders[2]).count() == 12 and not (faulty / "uf").exists()
+    for _ in range(2):  # landing again replaces both
+        series = land_rate_series(spark, *folders[:2], (2023,), frozenset({"year_coverage"}), folders[2])
+        assert sorted((r.fecha[:10], r.valor) for r in series.collect()) == [("2023-01-01", 1.5), ("2023-01-04", 4.0), ("2023-01-05", 5.5)]
+        assert spark.read.parquet(folders[2]).count() == 12
+
+
+def test_nothing_landed(spark):
+    points = rates.landed_points(spark.createDataFrame([], "payload string, archivo string"))
+    assert points.count() == 0
+    assert {r.n_bad for r in q.landed_quality(points).collect()} == {0}
