@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ListingRules, dual_price_source, single_price_source
+from ..operators.profile import collapsed
+from ..operators.sketches import sketched
 from ..plans.marts import (
     build_fact,
     build_place_dim,
@@ -191,6 +193,27 @@ class Listings:
     def beta_raw(self) -> DataFrame:
         return self.workspace.keep(self.raw_beta, "raw_beta")
 
+    @cached_property
+    def alpha_rows(self) -> DataFrame:
+        """Distinct raw rows of ``alpha`` and how often each occurs: what copy profiles share."""
+        return collapsed(self.alpha_raw, ALPHA.columns, self.workspace)
+
+    @cached_property
+    def beta_rows(self) -> DataFrame:
+        return collapsed(self.beta_raw, BETA.columns, self.workspace)
+
+    @cached_property
+    def ratio_sketches(self) -> DataFrame:
+        """One sketch of the price per square metre for each source and month."""
+        usable = usable_listings(self.listings).withColumn("mes", F.trunc("fecha_scraping", "month"))
+        return self.workspace.keep(sketched(usable, ["fuente", "mes"], "precio_clp_por_m2"), "bocetos")
+
+    @cached_property
+    def known_outliers(self) -> DataFrame:
+        """Ids of listings beyond their source's threshold."""
+        beyond = usable_listings(self.listings).join(self.thresholds, "fuente").where("precio_clp_por_m2 > umbral")
+        return self.workspace.keep(beyond.select("fuente", "id").distinct(), "atipicos")
+
     @cached_property
     def rates(self) -> DataFrame:
         return self.workspace.keep(typed_rates(self.raw_rates), "rates")

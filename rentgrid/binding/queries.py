@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,9 @@ from ..operators import anomalies as an
 from ..operators import metrics as mt
 from ..operators import profile as pf
 from ..operators import quality as q
-from ..operators.quantiles import approx_quantiles
-from ..plans.marts import below_threshold, ratio_thresholds, usable_listings
+from ..operators.quantiles import approx_quantiles, exact_quantiles
+from ..operators.sketches import measured_ranks, merged, rank_error, sketch_quantiles
+from ..plans.marts import below_threshold, build_calendar_dim, ratio_thresholds, usable_listings
 from ..plans.pipeline import land_rate_series, run
 from ..sources.csv_tree import (
     list_files, missing_periods, period_of_path, scan_csv_tree, with_source_file, write_csv_tree,
@@ -71,6 +73,15 @@ def both(x: Listings, fn: Callable[[DataFrame, str, str], DataFrame]) -> DataFra
     return parts[0].unionByName(parts[1])
 
 
+SOURCES = {"alpha": ALPHA, "beta": BETA}
+PRICES = {"alpha": ["precio"], "beta": ["precio_clp", "precio_uf"]}
+
+
+def both_sql(make: Callable[[str], str]) -> str:
+    """The same over the SQL of each raw source."""
+    return " UNION ALL ".join(f"(SELECT '{name}' AS fuente, * FROM ({make(name)}))" for name in SOURCES)
+
+
 # --- models ---------------------------------------------------------------------
 
 
@@ -193,17 +204,20 @@ def raw_tree(x: Listings) -> str:
 
 
 @query("""
-    SELECT strftime(fecha_scraping, '%Y-%m') AS periodo_archivo, count(*) AS n,
-           count(DISTINCT id) AS n_ids, max(precio) AS precio_maximo,
+    SELECT fuente, strftime(fecha_scraping, '%Y-%m') AS periodo_archivo, count(*) AS n,
+           count(DISTINCT id) AS n_ids, max(monto) AS precio_maximo,
            CAST(sum(length(comuna)) AS BIGINT) AS largo_comuna
-    FROM raw_alpha GROUP BY 1""")
+    FROM raw_both GROUP BY 1, 2""")
 def csv_tree_roundtrip(x: Listings) -> DataFrame:
-    rows = with_source_file(scan_csv_tree(x.spark, f"{raw_tree(x)}/alpha", ALPHA.columns))
-    return rows.groupBy("periodo_archivo").agg(
-        F.count("*").alias("n"), F.count_distinct("id").alias("n_ids"),
-        F.max(pf.number("precio")).alias("precio_maximo"),
-        F.sum(F.length("comuna")).alias("largo_comuna"),
-    )
+    def figures(_raw: DataFrame, _area: str, name: str) -> DataFrame:
+        rows = with_source_file(scan_csv_tree(x.spark, f"{raw_tree(x)}/{name}", SOURCES[name].columns))
+        return rows.groupBy("periodo_archivo").agg(
+            F.count("*").alias("n"), F.count_distinct("id").alias("n_ids"),
+            F.max(pf.number(PRICES[name][0])).alias("precio_maximo"),
+            F.sum(F.length("comuna")).alias("largo_comuna"),
+        )
+
+    return both(x, figures)
 
 
 @query("""
@@ -433,6 +447,30 @@ def outliers_absent(x: Listings) -> DataFrame:
     return q.outliers_absent(usable_listings(x.listings), x.thresholds, x.fact)
 
 
+@query("""
+    SELECT k.fuente, count(*) AS n_ids, count(f.n) AS n_ids_presentes, CAST(coalesce(sum(f.n), 0) AS BIGINT) AS n_filas
+    FROM (SELECT DISTINCT fuente, id FROM usable JOIN limits USING (fuente) WHERE precio_clp_por_m2 > umbral) k
+    LEFT JOIN (SELECT fuente, id, count(*) AS n FROM fact GROUP BY ALL) f USING (fuente, id) GROUP BY 1""")
+def known_ids_absent(x: Listings) -> DataFrame:
+    """Known outliers in the fact. Ids repeat here, so some come in with another row."""
+    return q.known_presence(x.fact, x.known_outliers)
+
+
+@query("""
+    SELECT CAST(d AS DATE) AS fecha, CAST(isodow(d) AS BIGINT) AS dia_semana, strftime(d, '%Y') || '-T' || quarter(d) AS periodo,
+           count(f.id) AS n_avisos
+    FROM (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS d)
+    LEFT JOIN fact f ON f.fecha_scraping = d GROUP BY d""")
+def calendar_configured(x: Listings) -> DataFrame:
+    """The calendar of a configured range, each day with its listings, none included."""
+    days = build_calendar_dim(x.spark, date(1995, 1, 1), date(2001, 12, 31))
+    listed = x.fact.groupBy("fecha_scraping").agg(F.count("*").alias("n"))
+    return days.join(listed, F.col("fecha") == F.col("fecha_scraping"), "left").select(
+        "fecha", "dia_semana", F.concat_ws("-T", F.col("anio"), F.col("trimestre")).alias("periodo"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_avisos"),
+    )
+
+
 @query("""
     SELECT fuente, count(*) AS total,
            count(*) FILTER (WHERE superficie_categoria = 'centinela') AS excluido_centinela,
@@ -476,118 +514,175 @@ def publication_order_check(x: Listings) -> DataFrame:
 
 # --- profiles -------------------------------------------------------------------------
 
-NULLS = " UNION ALL ".join(
-    f"SELECT '{c}' AS columna, count(*) FILTER (WHERE {c} IS NULL) AS n_nulos, "
-    f"round(100.0 * count(*) FILTER (WHERE {c} IS NULL) / count(*)::DOUBLE, 2) AS pct_nulos "
-    "FROM raw_alpha"
-    for c in ALPHA.columns
-)
-REPEATED = "SELECT id FROM raw_alpha GROUP BY id HAVING count(*) > 1"
-COLLISIONS = " UNION ALL ".join(
-    f"SELECT '{c}' AS columna, max(n) AS max_distintos FROM (SELECT count(DISTINCT {c}) AS n "
-    f"FROM raw_alpha WHERE id IN ({REPEATED}) GROUP BY id)"
-    for c in ALPHA.columns if c != "id"
-)
 CATEGORIES = ["tipo_propiedad", "tipo_operacion", "contact_type", "region"]
-FREQUENCIES = " UNION ALL ".join(
-    f"SELECT '{c}' AS columna, {c} AS valor, count(*) AS n FROM raw_alpha GROUP BY {c}"
-    for c in CATEGORIES
+DAYS = ["fecha_publicacion", "fecha_scraping"]
+
+
+def _rows_of(x: Listings, name: str) -> DataFrame:
+    return x.alpha_rows if name == "alpha" else x.beta_rows
+
+
+def _numbers_of(name: str) -> list[str]:
+    return [*PRICES[name], SOURCES[name].area]
+
+
+def _per_column(columns: Callable[[str], list[str]], body: str) -> str:
+    """``body`` with {c} for each column and {t} for each source's table."""
+    return both_sql(
+        lambda name: " UNION ALL ".join(
+            f"SELECT '{c}' AS columna, {body.format(c=c, t=f'raw_{name}')}" for c in columns(name)
+        )
+    )
+
+
+NULLS = _per_column(
+    lambda name: SOURCES[name].columns,
+    "count(*) FILTER (WHERE {c} IS NULL) AS n_nulos, "
+    "round(100.0 * count(*) FILTER (WHERE {c} IS NULL) / count(*)::DOUBLE, 2) AS pct_nulos FROM {t}",
+)
+COLLISIONS = _per_column(
+    lambda name: [c for c in SOURCES[name].columns if c != "id"],
+    "max(n) AS max_distintos FROM (SELECT count(DISTINCT {c}) AS n FROM {t} "
+    "WHERE id IN (SELECT id FROM {t} GROUP BY id HAVING count(*) > 1) GROUP BY id)",
 )
-DUPLICATES = (
-    "SELECT CAST(sum(n - 1) AS BIGINT) AS n_duplicados FROM "
-    f"(SELECT count(*) AS n FROM raw_alpha GROUP BY {', '.join(ALPHA.columns)})"
+FREQUENCIES = _per_column(lambda name: CATEGORIES, "{c} AS valor, count(*) AS n FROM {t} GROUP BY {c}")
+DUPLICATES = both_sql(
+    lambda name: "SELECT CAST(sum(n - 1) AS BIGINT) AS n_duplicados FROM "
+    f"(SELECT count(*) AS n FROM raw_{name} GROUP BY {', '.join(SOURCES[name].columns)})"
 )
-KEYS = (
-    "SELECT count(*) AS total, count(DISTINCT id) AS ids_distintos, "
-    "count(*) - count(DISTINCT id) AS diferencia FROM raw_alpha"
+KEYS = both_sql(
+    lambda name: "SELECT count(*) AS total, count(DISTINCT id) AS ids_distintos, "
+    f"count(*) - count(DISTINCT id) AS diferencia FROM raw_{name}"
 )
-STRIPPED = (
-    "SELECT 'comuna' AS columna, count(DISTINCT comuna) AS n_unicos, "
-    "count(DISTINCT comuna) FILTER (WHERE comuna <> trim(comuna)) AS n_con_espacios, "
-    "count(DISTINCT trim(comuna)) AS n_unicos_sin_espacios FROM raw_alpha"
+STRIPPED = _per_column(
+    lambda name: ["comuna"],
+    "count(DISTINCT {c}) AS n_unicos, count(DISTINCT {c}) FILTER (WHERE {c} <> trim({c})) AS n_con_espacios, "
+    "count(DISTINCT trim({c})) AS n_unicos_sin_espacios FROM {t}",
 )
-DATES = " UNION ALL ".join(
-    f"SELECT '{c}' AS columna, count(*) FILTER (WHERE {c} IS NULL) AS n_sin_parsear, "
-    f"min({c}) AS desde, max({c}) AS hasta FROM raw_alpha"
-    for c in ("fecha_publicacion", "fecha_scraping")
+DATES = _per_column(
+    lambda name: DAYS,
+    "count(*) FILTER (WHERE {c} IS NULL) AS n_sin_parsear, min({c}) AS desde, max({c}) AS hasta FROM {t}",
 )
-NONPOSITIVE = " UNION ALL ".join(
-    f"SELECT '{c}' AS columna, count(*) FILTER (WHERE {c} <= 0) AS n_no_positivos FROM raw_alpha"
-    for c in ("precio", "superficie_m2")
+NONPOSITIVE = _per_column(_numbers_of, "count(*) FILTER (WHERE {c} <= 0) AS n_no_positivos FROM {t}")
+FIGURES = (
+    "count({c}) AS n, round(avg({c}), 4) AS media, round(stddev_samp({c}), 4) AS desviacion, min({c}) AS minimo, "
+    "round(quantile_cont({c}, 0.25), 4) AS q25, round(quantile_cont({c}, 0.5), 4) AS q50, "
+    "round(quantile_cont({c}, 0.75), 4) AS q75, max({c}) AS maximo FROM {t}"
 )
 
 
 @query(f"""
-    SELECT 'nulos' AS metrica, columna, NULL::VARCHAR AS valor, n_nulos AS n FROM ({NULLS})
-    UNION ALL SELECT 'copias', NULL, NULL, n_duplicados FROM ({DUPLICATES})
-    UNION ALL SELECT 'id_repetido', 'id', NULL, diferencia FROM ({KEYS})
-    UNION ALL SELECT 'max_distintos', columna, NULL, max_distintos FROM ({COLLISIONS})
-    UNION ALL SELECT 'no_positivos', columna, NULL, n_no_positivos FROM ({NONPOSITIVE})
-    UNION ALL SELECT 'sin_parsear', columna, NULL, n_sin_parsear FROM ({DATES})
-    UNION ALL SELECT 'publicacion_posterior', 'fecha_publicacion', NULL,
-      count(*) FILTER (WHERE fecha_publicacion > fecha_scraping) FROM raw_alpha
-    UNION ALL SELECT 'unicos', columna, NULL, n_unicos FROM ({STRIPPED})
-    UNION ALL SELECT 'con_espacios', columna, NULL, n_con_espacios FROM ({STRIPPED})
-    UNION ALL SELECT 'unicos_sin_espacios', columna, NULL, n_unicos_sin_espacios FROM ({STRIPPED})
-    UNION ALL SELECT 'frecuencia', columna, valor, n FROM ({FREQUENCIES})""")
+    SELECT fuente, 'nulos' AS metrica, columna, NULL::VARCHAR AS valor, n_nulos AS n FROM ({NULLS})
+    UNION ALL SELECT fuente, 'copias', NULL, NULL, n_duplicados FROM ({DUPLICATES})
+    UNION ALL SELECT fuente, 'id_repetido', 'id', NULL, diferencia FROM ({KEYS})
+    UNION ALL SELECT fuente, 'max_distintos', columna, NULL, max_distintos FROM ({COLLISIONS})
+    UNION ALL SELECT fuente, 'no_positivos', columna, NULL, n_no_positivos FROM ({NONPOSITIVE})
+    UNION ALL SELECT fuente, 'sin_parsear', columna, NULL, n_sin_parsear FROM ({DATES})
+    UNION ALL SELECT fuente, 'publicacion_posterior', 'fecha_publicacion', NULL,
+      count(*) FILTER (WHERE fecha_publicacion > fecha_scraping) FROM raw_both GROUP BY fuente
+    UNION ALL SELECT fuente, 'unicos', columna, NULL, n_unicos FROM ({STRIPPED})
+    UNION ALL SELECT fuente, 'con_espacios', columna, NULL, n_con_espacios FROM ({STRIPPED})
+    UNION ALL SELECT fuente, 'unicos_sin_espacios', columna, NULL, n_unicos_sin_espacios FROM ({STRIPPED})
+    UNION ALL SELECT fuente, 'frecuencia', columna, valor, n FROM ({FREQUENCIES})""")
 def source_profile(x: Listings) -> DataFrame:
-    return pf.source_profile(
-        x.alpha_raw, ALPHA.columns, ["precio", "superficie_m2"], CATEGORIES,
-        ["fecha_publicacion", "fecha_scraping"], "comuna",
-    )
+    def profile(raw: DataFrame, _area: str, name: str) -> DataFrame:
+        return pf.source_profile(
+            raw, _rows_of(x, name), SOURCES[name].columns, _numbers_of(name), CATEGORIES, DAYS, "comuna"
+        )
 
+    return both(x, profile)
 
-@query("""
-    SELECT id, precio, superficie_m2, fecha_scraping FROM raw_alpha
-    ORDER BY id, precio, superficie_m2, fecha_scraping LIMIT 3""")
+
+@query(both_sql(lambda name: f"""
+    SELECT id, {PRICES[name][0]} AS precio, {SOURCES[name].area} AS superficie, fecha_scraping FROM raw_{name}
+    ORDER BY 1, 2, 3, 4 LIMIT 3"""))
 def head_sample(x: Listings) -> DataFrame:
-    typed = x.alpha_raw.select(
-        "id", pf.number("precio").alias("precio"),
-        pf.number("superficie_m2").alias("superficie_m2"),
-        pf.day("fecha_scraping").alias("fecha_scraping"),
-    )
-    return pf.head(typed, ["id", "precio", "superficie_m2", "fecha_scraping"])
+    def first(raw: DataFrame, area: str, name: str) -> DataFrame:
+        typed = raw.select(
+            "id", pf.number(PRICES[name][0]).alias("precio"), pf.number(area).alias("superficie"),
+            pf.day("fecha_scraping").alias("fecha_scraping"),
+        )
+        return pf.head(typed, typed.columns)
+
+    return both(x, first)
 
 
 @query(NULLS)
 def null_profile(x: Listings) -> DataFrame:
-    return pf.null_profile(x.alpha_raw, ALPHA.columns)
+    return both(x, lambda raw, area, name: pf.null_profile(raw, SOURCES[name].columns))
 
 
 @query(DUPLICATES)
 def exact_duplicates(x: Listings) -> DataFrame:
-    return pf.exact_duplicate_count(x.alpha_raw, ALPHA.columns)
+    return both(x, lambda raw, area, name: pf.exact_duplicate_count(_rows_of(x, name)))
 
 
 @query(KEYS)
 def duplicate_keys(x: Listings) -> DataFrame:
-    return pf.duplicate_key_count(x.alpha_raw, "id")
+    return both(x, lambda raw, area, name: pf.duplicate_key_count(_rows_of(x, name), "id"))
 
 
 @query(COLLISIONS)
 def key_collisions(x: Listings) -> DataFrame:
-    return pf.key_collisions(x.alpha_raw, "id", [c for c in ALPHA.columns if c != "id"])
+    return both(
+        x,
+        lambda raw, area, name: pf.key_collisions(
+            _rows_of(x, name), "id", [c for c in SOURCES[name].columns if c != "id"]
+        ),
+    )
 
 
-@query("""
-    SELECT divisa, count(precio) AS n, round(avg(precio), 4) AS media,
-           round(stddev_samp(precio), 4) AS desviacion, min(precio) AS minimo,
-           round(quantile_cont(precio, 0.25), 4) AS q25, round(quantile_cont(precio, 0.5), 4) AS q50,
-           round(quantile_cont(precio, 0.75), 4) AS q75, max(precio) AS maximo
-    FROM raw_alpha GROUP BY divisa""")
+def redelivered_tree(x: Listings) -> str:
+    """Monthly CSV files, in which the first three days of a month are in the month before's file too."""
+    if "_redelivered" not in x.__dict__:
+        root = x.workspace.path("redelivered")
+        for raw, name in ((x.alpha_raw, "alpha"), (x.beta_raw, "beta")):
+            day = F.col("fecha_scraping").cast("date")
+            months = F.array(F.date_format(day, "yyyy-MM"), F.date_format(F.add_months(day, -1), "yyyy-MM"))
+            wanted = F.when(F.dayofmonth(day) <= 3, months).otherwise(F.slice(months, 1, 1))
+            write_csv_tree(raw.withColumn("periodo", F.explode(wanted)), f"{root}/{name}", "periodo")
+        x.__dict__["_redelivered"] = root
+    return x.__dict__["_redelivered"]
+
+
+@query(both_sql(lambda name: f"""
+    SELECT CAST(sum(total) AS BIGINT) AS n_filas, count(*) AS n_distintas, CAST(sum(total - archivos) AS BIGINT) AS n_exactos,
+           CAST(sum(archivos - 1) AS BIGINT) AS n_entre_archivos, count(*) FILTER (WHERE archivos > 1) AS n_filas_repartidas
+    FROM (SELECT count(*) AS total, count(DISTINCT archivo) AS archivos FROM (
+      SELECT *, strftime(fecha_scraping, '%Y-%m') AS archivo FROM raw_{name}
+      UNION ALL SELECT *, strftime(fecha_scraping - INTERVAL 1 MONTH, '%Y-%m') FROM raw_{name} WHERE day(fecha_scraping) <= 3)
+      GROUP BY {', '.join(SOURCES[name].columns)})"""))
+def copies_across_files(x: Listings) -> DataFrame:
+    """Copies inside a delivered file and between files; a file is known by its period."""
+
+    def copies(_raw: DataFrame, _area: str, name: str) -> DataFrame:
+        columns = SOURCES[name].columns
+        rows = with_source_file(scan_csv_tree(x.spark, f"{redelivered_tree(x)}/{name}", columns))
+        return pf.copies_across_files(rows, columns, "periodo_archivo")
+
+    return both(x, copies)
+
+
+@query(f"""
+    SELECT 'alpha' AS fuente, '{{c}}' AS columna, divisa, {FIGURES} GROUP BY divisa
+    UNION ALL """.format(c="precio", t="raw_alpha") + f"""
+    SELECT 'alpha', '{{c}}', divisa, {FIGURES} GROUP BY divisa UNION ALL """.format(c="superficie_m2", t="raw_alpha")
+    + " UNION ALL ".join(
+        f"SELECT 'beta', '{{c}}', NULL, {FIGURES}".format(c=c, t="raw_beta") for c in _numbers_of("beta")))
 def numeric_describe(x: Listings) -> DataFrame:
-    return _rounded(pf.describe_numeric(x.alpha_raw, "precio", ["divisa"]))
+    """All numbers of both sources, the first one's by currency."""
 
+    def figures(raw: DataFrame, _area: str, name: str) -> DataFrame:
+        if name == "alpha":
+            return pf.describe_numeric(raw, _numbers_of(name), ["divisa"])
+        return pf.describe_numeric(raw, _numbers_of(name)).withColumn("divisa", F.lit(None).cast("string"))
 
-@query("""
-    SELECT count(precio_uf) AS n, round(avg(precio_uf), 4) AS media,
-           round(stddev_samp(precio_uf), 4) AS desviacion, min(precio_uf) AS minimo,
-           round(quantile_cont(precio_uf, 0.25), 4) AS q25,
-           round(quantile_cont(precio_uf, 0.5), 4) AS q50,
-           round(quantile_cont(precio_uf, 0.75), 4) AS q75, max(precio_uf) AS maximo
-    FROM raw_beta""")
+    return _rounded(both(x, figures))
+
+
+@query(_per_column(_numbers_of, FIGURES))
 def numeric_describe_overall(x: Listings) -> DataFrame:
-    return _rounded(pf.describe_numeric(x.beta_raw, "precio_uf"))
+    return _rounded(both(x, lambda raw, area, name: pf.describe_numeric(raw, _numbers_of(name))))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -598,17 +693,29 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query(NONPOSITIVE)
 def nonpositive_counts(x: Listings) -> DataFrame:
-    return pf.nonpositive_counts(x.alpha_raw, ["precio", "superficie_m2"])
+    return both(x, lambda raw, area, name: pf.nonpositive_counts(raw, _numbers_of(name)))
+
+
+TAIL = (
+    "round(p, 6) AS umbral, max({c}) AS maximo, count(*) FILTER (WHERE {c} > p) AS n_sobre_umbral FROM {t}, "
+    "(SELECT quantile_cont({c}, 0.995) AS p FROM {t}) GROUP BY p"
+)
 
 
 @query("""
-    SELECT divisa, round(p, 6) AS umbral, max(precio) AS maximo,
+    SELECT 'alpha' AS fuente, 'precio' AS columna, divisa, round(p, 6) AS umbral, max(precio) AS maximo,
            count(*) FILTER (WHERE precio > p) AS n_sobre_umbral
     FROM raw_alpha JOIN (SELECT divisa, quantile_cont(precio, 0.995) AS p
                          FROM raw_alpha WHERE divisa IS NOT NULL GROUP BY divisa) USING (divisa)
-    GROUP BY divisa, p""")
+    GROUP BY divisa, p UNION ALL """ + " UNION ALL ".join(
+        f"SELECT 'beta', '{c}', NULL, {TAIL.format(c=c, t='raw_beta')}" for c in PRICES["beta"]))
 def tail_quantiles(x: Listings) -> DataFrame:
-    tails = pf.tail_report(x.alpha_raw, "precio", "divisa", 0.995, x.workspace)
+    """Prices: the first source's by currency, the second one's by column."""
+    first = pf.tail_report(x.alpha_raw, PRICES["alpha"], 0.995, x.workspace, "divisa")
+    second = pf.tail_report(x.beta_raw, PRICES["beta"], 0.995, x.workspace)
+    tails = first.withColumn("fuente", F.lit("alpha")).unionByName(
+        second.withColumns({"fuente": F.lit("beta"), "divisa": F.lit(None).cast("string")})
+    )
     return tails.withColumn("umbral", F.round("umbral", 6))
 
 
@@ -622,37 +729,48 @@ QUANTILES = {"p95": 0.95, "p99": 0.99}
 
 
 @query("""
-    SELECT fuente, TRUE AS p95_ok, TRUE AS p99_ok, max(precio_clp_por_m2) AS maximo,
-           count(*) AS n_poblacion FROM usable GROUP BY fuente""")
+    SELECT fuente, round(quantile_cont(precio_clp_por_m2, 0.95), 6) AS p95,
+           round(quantile_cont(precio_clp_por_m2, 0.99), 6) AS p99, max(precio_clp_por_m2) AS maximo,
+           count(precio_clp_por_m2) AS n FROM usable GROUP BY fuente""")
 def approx_quantiles_rank(x: Listings) -> DataFrame:
-    """The sketch's promise, checked by counting: its rank is off by 1/accuracy at most."""
+    """Exact quantiles where the approximate one's rank, found by counting, is near enough; else NULL."""
     accuracy = 1_000
     usable = usable_listings(x.listings).select("fuente", "precio_clp_por_m2")
     sketch = x.workspace.keep(
         approx_quantiles(usable, ["fuente"], "precio_clp_por_m2", QUANTILES, accuracy), "cuantiles"
     )
-    ratio = F.col("precio_clp_por_m2")
-    ranked = usable.join(sketch, "fuente").groupBy("fuente", "maximo", "n_poblacion").agg(
-        F.count(ratio).alias("_n"),
-        *(F.count_if(ratio <= F.col(p)).alias(f"_upto_{p}") for p in QUANTILES),
-        *(F.count_if(ratio < F.col(p)).alias(f"_below_{p}") for p in QUANTILES),
+    return _where_near(x, usable, sketch, ["fuente"], 1 / accuracy)
+
+
+def _where_near(x: Listings, usable: DataFrame, sketch: DataFrame, keys: list[str], error: float) -> DataFrame:
+    measured = measured_ranks(usable, sketch, keys, "precio_clp_por_m2", QUANTILES)
+    exact = x.workspace.keep(exact_quantiles(usable, keys, "precio_clp_por_m2", QUANTILES), "exactos")
+    near = {p: F.when(F.col(f"error_{p}") <= error + 1 / F.col("n"), F.round(p, 6)) for p in QUANTILES}
+    return measured.join(exact, keys).join(sketch.select(*keys, "maximo"), keys).select(
+        *keys, *(c.alias(p) for p, c in near.items()), "maximo", "n"
     )
 
-    def close(name: str, p: float):
-        slack = F.col("_n") / accuracy + 1
-        return (F.col(f"_upto_{name}") >= F.col("_n") * p - slack) & (
-            F.col(f"_below_{name}") <= F.col("_n") * p + slack
-        )
 
-    return ranked.select(
-        "fuente", *(close(n, p).alias(f"{n}_ok") for n, p in QUANTILES.items()),
-        "maximo", "n_poblacion",
+@query("""
+    SELECT fuente, CAST(year(fecha_scraping) AS BIGINT) AS anio, round(quantile_cont(precio_clp_por_m2, 0.95), 6) AS p95,
+           round(quantile_cont(precio_clp_por_m2, 0.99), 6) AS p99, max(precio_clp_por_m2) AS maximo,
+           count(precio_clp_por_m2) AS n
+    FROM usable GROUP BY 1, 2 HAVING count(precio_clp_por_m2) > 0""")
+def sketch_quantiles_by_year(x: Listings) -> DataFrame:
+    """Yearly quantiles from kept monthly sketches; as above, exact ones show where the rank is near enough."""
+    keys = ["fuente", "anio"]
+    yearly = merged(x.ratio_sketches, ["fuente", F.year("mes").cast("bigint").alias("anio")])
+    found = x.workspace.keep(sketch_quantiles(yearly, keys, QUANTILES), "cuantiles")
+    usable = usable_listings(x.listings).select(
+        "fuente", F.year("fecha_scraping").cast("bigint").alias("anio"), "precio_clp_por_m2"
     )
+    # a sketch is off by more than its published error in one of a hundred cases
+    return _where_near(x, usable, found, keys, 2 * rank_error())
 
 
 @query(FREQUENCIES)
 def value_frequencies(x: Listings) -> DataFrame:
-    return pf.value_counts_of(x.alpha_raw, CATEGORIES)
+    return both(x, lambda raw, area, name: pf.value_counts_of(raw, CATEGORIES))
 
 
 @query("SELECT 'divisa' AS columna, divisa AS valor, count(*) AS n FROM raw_alpha "
@@ -663,12 +781,12 @@ def currency_frequencies(x: Listings) -> DataFrame:
 
 @query(STRIPPED)
 def strip_profile(x: Listings) -> DataFrame:
-    return pf.strip_profile(x.alpha_raw, "comuna")
+    return both(x, lambda raw, area, name: pf.strip_profile(raw, "comuna"))
 
 
 @query(DATES)
 def date_profile(x: Listings) -> DataFrame:
-    return pf.date_profile(x.alpha_raw, ["fecha_publicacion", "fecha_scraping"])
+    return both(x, lambda raw, area, name: pf.date_profile(raw, DAYS))
 
 
 @query("""
@@ -702,6 +820,23 @@ def spike_test(x: Listings) -> DataFrame:
     return an.spike_test(areas, "area", RULES.suspects)
 
 
+@query("""
+    SELECT valor, count(a) FILTER (WHERE a = valor) AS n_exacto,
+           count(a) FILTER (WHERE a <> valor) AS n_vecinos
+    FROM (SELECT DISTINCT p_size + (p_partkey % 12) / 100.0::DOUBLE AS valor, CASE WHEN p_size <= 5 THEN 0.5 ELSE 2 END AS alcance
+          FROM part)
+    LEFT JOIN (SELECT l_quantity + l_tax AS a FROM lineitem) ON a BETWEEN valor - alcance AND valor + alcance
+    GROUP BY valor""")
+def spike_test_table(x: Listings) -> DataFrame:
+    """Suspects from a table; some of them have no hit."""
+    size = F.col("p_size")
+    suspects = x.table("part").select(
+        (size + (F.col("p_partkey") % 12) / F.lit(100.0)).alias("valor"), F.when(size <= 5, 0.5).otherwise(2.0).alias("alcance")
+    )
+    areas = x.table("lineitem").select((F.col("l_quantity") + F.col("l_tax")).alias("area"))
+    return an.spike_test_of(areas, "area", suspects, x.workspace)
+
+
 @query(f"""
     SELECT fuente, area AS superficie, count(*) AS n,
            round(100.0 * count(*) / any_value(t.total)::DOUBLE, 3) AS pct_del_total

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import month_key
+from ..sources.workspace import Workspace
 from .profile import day, number, percent
 
 
@@ -31,6 +32,39 @@ def spike_test(df: DataFrame, area: str, suspects: Sequence[float]) -> DataFrame
     return df.agg(*counts).select(F.inline(F.array(*rows)))
 
 
+def spike_test_of(df: DataFrame, area: str, suspects: DataFrame, workspace: Workspace) -> DataFrame:
+    """The same for a table of suspects (``valor, alcance``): ``valor, n_exacto, n_vecinos``.
+
+    A band join through interval bins. Areas collapse to (value, n) first and are put into
+    bins an eighth of the least reach wide. A suspect's band covers some bins wholly, whose
+    totals are added up, and two in part, where single values are compared. So a suspect
+    meets a bounded number of bins and the values of two, however many rows share them.
+    Repeated and NULL suspects count once and not at all; one without hits stays with 0.
+    """
+    bands = workspace.keep(
+        suspects.select(F.col("valor").cast("double").alias("valor"), F.col("alcance").cast("double").alias("alcance"))
+        .where("valor IS NOT NULL AND alcance > 0").groupBy("valor").agg(F.max("alcance").alias("alcance")), "sospechas",
+    )
+    width = (bands.agg(F.min("alcance")).first()[0] or 1.0) / 8
+    bin_of = lambda c: F.floor(c / F.lit(width))
+    a = number(area)
+    values = df.select(a.alias("a")).where("a IS NOT NULL").groupBy("a").agg(F.count("*").alias("n"))
+    values = workspace.keep(values.withColumn("b", bin_of(F.col("a"))), "areas")
+    low, high = F.col("valor") - F.col("alcance"), F.col("valor") + F.col("alcance")
+    bands = bands.select("valor", low.alias("lo"), high.alias("hi"), bin_of(low).alias("first"), bin_of(high).alias("last"))
+    totals = values.groupBy("b").agg(F.sum("n").alias("n"))
+    whole = bands.where("last > first + 1").select(
+        "valor", F.explode(F.sequence(F.col("first") + 1, F.col("last") - 1)).alias("b")
+    ).join(totals, "b").select("valor", F.lit(0).cast("bigint").alias("e"), "n")
+    edges = bands.select("valor", "lo", "hi", F.explode(F.array_distinct(F.array("first", "last"))).alias("b"))
+    part = edges.join(values, "b").where("a BETWEEN lo AND hi").select("valor", F.lit(0).cast("bigint").alias("e"), "n")
+    exact = bands.join(values, F.col("valor") == F.col("a")).select("valor", F.col("n").alias("e"), (-F.col("n")).alias("n"))
+    none = bands.select("valor", F.lit(0).cast("bigint").alias("e"), F.lit(0).cast("bigint").alias("n"))
+    return none.unionByName(whole).unionByName(part).unionByName(exact).groupBy("valor").agg(
+        F.sum("e").alias("n_exacto"), F.sum("n").alias("n_vecinos")
+    )
+
+
 def suspect_impact(df: DataFrame, area: str, suspects: Sequence[float]) -> DataFrame:
     """Rows per suspect area and their share of all rows."""
     total = df.agg(F.count("*")).scalar()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import trimmed
 from ..sources.workspace import Workspace
-from .quantiles import exact_quantiles
+from .quantiles import described
 
 
 def number(c: Column | str) -> Column:
@@ -42,28 +42,58 @@ def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def exact_duplicate_count(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows beyond the first of each set of identical rows."""
-    copies = df.groupBy(*columns).agg(F.count("*").alias("_n"))
-    return copies.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicados"))
+def collapsed(df: DataFrame, columns: Sequence[str], workspace: Workspace) -> DataFrame:
+    """Distinct rows and ``_n``, how often each occurs; written once.
 
+    Copies, repeated keys and collisions all follow from it, so the source is shuffled
+    once for the three, and copies combine before that.
+    """
+    return workspace.keep(df.groupBy(*columns).agg(F.count("*").alias("_n")), "filas")
+
+
+def exact_duplicate_count(rows: DataFrame) -> DataFrame:
+    """Rows beyond the first of each set of identical rows; ``rows`` from ``collapsed``."""
+    return rows.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicados"))
 
-def duplicate_key_count(df: DataFrame, key: str) -> DataFrame:
-    return df.agg(
-        F.count("*").alias("total"), F.count_distinct(key).alias("ids_distintos")
+
+def duplicate_key_count(rows: DataFrame, key: str) -> DataFrame:
+    """All rows, distinct keys, and the difference; ``rows`` from ``collapsed``."""
+    return rows.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.count_distinct(key).alias("ids_distintos")
     ).withColumn("diferencia", F.col("total") - F.col("ids_distintos"))
 
 
-def key_collisions(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+def copies_across_files(df: DataFrame, columns: Sequence[str], file: str) -> DataFrame:
+    """Copies with the file as part of the row, and without it.
+
+    Rows collapse per file first, then over files: the file's identity goes along, so one
+    pass tells copies inside a file from rows that several files deliver. ``n_exactos``:
+    rows beyond the first with the file in the row; ``n_entre_archivos``: further files that
+    hold a row; ``n_filas_repartidas``: distinct rows that more than one file holds.
+    """
+    per_file = df.groupBy(*columns, file).agg(F.count("*").alias("_n"))
+    rows = per_file.groupBy(*columns).agg(
+        F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_inside"), F.count("*").alias("_files")
+    )
+    zero = F.lit(0).cast("bigint")
+    return rows.agg(
+        F.coalesce(F.sum("_n"), zero).alias("n_filas"), F.count("*").alias("n_distintas"),
+        F.coalesce(F.sum("_inside"), zero).alias("n_exactos"),
+        F.coalesce(F.sum(F.col("_files") - 1), zero).alias("n_entre_archivos"),
+        F.count_if(F.col("_files") > 1).alias("n_filas_repartidas"),
+    )
+
+
+def key_collisions(rows: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Most distinct values any repeated key has, per column: 1 means true copies.
 
-    0 means that no key repeats, or only with NULLs in that column. Only rows of
-    repeated keys are compared. Each cell becomes one narrow (key, column, value) row
-    and repeats combine before the shuffle, so a key with very many rows stays
-    spread out.
+    0 means that no key repeats, or only with NULLs in that column. ``rows`` come from
+    ``collapsed``; only those of repeated keys are compared. Each cell becomes one narrow
+    (key, column, value) row and repeats combine before the shuffle, so a key with very
+    many rows stays spread out.
     """
-    repeated = df.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key)
-    cells = df.select(key, *columns).join(repeated, key, "left_semi").select(
+    repeated = rows.groupBy(key).agg(F.sum("_n").alias("_n")).where("_n > 1").select(key)
+    cells = rows.select(key, *columns).join(repeated, key, "left_semi").select(
         key, F.inline(_named_values(columns))
     )
     values = cells.where(F.col("valor").isNotNull()).distinct()
@@ -73,7 +103,7 @@ def key_collisions(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame
         .groupBy("columna")
         .agg(F.max("_n").alias("_n"))
     )
-    none = df.sparkSession.range(1).select(
+    none = rows.sparkSession.range(1).select(
         F.explode(F.array(*map(F.lit, columns))).alias("columna"),
         F.lit(0).cast("bigint").alias("_n"),
     )
@@ -90,19 +120,16 @@ def _named_values(columns: Sequence[str]) -> Column:
     )
 
 
-def describe_numeric(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """count, mean, std, min, quartiles, max; exact quartiles, per group or overall."""
-    rows = df.select(*by, number(value).alias("_v"))
-    basic = rows.groupBy(*by).agg(
-        F.count("_v").alias("n"), F.avg("_v").alias("media"),
-        F.stddev_samp("_v").alias("desviacion"), F.min("_v").alias("minimo"),
-        F.max("_v").alias("maximo"),
-    )
-    quartiles = exact_quantiles(rows, by, "_v", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    figures = ["n", "media", "desviacion", "minimo", "q25", "q50", "q75", "maximo"]
-    # both sides have one row per group, so a group-by puts them together, NULL keys too
-    together = basic.unionByName(quartiles, allowMissingColumns=True)
-    return together.groupBy(*by).agg(*(F.max(c).alias(c) for c in figures))
+def describe_numeric(df: DataFrame, values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """count, mean, std, min, exact quartiles, max of several columns: a row per ``columna`` and group."""
+    rows = df.select(*by, F.inline(_numbers(values)))
+    quartiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    return described(rows, ["columna", *by], "_v", quartiles)
+
+
+def _numbers(values: Sequence[str]) -> Column:
+    """Each number of a row as (columna, _v)."""
+    return F.array(*(F.struct(F.lit(c).alias("columna"), number(c).alias("_v")) for c in values))
 
 
 def nonpositive_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -114,19 +141,20 @@ def nonpositive_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def tail_report(
-    df: DataFrame, value: str, by: str, quantile: float, workspace: Workspace
+    df: DataFrame, values: Sequence[str], quantile: float, workspace: Workspace, by: str | None = None
 ) -> DataFrame:
-    """Per group: the tail quantile, the maximum, and how many rows lie above it."""
-    rows = df.select(by, number(value).alias("_v")).where(F.col(by).isNotNull())
+    """Per column (and group): the tail quantile, the maximum, and how many rows lie above it.
+
+    Maxima come from the histogram that finds the quantile; only counting what lies above
+    it takes a look at the rows again.
+    """
+    keys = ["columna"] if by is None else ["columna", by]
+    rows = df.select(*keys[1:], F.inline(_numbers(values)))
+    rows = rows if by is None else rows.where(F.col(by).isNotNull())
     # one row per group, written, so the join back is sized from its file
-    limits = workspace.keep(exact_quantiles(rows, [by], "_v", {"umbral": quantile}), "colas")
-    return (
-        rows.join(limits, by)
-        .groupBy(by)
-        .agg(
-            F.max("umbral").alias("umbral"), F.max("_v").alias("maximo"),
-            F.count_if(F.col("_v") > F.col("umbral")).alias("n_sobre_umbral"),
-        )
+    limits = workspace.keep(described(rows, keys, "_v", {"umbral": quantile}).select(*keys, "umbral", "maximo"), "colas")
+    return rows.join(limits, keys).groupBy(*keys, "umbral", "maximo").agg(
+        F.count_if(F.col("_v") > F.col("umbral")).alias("n_sobre_umbral")
     )
 
 
@@ -210,13 +238,13 @@ def value_counts_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def source_profile(
-    df: DataFrame, columns: Sequence[str], numbers: Sequence[str], categories: Sequence[str],
-    dates: Sequence[str], stripped: str, key: str = "id",
+    df: DataFrame, collapsed_rows: DataFrame, columns: Sequence[str], numbers: Sequence[str],
+    categories: Sequence[str], dates: Sequence[str], stripped: str, key: str = "id",
 ) -> DataFrame:
     """The profiles of one source in long format: (metrica, columna, valor, n).
 
     Everything that is a plain count over the rows shares one scan, and so do the
-    frequencies of all categories; only copies, keys and distinct values add theirs.
+    frequencies of all categories; copies, keys and collisions share the collapsed rows.
     """
 
     def rows(source: DataFrame, entries: Sequence[tuple[str, str | None, Column]]) -> DataFrame:
@@ -242,9 +270,9 @@ def source_profile(
     values = strip_profile(df, stripped)
     parts = [
         rows(plain, [(m, c, F.col(f"n{i}")) for i, (m, c, _) in enumerate(counted)]),
-        rows(exact_duplicate_count(df, columns), [("copias", None, F.col("n_duplicados"))]),
-        rows(duplicate_key_count(df, key), [("id_repetido", key, F.col("diferencia"))]),
-        key_collisions(df, key, [c for c in columns if c != key]).select(
+        rows(exact_duplicate_count(collapsed_rows), [("copias", None, F.col("n_duplicados"))]),
+        rows(duplicate_key_count(collapsed_rows, key), [("id_repetido", key, F.col("diferencia"))]),
+        key_collisions(collapsed_rows, key, [c for c in columns if c != key]).select(
             F.lit("max_distintos").alias("metrica"), "columna",
             F.lit(None).cast("string").alias("valor"), F.col("max_distintos").alias("n"),
         ),

@@ -117,8 +117,37 @@ def calendar_covers(fact: DataFrame, calendar: DataFrame, column: str) -> DataFr
     return _check(f"calendar_covers:{column}", orphans, F.coalesce(F.sum("_n"), F.lit(0)))
 
 
-def known_rows_absent(fact: DataFrame, ids: Sequence[str]) -> DataFrame:
-    return _check("known_rows_absent", fact.where(F.col("id").isin(list(ids))), F.count("*"))
+def known_rows_absent(fact: DataFrame, known: DataFrame, keys: Sequence[str] = ("fuente", "id")) -> DataFrame:
+    """Rows of the fact whose key a table of known outliers names."""
+    return _check("known_rows_absent", _known(fact, known, keys), F.count("*"))
+
+
+def _known(fact: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Semi-join with a written id table.
+
+    A small one is broadcast by its size. Beyond that Spark builds a Bloom filter of its
+    keys at run time, so that the scan of a large fact drops nearly all rows before the
+    shuffle; the join then decides exactly. It does so for a side that a comparison
+    narrows: here the keys must not be empty, as those name nothing.
+    """
+    named = known.select(*keys)
+    for key in keys:
+        named = named.where(F.col(key) != "")
+    return fact.join(named, list(keys), "left_semi")
+
+
+def known_presence(
+    fact: DataFrame, known: DataFrame, keys: Sequence[str] = ("fuente", "id"), by: str = "fuente"
+) -> DataFrame:
+    """Per group: known keys, those that the fact has, and in how many rows."""
+    wanted = known.groupBy(by).agg(F.count("*").alias("n_ids"))
+    found = _known(fact, known, keys).groupBy(*keys).agg(F.count("*").alias("_n")).groupBy(by).agg(
+        F.count("*").alias("n_ids_presentes"), F.sum("_n").alias("n_filas")
+    )
+    zero = F.lit(0).cast("bigint")
+    return wanted.join(found, by, "left").select(
+        by, "n_ids", *(F.coalesce(c, zero).alias(c) for c in ("n_ids_presentes", "n_filas"))
+    )
 
 
 def payload_quality(payloads: DataFrame, column: str = "payload") -> DataFrame:

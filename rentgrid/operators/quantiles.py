@@ -53,6 +53,22 @@ def exact_quantiles(
     form a group of their own, as in ``groupBy``. ``df`` is read twice, so it
     should be a table, not a long lineage; the first reading happens at the call.
     """
+    return _selected(df, keys, value, quantiles, moments=False)
+
+
+def described(df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
+    """``keys, n, media, desviacion, minimo``, the quantiles, ``maximo`` of each group.
+
+    Count, mean and squared deviations are carried by the histogram's buckets and merged
+    from there, so they cost no further look at the rows. A group of NULLs alone has a row
+    with n = 0.
+    """
+    return _selected(df, keys, value, quantiles, moments=True)
+
+
+def _selected(
+    df: DataFrame, keys: Sequence[str], value: str | Column, quantiles: Mapping[str, float], moments: bool
+) -> DataFrame:
     spark = df.sparkSession
     value = F.col(value) if isinstance(value, str) else value
     group = [f"k{i}" for i in range(max(1, len(keys)))]
@@ -62,9 +78,9 @@ def exact_quantiles(
         df.select(
             *(c.alias(g) for c, g in zip(key_columns, group)), value.cast("double").alias("v")
         )
-        .where(v.isNotNull())
         .withColumn("b", _bucket(v))
     )
+    every, rows = rows, rows.where(v.isNotNull())
     k = ", ".join(group)
     same_group = " AND ".join(f"l.{g} <=> r.{g}" for g in group)
     running = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
@@ -76,21 +92,27 @@ def exact_quantiles(
         for i, p in enumerate(quantiles.values())
         for side, rounding in (("false", "floor"), ("true", "ceil"))
     )
+    buckets = spark.sql(
+        f"""
+        SELECT {k}, b, min(v) AS lo, max(v) AS hi, count(v) AS n
+               {", avg(v) AS m, var_pop(v) * count(v) AS m2" if moments else ""}
+        FROM {{rows}} GROUP BY {k}, b
+        """,
+        rows=every if moments else rows,
+    )
+    if moments:  # read twice below
+        buckets = workspace_of(spark).keep(buckets, "histogram")
     coarse = spark.sql(
         f"""
-        WITH buckets AS (
-          SELECT {k}, b, min(v) AS lo, max(v) AS hi, count(*) AS n
-          FROM {{rows}} GROUP BY {k}, b
-        ),
-        ranks AS (
+        WITH ranks AS (
           SELECT *, sum(n) OVER (PARTITION BY {k} ORDER BY b {running}) AS upto,
                  sum(n) OVER (PARTITION BY {k}) AS total
-          FROM buckets
+          FROM {{buckets}} WHERE n > 0
         )
         SELECT {k}, b, lo, hi, upto - n AS base, {own_ranks} AS t
         FROM (SELECT *, array({wanted}) AS t FROM ranks) WHERE {has_rank}
         """,
-        rows=rows,
+        buckets=buckets,
     )
     coarse = workspace_of(spark).keep(coarse, "buckets")
 
@@ -100,12 +122,12 @@ def exact_quantiles(
         f"max(CASE WHEN i = {i} THEN pos END) AS pos{i}"
         for i in range(len(quantiles))
     )
-    named = [f"{g} AS `{key}`" for g, key in zip(group, keys)] + [
+    named = [
         f"CASE WHEN lo{i} = hi{i} THEN lo{i} "
         f"ELSE (ceil(pos{i}) - pos{i}) * lo{i} + (pos{i} - floor(pos{i})) * hi{i} END AS `{name}`"
         for i, name in enumerate(quantiles)
     ]
-    return spark.sql(
+    found = spark.sql(
         f"""
         WITH near AS (
           SELECT {", ".join("l." + g for g in group)}, l.b, l.v,
@@ -135,11 +157,33 @@ def exact_quantiles(
         ),
         picked AS (SELECT {k}, v, inline({own_ranks}) FROM last),
         ends AS (SELECT {k}, {picks} FROM picked GROUP BY {k})
-        SELECT {", ".join(named)} FROM ends
+        SELECT {k}, {", ".join(named)} FROM ends
         """,
         rows=rows,
         coarse=coarse,
     )
+    names = [F.col(g).alias(key) for g, key in zip(group, keys)]
+    if not moments:
+        return found.select(*names, *quantiles)
+    # mean and deviations of a group from those of its buckets
+    weighted = F.when(F.col("n") > 0, F.col("n") * F.col("m"))
+    merged = buckets.groupBy(*group).agg(
+        F.sum("n").alias("n"), F.sum(weighted).alias("s"), F.min("lo").alias("minimo"), F.max("hi").alias("maximo"),
+        F.collect_list(F.struct("n", "m", "m2")).alias("b"),
+    )
+    mean = F.try_divide("s", "n")
+    apart = F.aggregate(
+        "b", F.lit(0.0),
+        lambda acc, x: acc + F.when(x.n > 0, x.m2 + x.n * (x.m - mean) * (x.m - mean)).otherwise(0.0),
+    )
+    figures = merged.select(
+        *group, "n", mean.alias("media"), F.when(F.col("n") > 1, F.sqrt(apart / (F.col("n") - 1))).alias("desviacion"),
+        "minimo", "maximo",
+    )
+    # both sides have one row per group, so a group-by puts them together, NULL keys too
+    both = figures.unionByName(found, allowMissingColumns=True)
+    shown = ["n", "media", "desviacion", "minimo", *quantiles, "maximo"]
+    return both.groupBy(*group).agg(*(F.max(c).alias(c) for c in shown)).select(*names, *shown)
 
 
 def exact_quantiles_of(

@@ -16,11 +16,17 @@ WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; below the warehouse, which is shared too, if none is named."""
+    """The cluster's shared folder; below the warehouse if none is named and the warehouse is shared.
+
+    A warehouse on a local disk, which is Spark's default, is shared by one machine only.
+    """
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    return f"{spark.conf.get(WAREHOUSE_SETTING).rstrip('/')}/_work"
+    warehouse = spark.conf.get(WAREHOUSE_SETTING).rstrip("/")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share; {warehouse} is local")
+    return f"{warehouse}/_work"
 
 
 class Workspace:
