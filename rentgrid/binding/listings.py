@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ListingRules, dual_price_source, single_price_source
+from ..operators.metrics import place_figures
 from ..operators.profile import collapsed
 from ..operators.sketches import sketched
 from ..plans.marts import (
@@ -208,6 +209,10 @@ class Listings:
         usable = usable_listings(self.listings).withColumn("mes", F.trunc("fecha_scraping", "month"))
         return self.workspace.keep(sketched(usable, ["fuente", "mes"], "precio_clp_por_m2"), "bocetos")
 
+    @cached_property
+    def place_figures(self) -> DataFrame:
+        return self.workspace.keep(place_figures(self.fact), "comunas")
+
     @cached_property
     def known_outliers(self) -> DataFrame:
         """Ids of listings beyond their source's threshold."""

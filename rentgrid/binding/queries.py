@@ -1011,7 +1011,7 @@ def clp_vs_uf_index(x: Listings) -> DataFrame:
                  (med - avg(med) OVER ()) / stddev_samp(med) OVER () AS c
           FROM place_figures) JOIN places USING (comuna_id)""")
 def place_attractiveness(x: Listings) -> DataFrame:
-    return mt.place_attractiveness(x.fact, x.places)
+    return mt.place_attractiveness(x.place_figures, x.places)
 
 
 @query("""
@@ -1020,7 +1020,7 @@ def place_attractiveness(x: Listings) -> DataFrame:
            round(o * 100.0 / (sum(o) OVER ())::DOUBLE, 4) AS pct_del_total
     FROM place_figures JOIN places USING (comuna_id)""")
 def owner_direct_concentration(x: Listings) -> DataFrame:
-    return mt.owner_direct_concentration(x.fact, x.places)
+    return mt.owner_direct_concentration(x.place_figures, x.places)
 
 
 @query("""
@@ -1032,7 +1032,7 @@ def owner_direct_concentration(x: Listings) -> DataFrame:
                 WHERE contact_type = 'owner_direct'))
     JOIN places USING (comuna_id) WHERE puesto <= 5""")
 def top_listings_to_contact(x: Listings) -> DataFrame:
-    return mt.top_listings_to_contact(x.fact, x.places, x.workspace)
+    return mt.top_listings_to_contact(x.fact, x.place_figures, x.places)
 
 
 @query("""

@@ -12,10 +12,8 @@ from pyspark.sql import functions as F
 
 from ..config import OWNER_DIRECT
 from ..functions import month_key
-from ..sources.workspace import Workspace
-from .joins import null_safe_join
 from .keys import ranked
-from .quantiles import exact_quantiles, exact_quantiles_of
+from .quantiles import described, exact_quantiles, exact_quantiles_of
 
 RATIO = "precio_clp_por_m2"
 
@@ -30,19 +28,11 @@ def _dated(fact: DataFrame) -> DataFrame:
     )
 
 
-def _owner():
-    return F.count_if(F.col("contact_type") == OWNER_DIRECT)
-
-
 def price_by_month(fact: DataFrame) -> DataFrame:
-    rows = _dated(fact)
-    basic = rows.groupBy("_mes").agg(
-        F.count("*").alias("n_avisos"), F.avg("precio_clp").alias("precio_promedio")
-    )
-    median = exact_quantiles(rows, ["_mes"], "precio_clp", {"precio_mediano": 0.5})
-    return null_safe_join(basic, median, ["_mes"], "left").select(
-        month_key("_mes").alias("mes"), "n_avisos", "precio_promedio",
-        F.round("precio_mediano", 2).alias("precio_mediano"),
+    figures = described(_dated(fact), ["_mes"], "precio_clp", {"mediana": 0.5}, {"n_avisos": F.lit(1)})
+    return figures.select(
+        month_key("_mes").alias("mes"), "n_avisos", F.col("media").alias("precio_promedio"),
+        F.round("mediana", 2).alias("precio_mediano"),
     )
 
 
@@ -108,18 +98,20 @@ def currency_index_by_month(fact: DataFrame) -> DataFrame:
     )
 
 
-def _place_figures(fact: DataFrame) -> DataFrame:
+def place_figures(fact: DataFrame) -> DataFrame:
+    """``comuna_id, n_avisos, n_dueno_directo, m2_mediano``: what the metrics of places share.
+
+    One row per place; write it once and hand it to them, they don't read the fact for it.
+    """
     rows = _dated(fact).where(F.col("comuna_id").isNotNull())
-    basic = rows.groupBy("comuna_id").agg(
-        F.count("*").alias("n_avisos"), _owner().alias("n_dueno_directo")
-    )
-    median = exact_quantiles(rows, ["comuna_id"], RATIO, {"m2_mediano": 0.5})
-    return basic.join(median, "comuna_id", "left")
+    sums = {"n_avisos": F.lit(1), "n_dueno_directo": F.when(F.col("contact_type") == OWNER_DIRECT, 1).otherwise(0)}
+    figures = described(rows, ["comuna_id"], RATIO, {"m2_mediano": 0.5}, sums)
+    return figures.select("comuna_id", *sums, "m2_mediano")
 
 
-def place_attractiveness(fact: DataFrame, places: DataFrame) -> DataFrame:
+def place_attractiveness(figures: DataFrame, places: DataFrame) -> DataFrame:
     """Sum of z-scores over places: supply, owner share, median price per m2."""
-    figures = _place_figures(fact).select(
+    cells = figures.select(
         "comuna_id",
         F.inline(
             F.array(
@@ -136,9 +128,9 @@ def place_attractiveness(fact: DataFrame, places: DataFrame) -> DataFrame:
             )
         ),
     )
-    spread = figures.groupBy("metric").agg(F.avg("x").alias("_avg"), F.stddev_samp("x").alias("_dev"))
+    spread = cells.groupBy("metric").agg(F.avg("x").alias("_avg"), F.stddev_samp("x").alias("_dev"))
     z = F.try_divide(F.col("x") - F.col("_avg"), F.col("_dev"))
-    scored = figures.join(spread, "metric").select("comuna_id", "metric", z.alias("z"))
+    scored = cells.join(spread, "metric").select("comuna_id", "metric", z.alias("z"))
     pick = {m: F.max(F.when(F.col("metric") == m, F.col("z"))) for m in ("oferta", "dueno", "m2")}
     return (
         scored.groupBy("comuna_id")
@@ -151,17 +143,13 @@ def place_attractiveness(fact: DataFrame, places: DataFrame) -> DataFrame:
     )
 
 
-def owner_direct_concentration(fact: DataFrame, places: DataFrame) -> DataFrame:
+def owner_direct_concentration(figures: DataFrame, places: DataFrame) -> DataFrame:
     """Owner-direct listings per place: share inside the place and of all places."""
-    rows = fact.where(F.col("comuna_id").isNotNull())
-    everywhere = rows.agg(_owner()).scalar()
-    per_place = rows.groupBy("comuna_id").agg(
-        F.count("*").alias("n_avisos"), _owner().alias("n_dueno_directo")
-    )
+    everywhere = figures.agg(F.sum("n_dueno_directo")).scalar()
     owners = F.col("n_dueno_directo") * F.lit(100.0)
     return (
-        per_place.select(
-            "*",
+        figures.select(
+            "comuna_id", "n_avisos", "n_dueno_directo",
             F.round(F.try_divide(owners, F.col("n_avisos")), 4).alias("pct_en_comuna"),
             F.round(F.try_divide(owners, everywhere), 4).alias("pct_del_total"),
         )
@@ -170,58 +158,50 @@ def owner_direct_concentration(fact: DataFrame, places: DataFrame) -> DataFrame:
     )
 
 
-def top_listings_to_contact(
-    fact: DataFrame, places: DataFrame, workspace: Workspace, k: int = 5
-) -> DataFrame:
+def top_listings_to_contact(fact: DataFrame, figures: DataFrame, places: DataFrame, k: int = 5) -> DataFrame:
     """Owner-direct listings cheapest per m2 against their place's median, k per place.
 
     ``row_number() <= k`` prunes to k rows per place inside each map task, so a
-    place with a third of all listings never reaches one task whole. The place
-    medians are written, so the join to them is sized from their file.
+    place with a third of all listings never reaches one task whole. ``figures`` is
+    written, so the join to it is sized from its file; the fact is read once.
     """
     rows = _dated(fact).where(F.col("comuna_id").isNotNull())
-    medians = workspace.keep(
-        exact_quantiles(rows, ["comuna_id"], RATIO, {"m2_mediano": 0.5}), "medianas"
-    )
     relative = F.try_divide(F.col(RATIO), F.col("m2_mediano"))
     order = [
         F.asc_nulls_last("relativo"), "fuente", "id", "precio_clp", "superficie_m2",
         "fecha_publicacion", "fecha_scraping",
     ]
-    ranked = (
+    first = (
         rows.where(F.col("contact_type") == OWNER_DIRECT)
-        .join(medians, "comuna_id")
+        .join(figures.select("comuna_id", "m2_mediano"), "comuna_id")
         .withColumn("relativo", relative)
         .withColumn(
             "puesto", F.row_number().over(Window.partitionBy("comuna_id").orderBy(*order))
         )
         .where(F.col("puesto") <= k)
     )
-    return ranked.join(places, "comuna_id").select(
+    return first.join(places, "comuna_id").select(
         "comuna", F.col("puesto").cast("bigint").alias("puesto"), "fuente", "id", "precio_clp",
         "superficie_m2", F.round("relativo", 6).alias("relativo"),
     )
 
 
 def source_comparison(fact: DataFrame) -> DataFrame:
-    rows = _dated(fact)
-    basic = rows.groupBy("fuente").agg(F.count("*").alias("n_avisos"), _owner().alias("_o"))
-    long = exact_quantiles_of(
-        rows, ["fuente"],
-        {"precio": "precio_clp", "m2": RATIO, "superficie": "superficie_m2"}, {"q": 0.5},
-    )
-    wide = long.groupBy("fuente").agg(
-        *(
-            F.round(F.max(F.when(F.col("metric") == m, F.col("q"))), 4).alias(name)
-            for m, name in {
-                "precio": "precio_mediano", "m2": "precio_m2_mediano",
-                "superficie": "superficie_mediana",
-            }.items()
-        )
-    )
-    return basic.join(wide, "fuente", "left").select(
-        "fuente", "n_avisos", "precio_mediano", "precio_m2_mediano", "superficie_mediana",
-        F.round(F.try_divide(F.col("_o") * F.lit(100.0), F.col("n_avisos")), 4).alias(
-            "pct_dueno_directo"
-        ),
+    """Listings, medians and owner share of each source, all from one histogram."""
+    names = {"precio": "precio_mediano", "m2": "precio_m2_mediano", "superficie": "superficie_mediana"}
+    cells = {"precio": F.col("precio_clp"), "m2": F.col(RATIO), "superficie": F.col("superficie_m2")}
+    owner = F.when(F.col("contact_type") == OWNER_DIRECT, 1).otherwise(0)
+    long = _dated(fact).select(
+        "fuente", owner.alias("_o"),
+        F.inline(F.array(*(F.struct(F.lit(m).alias("metric"), c.cast("double").alias("v")) for m, c in cells.items()))),
+    )
+    figures = described(long, ["fuente", "metric"], "v", {"q": 0.5}, {"n_avisos": F.lit(1), "_o": F.col("_o")})
+    one = F.col("metric") == "precio"  # each listing has one cell of each metric
+    return figures.groupBy("fuente").agg(
+        F.max(F.when(one, F.col("n_avisos"))).alias("n_avisos"),
+        *(F.round(F.max(F.when(F.col("metric") == m, F.col("q"))), 4).alias(name) for m, name in names.items()),
+        F.max(F.when(one, F.col("_o"))).alias("_o"),
+    ).select(
+        "fuente", "n_avisos", *names.values(),
+        F.round(F.try_divide(F.col("_o") * F.lit(100.0), F.col("n_avisos")), 4).alias("pct_dueno_directo"),
     )

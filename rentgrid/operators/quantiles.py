@@ -56,19 +56,24 @@ def exact_quantiles(
     return _selected(df, keys, value, quantiles, moments=False)
 
 
-def described(df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
+def described(
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float], sums: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """``keys, n, media, desviacion, minimo``, the quantiles, ``maximo`` of each group.
 
-    Count, mean and squared deviations are carried by the histogram's buckets and merged
-    from there, so they cost no further look at the rows. A group of NULLs alone has a row
-    with n = 0.
+    Count, sum and squared deviations are carried by the histogram's buckets and merged
+    from there, so they cost no further look at the rows; so are ``sums`` of other columns
+    over all rows of a group. A group of NULLs alone has a row with n = 0.
     """
-    return _selected(df, keys, value, quantiles, moments=True)
+    return _selected(df, keys, value, quantiles, moments=True, sums=sums or {})
 
 
 def _selected(
-    df: DataFrame, keys: Sequence[str], value: str | Column, quantiles: Mapping[str, float], moments: bool
+    df: DataFrame, keys: Sequence[str], value: str | Column, quantiles: Mapping[str, float], moments: bool,
+    sums: Mapping[str, Column] | None = None,
 ) -> DataFrame:
+    sums = sums or {}
+    added = [f"x{i}" for i in range(len(sums))]
     spark = df.sparkSession
     value = F.col(value) if isinstance(value, str) else value
     group = [f"k{i}" for i in range(max(1, len(keys)))]
@@ -76,11 +81,12 @@ def _selected(
     v = F.col("v")
     rows = (
         df.select(
-            *(c.alias(g) for c, g in zip(key_columns, group)), value.cast("double").alias("v")
+            *(c.alias(g) for c, g in zip(key_columns, group)), value.cast("double").alias("v"),
+            *(c.alias(x) for c, x in zip(sums.values(), added)),
         )
         .withColumn("b", _bucket(v))
     )
-    every, rows = rows, rows.where(v.isNotNull())
+    every, rows = rows, rows.where(v.isNotNull()).drop(*added)
     k = ", ".join(group)
     same_group = " AND ".join(f"l.{g} <=> r.{g}" for g in group)
     running = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
@@ -95,7 +101,8 @@ def _selected(
     buckets = spark.sql(
         f"""
         SELECT {k}, b, min(v) AS lo, max(v) AS hi, count(v) AS n
-               {", avg(v) AS m, var_pop(v) * count(v) AS m2" if moments else ""}
+               {", sum(v) AS s, var_pop(v) * count(v) AS m2" if moments else ""}
+               {"".join(f", sum({x}) AS {x}" for x in added)}
         FROM {{rows}} GROUP BY {k}, b
         """,
         rows=every if moments else rows,
@@ -166,24 +173,24 @@ def _selected(
     if not moments:
         return found.select(*names, *quantiles)
     # mean and deviations of a group from those of its buckets
-    weighted = F.when(F.col("n") > 0, F.col("n") * F.col("m"))
     merged = buckets.groupBy(*group).agg(
-        F.sum("n").alias("n"), F.sum(weighted).alias("s"), F.min("lo").alias("minimo"), F.max("hi").alias("maximo"),
-        F.collect_list(F.struct("n", "m", "m2")).alias("b"),
+        F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("lo").alias("minimo"), F.max("hi").alias("maximo"),
+        F.collect_list(F.struct("n", "s", "m2")).alias("b"), *(F.sum(x).alias(x) for x in added),
     )
     mean = F.try_divide("s", "n")
     apart = F.aggregate(
         "b", F.lit(0.0),
-        lambda acc, x: acc + F.when(x.n > 0, x.m2 + x.n * (x.m - mean) * (x.m - mean)).otherwise(0.0),
+        lambda acc, x: acc + F.when(x.n > 0, x.m2 + x.n * (x.s / x.n - mean) * (x.s / x.n - mean)).otherwise(0.0),
     )
     figures = merged.select(
         *group, "n", mean.alias("media"), F.when(F.col("n") > 1, F.sqrt(apart / (F.col("n") - 1))).alias("desviacion"),
-        "minimo", "maximo",
+        "minimo", "maximo", *added,
     )
     # both sides have one row per group, so a group-by puts them together, NULL keys too
     both = figures.unionByName(found, allowMissingColumns=True)
     shown = ["n", "media", "desviacion", "minimo", *quantiles, "maximo"]
-    return both.groupBy(*group).agg(*(F.max(c).alias(c) for c in shown)).select(*names, *shown)
+    put = both.groupBy(*group).agg(*(F.max(c).alias(c) for c in [*shown, *added]))
+    return put.select(*names, *shown, *(F.col(x).alias(name) for x, name in zip(added, sums)))
 
 
 def exact_quantiles_of(

@@ -29,6 +29,18 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{warehouse}/_work"
 
 
+PART_BYTES = 64 << 20
+
+
+def parts_by_size(df: DataFrame) -> int:
+    """Tasks for a sort of a written table: its files' length over PART_BYTES.
+
+    An explicit count is not adapted at run time, so it must follow the input.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, min(-(-size // PART_BYTES), 1 << 16))
+
+
 class Workspace:
     """One run's own folder below the shared one.
 

@@ -61,5 +61,5 @@ def test_quantiles_shuffle_no_listing(x):
 
 
 def test_top_k_per_place_prunes_before_the_shuffle(x):
-    text = plan(metrics.top_listings_to_contact(x.fact, x.places, x.workspace))
+    text = plan(metrics.top_listings_to_contact(x.fact, x.place_figures, x.places))
     assert "row_number(), 5, Partial" in text

@@ -69,7 +69,7 @@ def test_hot_groups(spark, rows, broadcast_limit):
             place_of[r["id"]] for r in rows
             if r["id"] in want and r.get("contact_type") == "owner_direct"
         )
-        top = metrics.top_listings_to_contact(fact, places, workspace, k=3).groupBy("comuna").count()
+        top = metrics.top_listings_to_contact(fact, workspace.keep(metrics.place_figures(fact), "figures"), places, k=3).groupBy("comuna").count()
         assert dict(map(tuple, top.collect())) == {c: min(3, n) for c, n in owners.items()}
 
         middle = metrics.price_per_m2_by_month(fact).first().precio_m2_mediano
