@@ -7,8 +7,8 @@ expected token shares of the sample are the raked ones, and no document is repea
 draw is a hash of the document's id: the same on every run and after lost executors.
 
 Documents are aggregated to cells with map-side combine, so a source of a third of all
-rows is a few rows per task. Rounds work on cells only; each round's cells are written, and
-the join of factors to documents is sized by Spark from that table.
+rows is a few rows per task. Rounds work on cells only; each step's cells are written, so
+plans stay small, and the join of factors to documents is sized by Spark from that table.
 
 Null values of a dimension are a value of their own. Null and empty texts have no tokens
 and take their cell's factor; a value without tokens has factor 1. Rows of one id share
@@ -23,7 +23,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import keep
+from .shared import keep, release_shuffles
 
 ROUNDS = 8
 # Target shares are present shares to these powers: a large source gives way to small
@@ -77,10 +77,10 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
             steps = sums.join(target, sums["_v"].eqNullSafe(target["_v"])).select(
                 sums["_v"], F.when(F.col("_s") > 0, F.col("_t") / F.col("_s")).otherwise(1.0).alias("_f")
             )
-            now = now.join(steps, now[d].eqNullSafe(steps["_v"])).select(
-                *targets, "m", (F.col("factor") * F.col("_f")).alias("factor")
-            )
-        now = keep(now, "cells")
+            scaled = now.join(steps, now[d].eqNullSafe(steps["_v"]))
+            # each step's plan is small and dropped with it
+            now = keep(scaled.select(*targets, "m", (F.col("factor") * F.col("_f")).alias("factor")), "cells")
+    release_shuffles(now.sparkSession)
     return now
 
 

@@ -72,9 +72,16 @@ class TextEncoder:
 
     def _reset(self):
         self.known: dict[bytes, int] = {}
-        self.at = np.zeros(0, dtype=np.int64)
-        self.n = np.zeros(0, dtype=np.int64)
-        self.ids = np.zeros(0, dtype=self.dtype)
+        self.at, self.n = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int32)
+        self.ids, self.used = np.zeros(1 << 14, dtype=self.dtype), 0
+
+    @staticmethod
+    def _put(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+        """``array`` with ``values`` from ``at`` on; room grows by doubling."""
+        if at + len(values) > len(array):
+            array = np.concatenate([array[:at], np.zeros(max(at, len(values)) + len(values), dtype=array.dtype)])
+        array[at : at + len(values)] = values
+        return array
 
     def _numbers(self, pieces: list[bytes]) -> np.ndarray:
         if len(self.known) > CACHED_WORDS:
@@ -84,10 +91,12 @@ class TextEncoder:
             found = [e.ids for e in self.tokenizer.encode_batch([p.decode() for p in new], add_special_tokens=False)]
             n = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             ids = np.fromiter((i for own in found for i in own), dtype=self.dtype, count=int(n.sum()))
-            self.known.update(zip(new, range(len(self.n), len(self.n) + len(new))))
-            self.at = np.r_[self.at, len(self.ids) + np.cumsum(n) - n]
-            self.n = np.r_[self.n, n]
-            self.ids = np.r_[self.ids, ids]
+            k = len(self.known)
+            self.known.update(zip(new, range(k, k + len(new))))
+            self.at = self._put(self.at, k, self.used + np.cumsum(n) - n)
+            self.n = self._put(self.n, k, n)
+            self.ids = self._put(self.ids, self.used, ids)
+            self.used += len(ids)
         return np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
 
     def encode(self, column: pa.Array):
@@ -114,7 +123,7 @@ class TextEncoder:
             coded = pieces.dictionary_encode()
             number = self._numbers(coded.dictionary.to_pylist())
             number = number[coded.indices.to_numpy()] if len(at) else np.zeros(0, dtype=np.int64)
-            n = self.n[number]
+            n = self.n[number].astype(np.int64)
             upto = np.r_[0, np.cumsum(n)]
             tokens = self.ids[np.repeat(self.at[number] - upto[:-1], n) + np.arange(upto[-1])]
             row = np.searchsorted(at, own)  # first piece of each row
