@@ -35,11 +35,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import keep, new_folder
-from .texts import _LOWER, buffers, chunks
+from .texts import _LOWER, buffers, chunks, give_back_memory
 
 LENGTH = 1024
 BATCH = 64
 CACHED_WORDS = 300_000
+ENCODED_AT_ONCE = 1024
 
 # 0 white space, 1 ASCII letters and digits, 2 ASCII punctuation but the apostrophe, 3 the rest
 _KIND = np.full(256, 3, dtype=np.uint8)
@@ -88,7 +89,10 @@ class TextEncoder:
             self._reset()
         new = [p for p in pieces if p not in self.known]
         if new:
-            found = [e.ids for e in self.tokenizer.encode_batch([p.decode() for p in new], add_special_tokens=False)]
+            found = []
+            for a in range(0, len(new), ENCODED_AT_ONCE):  # what it returns is large beside the ids
+                part = [p.decode() for p in new[a : a + ENCODED_AT_ONCE]]
+                found += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             n = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             ids = np.fromiter((i for own in found for i in own), dtype=self.dtype, count=int(n.sum()))
             k = len(self.known)
@@ -102,7 +106,7 @@ class TextEncoder:
     def encode(self, column: pa.Array):
         """(ids of some rows after one another, their lengths), some rows at a time."""
         data, offsets = buffers(column)
-        for lo, hi in chunks(offsets):
+        for lo, hi in chunks(offsets, 1 << 20):
             raw = data[offsets[lo] : offsets[hi]]
             own = offsets[lo : hi + 1] - offsets[lo]
             kind = _KIND[raw]
@@ -141,6 +145,19 @@ class TextEncoder:
             yield out, lengths
 
 
+_encoder: tuple[tuple, TextEncoder] | None = None
+
+
+def encoder_of(tokenizer_json: str, end_id: int | None) -> TextEncoder:
+    """This worker's encoder: its tokenizer and cache serve all tasks the worker is given."""
+    global _encoder
+    key = (hash(tokenizer_json), len(tokenizer_json), end_id)
+    if _encoder is None or _encoder[0] != key:
+        _encoder = None
+        _encoder = (key, TextEncoder(tokenizer_json, end_id))
+    return _encoder[1]
+
+
 def _store(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a Spark path: ``file:/x``, ``/x``, or any URI Arrow knows."""
     if path.startswith("file:"):
@@ -231,7 +248,7 @@ def write_token_files(
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = TextEncoder(held.value, end_id)
+                encoder = encoder_of(held.value, end_id)
                 writer = _ShardWriter(folder, encoder.dtype, length)
             at = 0
             for ids, lengths in encoder.encode(batch.column(1)):
@@ -239,6 +256,7 @@ def write_token_files(
                 at += len(lengths)
         if writer is not None:
             writer.close()
+            give_back_memory()
             yield pa.RecordBatch.from_pylist(
                 [{"part": TaskContext.get().partitionId(), "path": writer.path, "n_docs": writer.n_docs, "n_tokens": writer.n_tokens}],
                 schema=pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]),
