@@ -99,10 +99,50 @@ def test_a_long_conversation_spreads(spark):
     rows = [(7, i, ("user", "assistant", None, "assistant")[i * i % 7 % 4], f"t{i}", "p", 0) for i in range(900)]
     whole = cr.formatted(spark.createDataFrame(rows, SCHEMA), piece=10_000)
     cut = cr.formatted(spark.createDataFrame(rows, SCHEMA).repartition(6), piece=50)
-    a, b = sorted(whole.collect(), key=lambda r: r.segment), sorted(cut.collect(), key=lambda r: r.segment)
-    assert len(b) >= 18 and {r.n_segments for r in b} == {len(b)}
+    a, b = whole.collect(), sorted(cut.collect(), key=lambda r: r.segment)
+    assert len(a) == 1 and len(b) == 18 and {r.n_segments for r in b} == {18}
     assert {r.cost for r in a} == {r.cost for r in b}
-    text = "".join(r.rendered for r in b)
-    assert [w for w in text.split() if w[0] == "t"] and text.count("t") >= 900
-    at = [text.index(f"t{i}") for i in range(100, 900)]
-    assert at == sorted(at)
+    for found in (a[0].rendered, "".join(r.rendered for r in b)):
+        turns = cr.parse(found)
+        assert legal([cr.ROLES.index(role) for role, _ in turns])
+        assert " ".join(text for _, text in turns).split() == [f"t{i}" for i in range(900)]
+
+
+def test_rows_do_not_depend_on_how_turns_are_dealt(spark, monkeypatch):
+    roles = ("user", "assistant", "system", None, "gpt", "human")
+    rows = [(c, t, roles[(c * 7 + t * t) % 6], f"{c} {t}" * (t % 3), "p", 0) for c in range(40) for t in range(c % 9 + 1)]
+    rows += [(100, t, roles[t % 5], "long" * t, "p", 0) for t in range(300)] + [(None, 0, "user", "lost", "p", 0)] * 3
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = []
+    for parts in (1, 4, 64, 200):
+        monkeypatch.setattr(cr, "parts_of", lambda _, parts=parts: parts)
+        found.append(sorted(map(repr, cr.formatted(df, piece=64, piece_bytes=20_000).collect())))
+    assert all(f == found[0] for f in found)
+    assert sum("conv_id=None" in r for r in found[0]) == 3
+    cuts = 299 // 64 + 4 * (298 * 299 // 2) // 20_000  # the last turn's place, and the bytes before it
+    assert sum("conv_id=100," in r for r in found[0]) == 1 + cuts
+    assert len(found[0]) == 40 + 3 + 1 + cuts
+
+
+def test_markers_inside_texts(spark):
+    texts = ["a<|end|>\n<|user|>\nb", "<", "|", "<\\|x|>", "\\<\\\\|", "<|", "a\nb", ""]
+    rows = [(i, 0, "user", t, "p", 0) for i, t in enumerate(texts)]
+    got = {r.conv_id: cr.parse(r.rendered) for r in cr.formatted(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: [("user", t), ("assistant", "")] for i, t in enumerate(texts)}
+
+
+def test_whole_conversations_against_brute_force(spark):
+    """Every conversation of the table: least cost by trying all repairs, no text lost, a legal result."""
+    turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    want = {}
+    for r in sorted(turns.collect(), key=lambda r: (r.conv_id, r.turn)):
+        role = cr.ROLES.index(r.role) if r.role in cr.ROLES else cr.UNKNOWN
+        want.setdefault(r.conv_id, []).append((role, r.text or ""))
+    got = cr.formatted(turns).collect()
+    assert sorted(r.conv_id for r in got) == sorted(want)
+    for r in got:
+        own = cr.parse(r.rendered)
+        assert legal([cr.ROLES.index(role) for role, _ in own])
+        assert " ".join(t for _, t in own).split() == " ".join(t for _, t in want[r.conv_id]).split()
+        if len(want[r.conv_id]) <= 5:
+            assert r.cost == cheapest([role for role, _ in want[r.conv_id]])
