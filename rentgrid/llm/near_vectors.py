@@ -37,8 +37,16 @@ RECALL = 0.999
 BLOCK = 1024  # entries, and queries, of a group at most, about
 
 
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors over their norms. They are brought near 1 by a power of two first, which
+    rounds nothing, so that no square overflows or vanishes."""
+    _, power = np.frexp(np.abs(vectors).max(axis=1, initial=0, keepdims=True))
+    near = np.ldexp(vectors, -power)
+    return near / np.linalg.norm(near, axis=1, keepdims=True)
+
+
 def _halves(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    unit = _unit(vectors)
     cut = (vectors.shape[1] + 1) // 2
     return unit[:, :cut], unit[:, cut:]
 
@@ -125,8 +133,7 @@ def _block_links(table: pa.Table, threshold: float, width: int) -> pa.Table:
     """Links between the entries and the queries of a block: (cls, n, root)."""
     kind = table["entry"].to_numpy()
     cls, copies, cell = (table[c].to_numpy() for c in ("cls", "copies", "cell_own"))
-    vectors = _matrix(table["vec"], width)
-    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors = _unit(_matrix(table["vec"], width))
     y, x = np.flatnonzero(kind), np.flatnonzero(~kind)
     xi, yi = np.nonzero(vectors[x] @ vectors[y].T >= threshold)
     xi, yi = x[xi], y[yi]

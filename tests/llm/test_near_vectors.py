@@ -67,3 +67,26 @@ def test_recall_of_links_at_the_threshold(spark, monkeypatch):
     got, want = found(df), brute(rows)
     assert sum(r[1] for r in got) >= 0.98 * sum(r[1] for r in want)
     assert all(a[1] <= b[1] for a, b in zip(got, want))
+
+
+def test_very_small_and_very_large_vectors(spark):
+    """Components near 1e-200 and 1e200, and the smallest there are, link as their cosine says."""
+    rng = np.random.default_rng(3)
+    base = [rng.normal(size=8) for _ in range(30)]
+    rows = [(k, (v + 0.02 * rng.normal(size=8)).tolist(), k % 3) for k, v in enumerate(v for v in base for _ in range(3))]
+    odd = [(100 + k, (base[k] * size).tolist(), row[2]) for k, size in enumerate((1e-200, 1e200, 1e-160, 1e160)) for row in [rows[3 * k]]]
+    odd += [(200, [5e-324] + [0.0] * 7, 0), (201, [1.7e308] + [0.0] * 7, 0)]
+    kind = "vec_id long, embedding array<double>, label int"
+    plain = {r[0]: r[1:] for r in found(spark.createDataFrame(rows, kind))}
+    got = {r[0]: r[1:] for r in found(spark.createDataFrame(rows + odd, kind))}
+    for k in range(4):
+        near = [i for i in range(90) if rows[i][2] == rows[3 * k][2] and cosine(rows[i][1], base[k]) >= 0.93]
+        assert near and got[100 + k][0] == len(near) and got[100 + k][1] == min(got[i][1] for i in near)
+    assert got[200][0] >= 1 and got[201][1] == got[200][1]
+    touched = {i for k in range(4) for i in range(90) if rows[i][2] == rows[3 * k][2] and cosine(rows[i][1], base[k]) >= 0.93}
+    touched |= {i for i in range(90) if rows[i][2] == 0 and cosine(rows[i][1], [1.0] + [0.0] * 7) >= 0.93}
+    assert all(got[i] == plain[i] for i in set(range(90)) - touched)
+
+
+def cosine(x, y):
+    return np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y)
