@@ -122,20 +122,57 @@ FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.id = vec_id
 def licensed(templates: dict[str, str], threshold: float) -> str:
     values = ", ".join(f"('{name}', '{text.replace("'", "''")}')" for name, text in sorted(templates.items()))
     pairs = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    bound = threshold / (2 - threshold)
     return f"""
 WITH t AS (
-  SELECT name, {pairs} AS b FROM (SELECT name, {_words("text", ALNUM)} AS w FROM (VALUES {values}) AS x(name, text))
+  SELECT name, {pairs} AS b, len(w) - 1 AS size, CAST(ceil({bound} * len(b) - 1e-9) AS BIGINT) AS need
+  FROM (SELECT name, {_words("text", ALNUM)} AS w FROM (VALUES {values}) AS x(name, text))
+), lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(len(string_split(text, chr(10))))) AS line FROM documents
 ), s AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM documents
-  UNION ALL SELECT doc_id, text FROM documents
+  SELECT doc_id, text FROM lines UNION ALL SELECT doc_id, text FROM documents
 ), c AS (
   SELECT doc_id, {pairs} AS b FROM (SELECT doc_id, {_words("text", ALNUM)} AS w FROM s) WHERE len(w) > 1
 ), m AS (
   SELECT doc_id, name, 2.0 * len(list_intersect(c.b, t.b)) / (len(c.b) + len(t.b)) AS dice FROM c JOIN t
-    ON len(c.b) >= {threshold / (2 - threshold)} * len(t.b) AND len(c.b) <= len(t.b) / {threshold / (2 - threshold)}
+    ON len(c.b) >= {bound} * len(t.b) AND len(c.b) <= len(t.b) / {bound}
+), lw AS (
+  SELECT doc_id, line, {_words("text", ALNUM)} AS ws FROM lines
+), w AS (
+  SELECT doc_id, line, word, row_number() OVER (PARTITION BY doc_id ORDER BY line, i) - 1 AS pos
+  FROM (SELECT doc_id, line, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM lw)
+), p AS MATERIALIZED (
+  SELECT doc_id, pos, line, word || ' ' || lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS pair,
+         count(*) OVER (PARTITION BY doc_id) - 1 AS n FROM w
+), tp AS (
+  SELECT name, size, need, len(b) AS own, unnest(b) AS pair FROM t
+), hits AS (
+  SELECT doc_id, name, pos, n, size, need, own, p.pair FROM p JOIN tp USING (pair) WHERE n >= size
+), near AS (
+  SELECT a.doc_id, a.name, a.n, a.size, a.own, a.pos AS first, b.pos AS last
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, name ORDER BY pos) AS k FROM hits) a
+  JOIN (SELECT doc_id, name, pos, row_number() OVER (PARTITION BY doc_id, name ORDER BY pos) AS k FROM hits) b
+    ON a.doc_id = b.doc_id AND a.name = b.name AND b.k = a.k + a.need - 1 AND b.pos - a.pos < a.size
+), starts AS (
+  SELECT DISTINCT doc_id, name, size, own, unnest(range(greatest(last - size + 1, 0), least(first, n - size) + 1)) AS start FROM near
+), d AS (
+  SELECT s.doc_id, s.name, s.size, s.start,
+         2.0 * count(DISTINCT p.pair) FILTER (tp.pair IS NOT NULL) / (count(DISTINCT p.pair) + any_value(s.own)) AS dice,
+         max(p.line) FILTER (p.pos = s.start) AS line
+  FROM starts s JOIN p ON p.doc_id = s.doc_id AND p.pos >= s.start AND p.pos < s.start + s.size
+  LEFT JOIN tp ON tp.name = s.name AND tp.pair = p.pair GROUP BY ALL HAVING dice >= {threshold}
+), place AS (
+  SELECT *, sum(gap) OVER (PARTITION BY doc_id, name ORDER BY start) AS place FROM (
+    SELECT *, CASE WHEN start - lag(start) OVER (PARTITION BY doc_id, name ORDER BY start) < size THEN 0 ELSE 1 END AS gap FROM d)
+), best AS (
+  SELECT doc_id, name, size, start, line, dice FROM place
+  QUALIFY row_number() OVER (PARTITION BY doc_id, name, place ORDER BY dice DESC, start) = 1
+), found AS (
+  SELECT doc_id, name, dice FROM m WHERE dice >= {threshold}
+  UNION ALL
+  SELECT b.doc_id, b.name, b.dice FROM best b JOIN w ON w.doc_id = b.doc_id AND w.pos = b.start + b.size WHERE w.line > b.line
 ), g AS (
-  SELECT doc_id, count(*) AS n, string_agg(DISTINCT name, ',' ORDER BY name) AS names, max(dice) AS best
-  FROM m WHERE dice >= {threshold} GROUP BY doc_id
+  SELECT doc_id, count(*) AS n, string_agg(DISTINCT name, ',' ORDER BY name) AS names, max(dice) AS best FROM found GROUP BY doc_id
 )
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_matches, coalesce(names, '') AS licenses,
        round(CAST(best AS DOUBLE), 6) AS best_dice

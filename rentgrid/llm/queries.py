@@ -14,7 +14,8 @@ from .decontaminate import contamination
 from .jaccard_join import near_duplicates
 from .labels import held_out
 from .learned_partitions import nearest
-from .licenses import TEMPLATES, THRESHOLD, licenses
+from .licence_texts import TEMPLATES
+from .licenses import THRESHOLD, licenses
 from .near_vectors import near_vectors
 from .periodic_runs import periodic_runs
 from .raking import DIMENSIONS, mix
