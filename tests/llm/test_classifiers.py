@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -60,14 +61,15 @@ def test_figures_of_a_text():
     assert (gam.figures(pa.array([None, ""], pa.string())) == 0).all()
 
 
-def test_a_pair_that_matters_only_together():
-    """Neither word alone tells the label; both together do."""
+@pytest.mark.parametrize("label", [lambda a, b: a and b, lambda a, b: a != b])
+def test_a_pair_that_matters_only_together(label):
+    """Both words together tell the label; in the second case neither does alone."""
     rng = random.Random(4)
     texts, y = [], []
     for _ in range(3000):
         a, b = rng.random() < 0.5, rng.random() < 0.5
         texts.append(" ".join([*["they"] * a, *["insult"] * b, *(f"w{rng.randrange(300)}" for _ in range(20))]))
-        y.append(float(a and b))
+        y.append(float(label(a, b)))
     slots = []
     for own, n in fm.terms(pa.array(texts)):
         slots += np.split(own, np.cumsum(n)[:-1])
@@ -79,3 +81,17 @@ def test_a_pair_that_matters_only_together():
     own = [model.slots.tolist().index(s) for s in test[0].tolist() if s in model.slots]
     pairs = sum(model.factors[i] @ model.factors[j] for i in own for j in own if i < j)
     assert model.margin(test[0], np.array([len(test[0])]))[0] == pytest.approx(model.base + model.weight[own].sum() + pairs)
+
+
+def test_evidence_of_pairs():
+    rng = np.random.default_rng(2)
+    seen, y = rng.random((400, 5)) < [0.5, 0.3, 0.5, 0.9, 0.1], rng.random(400) < 0.4
+    got = fm._evidence_of_pairs([np.flatnonzero(r) for r in seen], y.astype(float), 5)
+    for i, j in itertools.combinations(range(5), 2):
+        want = 0.0
+        for case in itertools.product((False, True), repeat=2):
+            own = (seen[:, i] == case[0]) & (seen[:, j] == case[1])
+            for label in (False, True):
+                n, expected = (own & (y == label)).sum(), own.sum() * (y == label).mean()
+                want += 2 * n * np.log(n / expected) if n else 0
+        assert got[i, j] == pytest.approx(want) and got[j, i] == pytest.approx(want)
