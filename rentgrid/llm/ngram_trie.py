@@ -1,20 +1,28 @@
 """LM scoring with an Elias-Fano n-gram trie.
 
-The model interpolates trigrams, bigrams and unigrams with absolute discounting. Unigrams
-cover every word of the training texts. Level n of the trie covers n-grams of the
-VOCABULARY[n] most frequent words, with all their counts; that bounds the trie (2 * 2**24
-entries, some 2 to 3 bytes each) whatever the corpus, so each executor can map all of it.
-
-- **Levels.** A level holds its nodes' last words as one monotone Elias-Fano sequence, the
-  first child of each node as another, and probabilities and back-off weights as one-byte
-  codes on an even log scale. A trigram's word is kept as its rank among the
-  successors of its middle word: smaller numbers, and the bigram search that a back-off
-  needs anyway gives that rank.
-- **Files.** The trie is cut by first word into SHARDS files, each built by one task, and
-  memory-mapped by the scoring tasks.
-- **Counts.** Word and n-gram counts are combined per batch before they are shuffled.
-  Counts of the most frequent words (2**18 at most) go to the tasks; those of all other
-  words are joined by word, so every count is exact.
+The model interpolates trigrams, bigrams and unigrams with absolute discounting. All
+n-grams of the training texts are in the trie; nothing is pruned. The FREQUENT commonest
+words have ids of their own, the others share CLASSES - FREQUENT ids by hash; such a class
+is scored as one word, and the word inside it by its exact unigram share.
+
+- **Levels.** A trigram u v w lies below its middle word v, so that one shard knows all that
+  its score asks for: the words after v, the contexts u of v, and under each context its
+  words. Words of a level are one monotone Elias-Fano sequence, first children another,
+  probabilities and back-off weights one-byte codes on an even log scale. A trigram's word
+  is kept as its rank among the successors of v: smaller numbers, and the bigram search that
+  a back-off needs anyway gives that rank.
+- **Shards.** A shard holds about SHARD_TOKENS training tokens: words are dealt to shards by
+  id, and a word with more tokens than that has shards of its own, dealt by context. Each is
+  built by one task and is one memory-mapped file. Bigrams of such a word are in all of its
+  shards; there are CLASSES of them at most.
+- **Counts.** Tokens go to the task that builds their shard as sorted n-grams of a batch with
+  counts, packed. N-grams of words with their own shards are summed by Spark first, so that a
+  frequent context reaches its shard once and not once a batch.
+- **Scoring.** Tokens are sent to their shard in packed pieces, and sums for each text come
+  back; a task maps one shard at a time. Pieces of a frequent word's shard are dealt to
+  several tasks. Texts are told apart by a 64-bit hash of id and text.
+- **Unigrams.** Counts of frequent words (2**18 at most) and of classes (2**20) go to the
+  tasks; those of all other words are joined by word, so every count is exact.
 
 Base score: the sum over tokens of log10((c + 1) / (N + V + 1)). Words are A-Z lower-cased
 and compared by 64-bit hashes. Null and empty texts are the end token alone. Repeated rows
@@ -26,21 +34,25 @@ from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import keep, new_folder, release_shuffles
-from .texts import words
+from .texts import give_back_memory, mix, words
 from .token_files import _store
 
 FREQUENT = 1 << 18
-VOCABULARY = {2: 4096, 3: 256}
-SHARDS = 64
+CLASSES = 1 << 20  # ids of words; three fit in one long
+SHARD_TOKENS = 1 << 21
+FLUSH = 1 << 21  # tokens packed at a time
+PIECE = 1 << 15  # tokens of a request
+SPREAD = 8  # tasks that may share the requests to one shard
 DISCOUNT = 0.5
 END = np.uint64(0x7E5D_0000_0000_0E0D)  # the end token's hash
 
@@ -208,55 +220,77 @@ def _unpack(arrays: dict[str, np.ndarray], name: str) -> Level:
 # --- the model -------------------------------------------------------------------
 
 
+@dataclass
+class Dictionary:
+    """Ids of words, their unigram shares, and the shards of n-grams."""
+
+    hashes: np.ndarray  # frequent words, commonest first
+    p1: np.ndarray  # share of each id
+    shards: int  # of words that share them
+    hot: np.ndarray  # ids of words with shards of their own, ascending
+    first: np.ndarray  # the first of these shards, and the end
+    flush: int  # tokens packed at a time
+    piece: int  # tokens of a request
+
+    def __post_init__(self):
+        self.by_hash = np.argsort(self.hashes)
+        self.order = self.hashes[self.by_hash]
+
+    def ids(self, h: np.ndarray) -> np.ndarray:
+        found = _ids(h, self.order, self.by_hash)
+        n = len(self.hashes)
+        return np.where(found >= 0, found, n + h.view(np.int64) % (len(self.p1) - n))
+
+    def keys(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Middle word, context and word of each token in one number; texts begin after an end."""
+        w, v, u = _contexts(self.ids(h), first, int(self.ids(np.array([END]))[0]))
+        return (v << 41) | ((u + 1) << 20) | w
+
+    def is_hot(self, keys: np.ndarray) -> np.ndarray:
+        return np.isin(keys >> 41, self.hot)
+
+    def shard(self, keys: np.ndarray) -> np.ndarray:
+        v = keys >> 41
+        out = v % self.shards
+        own = np.flatnonzero(np.isin(v, self.hot))
+        at = np.searchsorted(self.hot, v[own])
+        context = mix(((keys[own] >> 20) & 0x1FFFFF).view(np.uint64)) >> np.uint64(1)
+        out[own] = self.first[at] + context.view(np.int64) % (self.first[at + 1] - self.first[at])
+        return out
+
+
 class Trie:
-    """All shards, mapped. Word ids go by frequency, from 0."""
-
-    def __init__(self, paths: list[str], tables: dict[str, np.ndarray], bow: np.ndarray):
-        self.shards = {}
-        for path in paths:
-            arrays = _read(path)
-            self.shards[int(arrays["shard"][0])] = (_unpack(arrays, "2"), _unpack(arrays, "3"))
-        self.tables, self.bow = tables, bow
-
-    def score(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log10 of the part the trie knows, whether p(w) is a further factor) of w after u v.
-
-        Ids of -1 are outside the bigrams' vocabulary; ``v`` is inside.
-        """
-        k3 = VOCABULARY[3]
-        out, lower = self.bow[v], np.ones(len(v), dtype=bool)
-        rank = np.full(len(v), -1, dtype=np.int64)
-        for s, own in _by_shard(v, np.flatnonzero(w >= 0)):
-            if s in self.shards:
-                two = self.shards[s][0]
-                place, r = two.find(v[own] // SHARDS, w[own])
-                hit = place >= 0
-                out[own[hit]] = self.tables["p2"][two.codes["p"][place[hit]]]
-                lower[own[hit]] = False
-                rank[own[hit]] = r[hit]
-        for s, own in _by_shard(u, np.flatnonzero((u >= 0) & (u < k3) & (v < k3))):
-            if s not in self.shards:
-                continue
-            two, three = self.shards[s]
-            node, _ = two.find(u[own] // SHARDS, v[own])
-            own, node = own[node >= 0], node[node >= 0]
-            found = np.full(len(own), -1, dtype=np.int64)
-            can = (rank[own] >= 0) & (w[own] < k3)
-            found[can], _ = three.find(node[can], rank[own[can]])
-            hit = found >= 0
-            out[own[hit]] = self.tables["p3"][three.codes["p"][found[hit]]]
-            out[own[~hit]] += self.tables["bow"][two.codes["bow"][node[~hit]]]
-        return out, lower
-
-
-def _by_shard(word: np.ndarray, rows: np.ndarray):
-    """(shard, its rows)."""
-    shard = word[rows] % SHARDS
-    order = np.argsort(shard, kind="stable")
-    rows, shard = rows[order], shard[order]
-    cut = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if len(rows) else np.zeros(0, dtype=np.int64)
-    for a, b in zip(cut, np.r_[cut[1:], len(rows)]):
-        yield int(shard[a]), rows[a:b]
+    """One shard: successors and contexts of its words, and words under each context."""
+
+    def __init__(self, path: str):
+        arrays = _read(path)
+        self.roots, self.bow, self.least = arrays["roots"], arrays["bow"], float(arrays["least"][0])
+        self.successors, self.contexts, self.trigrams = (_unpack(arrays, n) for n in ("s", "c", "t"))
+
+    def gains(self, keys: np.ndarray, log1: np.ndarray) -> np.ndarray:
+        """log10 of each word's share after its context over its unigram share."""
+        table = _codes(self.least)
+        v, u, w = keys >> 41, (keys >> 20) & 0x1FFFFF, keys & 0xFFFFF
+        out = np.zeros(len(keys))
+        node = np.minimum(np.searchsorted(self.roots, v), max(len(self.roots) - 1, 0))
+        own = np.flatnonzero(self.roots[node] == v) if len(self.roots) else np.zeros(0, np.int64)
+        node, u, w = node[own], u[own], w[own]
+        place, rank = self.successors.find(node, w)
+        two = np.where(place >= 0, table[self.successors.codes["p"][place]] - log1[w], self.bow[node])
+        at, _ = self.contexts.find(node, u)
+        some = np.flatnonzero(at >= 0)
+        two[some] += np.where(rank[some] >= 0, 0, table[self.contexts.codes["bow"][at[some]]])
+        some = some[rank[some] >= 0]
+        found, _ = self.trigrams.find(at[some], rank[some])
+        hit = found >= 0
+        two[some[hit]] = table[self.trigrams.codes["p"][found[hit]]] - log1[w[some[hit]]]
+        two[some[~hit]] += table[self.contexts.codes["bow"][at[some[~hit]]]]
+        out[own] = two
+        return out
+
+
+def _codes(least: float) -> np.ndarray:
+    return np.linspace(least, 0, 256)
 
 
 def _counted_pairs(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -323,32 +357,6 @@ def _most_frequent(unigrams: DataFrame, most: int) -> tuple[np.ndarray, np.ndarr
     return h[order], c[order]
 
 
-def _ngrams(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Counts of bigrams and trigrams inside the vocabularies: (n, k, c), k holds the ids."""
-    held = texts.sparkSession.sparkContext.broadcast(frequent[: VOCABULARY[2]])
-
-    def task(batches):
-        number = np.argsort(held.value)
-        order = held.value[number]
-        k2, k3 = VOCABULARY[2], VOCABULARY[3]
-        for batch in batches:
-            two, three = [], []
-            for _, h, first in _tokens(batch):
-                w, v, u = _contexts(_ids(h, order, number), first, int(_ids(np.array([END]), order, number)[0]))
-                pair = (w >= 0) & (v >= 0)
-                two.append(v[pair] * k2 + w[pair])
-                triple = pair & (u >= 0) & (u < k3) & (v < k3) & (w < k3)
-                three.append((u[triple] * k3 + v[triple]) * k3 + w[triple])
-            for n, keys in ((2, two), (3, three)):
-                if keys:
-                    sums = _sums(np.concatenate(keys))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(sums.num_rows, n, dtype=np.int32)), *sums.columns], ["n", "k", "c"]
-                    )
-
-    return texts.mapInArrow(task, "n int, k long, c long").groupBy("n", "k").agg(F.sum("c").alias("c"))
-
-
 def _contexts(w: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each token's id, the one before and the one before that; texts begin after an end."""
     v = np.r_[end, w[:-1]]
@@ -360,66 +368,207 @@ def _contexts(w: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, n
     return w, v, u
 
 
-def _build(ngrams: DataFrame, counts: np.ndarray, p1: np.ndarray, folder: str) -> tuple[list[str], dict, np.ndarray]:
-    """Write the shards: (paths, code tables, log10 back-off weight of each word)."""
-    k2, k3 = VOCABULARY[2], VOCABULARY[3]
-    spark = ngrams.sparkSession
-    two = ngrams.where("n = 2").select(
-        F.expr(f"k div {k2}").cast("int").alias("v"), (F.col("k") % k2).cast("int").alias("w"), "c"
-    )
-    two = two.withColumn("rank", F.row_number().over(Window.partitionBy("v").orderBy("w")) - 1)
-    two = keep(two, "bigrams")
-    bow = np.ones(k2)
-    for v, s in two.groupBy("v").agg(F.sum(F.col("c") - DISCOUNT)).collect():  # k2 rows at most
-        bow[v] = 1 - s / counts[v]
-    three = ngrams.where("n = 3").select(
-        F.expr(f"k div {k3 * k3}").cast("int").alias("u"), F.expr(f"k div {k3} % {k3}").cast("int").alias("v"),
-        (F.col("k") % k3).cast("int").alias("w"), F.col("c").alias("c3"),
+def _frequent(unigrams: DataFrame, below: float, n: int) -> Dictionary:
+    """Ids of words, shares of classes (CLASSES rows at most) and the plan of the shards."""
+    hashes, counts = _most_frequent(unigrams, FREQUENT)
+    own = len(hashes)
+    rest = unigrams.join(
+        unigrams.sparkSession.createDataFrame(pa.table({"k": pa.array(hashes.view(np.int64))})), "k", "left_anti"
     )
-    three = three.join(two.select("v", "w", "rank", F.col("c").alias("c2")), ["v", "w"])
-    rows = two.select(
-        (F.col("v") % SHARDS).alias("shard"), F.lit(2).alias("n"), F.col("v").alias("a"), F.col("w").alias("b"),
-        F.col("w").alias("x"), "c", F.col("c").alias("c2"), "w",
-    ).unionByName(three.select(
-        (F.col("u") % SHARDS).alias("shard"), F.lit(3).alias("n"), F.col("u").alias("a"), F.col("v").alias("b"),
-        F.col("rank").alias("x"), F.col("c3").alias("c"), "c2", "w",
-    ))
-    least = -np.log10(max(counts.sum(), 2) / DISCOUNT)  # of any discounted probability
-    tables = {"p2": np.linspace(least, 0, 256), "p3": np.linspace(least, 0, 256), "bow": np.linspace(-4, 0, 256)}
-    held = spark.sparkContext.broadcast((counts[:k2], p1[:k2], bow))
-
-    def task(table: pa.Table) -> pa.Table:
-        counts, p1, bow = held.value
-        t = {c: table[c].to_numpy().astype(np.int64) for c in table.column_names}
-        shard = int(t["shard"][0])
-        own = {}
-        for n in (2, 3):
-            sel = np.flatnonzero(t["n"] == n)
-            sel = sel[np.lexsort((t["x"][sel], t["b"][sel], t["a"][sel]))]
-            own[n] = {c: t[c][sel] for c in t}
-        a = own[2]
-        roots = np.arange(-(-k2 // SHARDS))
-        nodes = a["a"] // SHARDS
-        p2 = np.maximum(a["c"] - DISCOUNT, 0) / counts[a["a"]] + bow[a["a"]] * p1[a["b"]]
-        b = own[3]
-        key2, key3 = a["a"] * k2 + a["b"], b["a"] * k2 + b["b"]
-        first3 = np.searchsorted(key3, np.r_[key2, np.iinfo(np.int64).max])
-        parent = np.searchsorted(key2, key3)
-        kept = np.bincount(parent, b["c"] - DISCOUNT, len(key2)) / np.maximum(a["c"], 1)
-        bow2 = np.maximum(1 - kept, 1e-9)
-        lower = np.maximum(b["c2"] - DISCOUNT, 0) / counts[b["b"]] + bow[b["b"]] * p1[b["w"]]
-        p3 = (b["c"] - DISCOUNT) / np.maximum(a["c"][parent], 1) + bow2[parent] * lower
-        level2 = Level.of(
-            np.searchsorted(nodes, np.r_[roots, roots[-1] + 1]), a["x"],
-            {"p": encode(np.log10(p2), tables["p2"]), "bow": encode(np.log10(bow2), tables["bow"])},
-        )
-        level3 = Level.of(first3, b["x"], {"p": encode(np.log10(p3), tables["p3"])})
+    classes = rest.groupBy(F.pmod("k", F.lit(CLASSES - own)).cast("int").alias("i")).agg(
+        F.sum("c").alias("c"), F.sum(F.col("c") + 1).alias("d")
+    ).toArrow()
+    count, p1 = np.zeros(CLASSES, dtype=np.int64), np.ones(CLASSES)
+    count[:own], p1[:own] = counts, counts + 1
+    at = own + classes["i"].to_numpy()
+    count[at], p1[at] = classes["c"].to_numpy(), classes["d"].to_numpy()
+    hot = np.flatnonzero(count > SHARD_TOKENS)
+    shards = max(1, -(-int(n - count[hot].sum()) // SHARD_TOKENS))
+    first = shards + np.r_[0, np.cumsum(-(-count[hot] // SHARD_TOKENS))]
+    return Dictionary(hashes, p1 / below, shards, hot, first, FLUSH, PIECE)
+
+
+def _planes(sorted_: np.ndarray) -> bytes:
+    """Steps of an ascending sequence, byte by byte: equal high bytes lie together."""
+    return np.diff(sorted_, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unplanes(raw) -> np.ndarray:
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i8").ravel())
+
+
+def _flushes(batches, words_of: Dictionary, at: int):
+    """(keys, row number in its batch, batch) of some texts' tokens at a time."""
+    for batch in batches:
+        held, rows, size = [], [], 0
+        for lo, h, first in _tokens(batch, at):
+            held.append(words_of.keys(h, first))
+            rows.append(lo + np.repeat(np.arange(len(first) - 1), np.diff(first)))
+            size += len(h)
+            if size >= words_of.flush:
+                yield np.concatenate(held), np.concatenate(rows), batch
+                held, rows, size = [], [], 0
+        if held:
+            yield np.concatenate(held), np.concatenate(rows), batch
+
+
+def _cuts(shard: np.ndarray) -> np.ndarray:
+    """Where a new shard begins, and the end."""
+    return np.r_[np.flatnonzero(np.diff(shard, prepend=-1)), len(shard)]
+
+
+def _build(texts: DataFrame, words_of: Dictionary, n: int, folder: str) -> DataFrame:
+    """Write the shards: ``shard, path``."""
+    held = texts.sparkSession.sparkContext.broadcast(words_of)
+    least = float(-np.log10(max(n, 2) / DISCOUNT))  # of any discounted probability
+
+    def pack(batches):
+        own = held.value
+        for keys, _, _ in _flushes(batches, own, 0):
+            keys, counts = np.unique(keys[~own.is_hot(keys)], return_counts=True)
+            shard = own.shard(keys)
+            order = np.argsort(shard, kind="stable")
+            keys, counts, shard = keys[order], counts[order].astype("<u4"), shard[order]
+            cut = _cuts(shard)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(shard[cut[:-1]], pa.int64()),
+                pa.array([_planes(keys[a:b]) for a, b in zip(cut, cut[1:])], pa.binary()),
+                pa.array([counts[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
+            ], ["shard", "keys", "counts"])
+
+    def write(shard, k3, c3, k2, c2) -> pa.Table:
+        """Sorted n-grams with counts: middle, context and word; middle and word."""
+        p1 = held.value.p1
+        table = _codes(least)
+        v2, w2 = k2 >> 20, k2 & 0xFFFFF
+        roots, first2 = np.unique(v2, return_index=True)
+        first2 = np.r_[first2, len(k2)]
+        root = np.repeat(np.arange(len(roots)), np.diff(first2))
+        total = np.bincount(root, c2, len(roots))
+        bow = np.maximum(1 - np.bincount(root, c2 - DISCOUNT, len(roots)) / total, 1e-12)
+        p2 = (c2 - DISCOUNT) / total[root] + bow[root] * p1[w2]
+        node, first3 = np.unique(k3 >> 20, return_index=True)  # middle and context
+        first3 = np.r_[first3, len(k3)]
+        parent = np.repeat(np.arange(len(node)), np.diff(first3))
+        total3 = np.bincount(parent, c3, len(node))
+        bow3 = np.maximum(1 - np.bincount(parent, c3 - DISCOUNT, len(node)) / total3, 1e-12)
+        lower = np.searchsorted(k2, ((k3 >> 41) << 20) | (k3 & 0xFFFFF))
+        p3 = (c3 - DISCOUNT) / total3[parent] + bow3[parent] * p2[lower]
+        rank = lower - first2[root[lower]]
+        code = lambda x: encode(np.log10(x), table)
         path = f"{folder}/{uuid.uuid4().hex}.trie"
-        _write(path, {"shard": np.array([shard]), **_pack(level2, "2"), **_pack(level3, "3")})
-        return pa.table({"shard": pa.array([shard], pa.int32()), "path": [path]})
+        _write(path, {
+            "roots": roots, "bow": np.log10(bow), "least": np.array([least]),
+            **_pack(Level.of(first2, w2, {"p": code(p2)}), "s"),
+            **_pack(Level.of(np.searchsorted(node >> 21, np.r_[roots, 1 << 21]), node & 0x1FFFFF, {"bow": code(bow3)}), "c"),
+            **_pack(Level.of(first3, rank, {"p": code(p3)}), "t"),
+        })
+        give_back_memory()
+        return pa.table({"shard": pa.array([shard], pa.int64()), "path": [path]})
+
+    def shared(table: pa.Table) -> pa.Table:
+        keys = np.concatenate([_unplanes(x.as_buffer()) for x in table["keys"]])
+        counts = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table["counts"]])
+        k3, c3 = _summed(keys, counts)
+        return write(table["shard"][0].as_py(), k3, c3, *_summed(_pair(k3), c3))
+
+    made = texts.mapInArrow(pack, "shard long, keys binary, counts binary")
+    made = made.groupBy("shard").applyInArrow(shared, "shard long, path string")
+    if not len(words_of.hot):
+        return keep(made, "shards")
+
+    def hot(batches):
+        own = held.value
+        for keys, _, _ in _flushes(batches, own, 0):
+            yield _sums(keys[own.is_hot(keys)])
+
+    def deal(batches):
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(held.value.shard(keys)), *batch.columns], ["shard", "k", "c"])
+
+    def own_shard(table: pa.Table) -> pa.Table:
+        keys, counts, pair = (table[x].to_numpy(zero_copy_only=False) for x in ("k", "c", "pair"))
+        k3, k2 = _summed(keys[~pair], counts[~pair]), _summed(keys[pair], counts[pair])
+        return write(table["shard"][0].as_py(), *k3, *k2)
+
+    three = keep(texts.mapInArrow(hot, "k long, c long").groupBy("k").agg(F.sum("c").alias("c")), "frequent_ngrams")
+    ends = words_of.first
+    spread = texts.sparkSession.createDataFrame(pa.table({"v": words_of.hot, "a": ends[:-1], "b": ends[1:] - 1}))
+    spread = spread.select("v", F.explode(F.sequence("a", "b")).alias("shard"))
+    pair = F.shiftleft(F.shiftright("k", 41), 20).bitwiseOR(F.col("k").bitwiseAND(F.lit(0xFFFFF)))
+    two = three.groupBy(pair.alias("k")).agg(F.sum("c").alias("c")).withColumn("v", F.shiftright("k", 20))
+    two = two.join(spread, "v").select("shard", "k", "c", F.lit(True).alias("pair"))
+    three = three.mapInArrow(deal, "shard long, k long, c long").withColumn("pair", F.lit(False))
+    own = three.unionByName(two).groupBy("shard").applyInArrow(own_shard, "shard long, path string")
+    return keep(made.unionByName(own), "shards")
+
+
+def _pair(keys: np.ndarray) -> np.ndarray:
+    """Middle word and word."""
+    return ((keys >> 41) << 20) | (keys & 0xFFFFF)
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order].astype(np.int64)
+    cut = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[cut], np.add.reduceat(counts, cut) if len(cut) else counts
+
+
+def _gains(docs: DataFrame, words_of: Dictionary, shards: DataFrame) -> DataFrame:
+    """``doc, tokens, gain``: sums over the tokens of all rows with this hash."""
+    held = docs.sparkSession.sparkContext.broadcast(words_of)
+
+    def ask(batches):
+        own = held.value
+        for keys, row, batch in _flushes(batches, own, 0):
+            shard = own.shard(keys)
+            order = np.lexsort((keys, shard))
+            keys, row, shard = keys[order], row[order], shard[order]
+            doc = batch.column(1).to_numpy()
+            cut = _cuts(shard)
+            cut = np.concatenate([np.arange(a, b, own.piece) for a, b in zip(cut, cut[1:])] + [cut[-1:]])
+            for lo in range(0, len(cut) - 1, 64):
+                out = []
+                for a, b in zip(cut[lo : lo + 64], cut[lo + 1 : lo + 65]):
+                    seen, at = np.unique(row[a:b], return_inverse=True)
+                    out.append((_planes(keys[a:b]), at.astype("<u2").tobytes(), doc[seen].tobytes()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard[cut[:-1][lo : lo + 64]], pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*out))],
+                    ["shard", "keys", "at", "docs"],
+                )
 
-    made = keep(rows.groupBy("shard").applyInArrow(task, "shard int, path string"), "shards")
-    return [r.path for r in made.collect()], tables, np.log10(np.maximum(bow, 1e-9))
+    def answer(batches):
+        log1 = np.log10(held.value.p1)
+        path = trie = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys, at, docs = (batch.column(c)[i].as_buffer() for c in (1, 2, 3))
+                keys, at, docs = _unplanes(keys), np.frombuffer(at, "<u2"), np.frombuffer(docs, np.int64)
+                if batch.column(4)[i].as_py() != path:
+                    path = batch.column(4)[i].as_py()
+                    trie = Trie(path) if path else None
+                gain = np.zeros(len(keys))
+                if trie:
+                    # each distinct n-gram is looked up once
+                    new = np.diff(keys, prepend=-1) > 0
+                    gain = trie.gains(keys[new], log1)[np.cumsum(new) - 1]
+                n = len(docs)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(docs), pa.array(np.bincount(at, minlength=n)), pa.array(np.bincount(at, gain, n))],
+                    ["doc", "tokens", "gain"],
+                )
+        give_back_memory()
+
+    asked = docs.select("text", "doc").mapInArrow(ask, "shard long, keys binary, at binary, docs binary")
+    asked = asked.join(shards, "shard", "left").select("shard", "keys", "at", "docs", "path")
+    salt = F.pmod(F.xxhash64("docs"), F.lit(SPREAD))
+    asked = asked.repartition(F.col("shard"), salt).sortWithinPartitions("shard")
+    sums = asked.mapInArrow(answer, "doc long, tokens long, gain double")
+    return sums.groupBy("doc").agg(F.sum("tokens").alias("tokens"), F.sum("gain").alias("gain"))
 
 
 def scores(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -431,64 +580,50 @@ def scores(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text
     docs = docs.select(
         F.col(text).cast("string").alias("text"), F.col(id).alias("id"), F.coalesce(learn, F.lit(False)).alias("learnt")
     )
+    docs = docs.withColumn("doc", F.xxhash64("id", "text"))
     texts = docs.where("learnt").select("text")
     unigrams = keep(_unigrams(texts), "unigrams")
     n, v = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     below = float(n + v + 1)
-    frequent, counts = _most_frequent(unigrams, FREQUENT)
-    ngrams = keep(_ngrams(texts, frequent), "ngrams")
-    release_shuffles(spark)
-    p1 = (counts + 1) / below
+    words_of = _frequent(unigrams, below, n)
     folder = new_folder(spark, "trie")
     _store(folder)[0].create_dir(_store(folder)[1], recursive=True)
-    model = _build(ngrams, np.r_[counts, np.ones(max(0, VOCABULARY[2] - len(counts)))], p1, folder)
+    shards = _build(texts, words_of, n, folder)
+    release_shuffles(spark)
+    gains = keep(_gains(docs, words_of, shards), "gains")
     release_shuffles(spark)
-    held = spark.sparkContext.broadcast((frequent, p1))
+    held = spark.sparkContext.broadcast(words_of)
     id_kind = docs.schema["id"].dataType.simpleString()
 
     def task(batches):
-        frequent, p1 = held.value
-        by_hash = np.argsort(frequent)
-        order = frequent[by_hash]
-        log1 = np.log10(p1)
-        trie = Trie(*model)
-        end = int(_ids(np.array([END]), order, by_hash)[0])
-        k2 = VOCABULARY[2]
+        own = held.value
+        frequent, order = own.by_hash, own.order
+        log1 = np.log10(own.p1)
         key = TaskContext.get().partitionId() << 36
         for batch in batches:
             for lo, h, first in _tokens(batch):
                 rows = len(first) - 1
-                number = _ids(h, order, by_hash)
+                number = _ids(h, order, frequent)
                 known = number >= 0
                 row = np.repeat(np.arange(rows), np.diff(first))
-                own = np.where(known, log1[np.maximum(number, 0)] if len(log1) else 0.0, 0.0)
-                w, v, u = _contexts(np.where(number < k2, number, -1), first, end if end < k2 else -1)
-                value = own.copy()
-                some = np.flatnonzero(v >= 0)
-                packed = ((u[some] + 1) * (k2 + 1) + v[some]) * (k2 + 1) + w[some] + 1
-                # each distinct n-gram is looked up once
-                _, at, back = np.unique(packed, return_index=True, return_inverse=True)
-                at = some[at]
-                found, lower = trie.score(u[at], v[at], w[at])
-                value[some] = found[back] + np.where(lower[back], own[some], 0.0)
+                base = np.where(known, log1[np.maximum(number, 0)], 0.0)
                 r, rare, times = _counted_pairs(row[~known], h[~known])
                 cuts = np.searchsorted(r, np.arange(rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(1).slice(lo, rows), batch.column(2).slice(lo, rows),
+                        *(batch.column(c).slice(lo, rows) for c in (1, 2, 3)),
                         pa.array(key + np.arange(rows)), pa.array(np.diff(first)),
-                        pa.array(np.bincount(row[known], minlength=rows)),
-                        pa.array(np.bincount(row, own, rows)), pa.array(np.bincount(row, value, rows)),
+                        pa.array(np.bincount(row[known], minlength=rows)), pa.array(np.bincount(row, base, rows)),
                         pa.ListArray.from_arrays(cuts, pa.array(rare.view(np.int64))),
                         pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int64))),
                     ],
-                    ["id", "learnt", "key", "n_tokens", "known", "base", "value", "rare", "times"],
+                    ["id", "learnt", "doc", "key", "n_tokens", "known", "base", "rare", "times"],
                 )
                 key += rows
 
     local = keep(
         docs.mapInArrow(
-            task, f"id {id_kind}, learnt boolean, key long, n_tokens long, known long, base double, value double, "
+            task, f"id {id_kind}, learnt boolean, doc long, key long, n_tokens long, known long, base double, "
             "rare array<long>, times array<long>",
         ), "scored",
     )
@@ -502,9 +637,11 @@ def scores(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text
         )
     )
     none = F.lit(0)
-    return local.drop("rare", "times").join(found, "key", "left").select(
+    base = F.col("base") + F.coalesce("rare_base", F.lit(0.0))
+    # rows that are alike share their sums, so each has its part of the tokens
+    gain = F.coalesce(F.col("gain") * F.col("n_tokens") / F.col("tokens"), F.lit(0.0))
+    return local.drop("rare", "times").join(found, "key", "left").join(gains, "doc", "left").select(
         "id", "learnt", "n_tokens", (F.col("known") + F.coalesce("rare_known", none)).alias("n_known"),
         F.lit(int(n)).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
-        (F.col("value") + F.coalesce("rare_base", F.lit(0.0))).alias("score"),
+        base.alias("base_score"), (base + gain).alias("score"),
     )

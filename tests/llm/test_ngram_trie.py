@@ -3,45 +3,56 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rentgrid.llm import ngram_trie as nt
 from rentgrid.llm.labels import held_out
+from rentgrid.llm.texts import words as word_parts
 
 from .conftest import words
 
 FOLDER = "/root/testdata/sf0.001"
 
 
-def model(texts):
-    """The same model with dictionaries; every word is in both vocabularies."""
+def model(texts, id_of=lambda w: w):
+    """The same model with dictionaries; ``id_of``: the id that a word shares with others."""
     c, two, three = (collections.Counter() for _ in range(3))
     for t in texts:
-        s = [None, *t]
+        s = ["begin", id_of(None), *map(id_of, t)]
         c.update(t)
-        two.update(zip(s, s[1:]))
+        two.update(zip(s[1:], s[2:]))
         three.update(zip(s, s[1:], s[2:]))
     n, v = sum(c.values()), len(c)
-    after, after2 = collections.Counter(), collections.Counter()
+    one = lambda w: (c[w] + 1) / (n + v + 1)
+    share = collections.Counter()
+    for w in c:
+        share[id_of(w)] += one(w)
+    any_ = lambda k: share[k] or 1 / (n + v + 1)
+    after, after2, before2 = (collections.Counter() for _ in range(3))
+    total = collections.Counter()
     for (a, _), k in two.items():
         after[a] += k - nt.DISCOUNT
+        total[a] += k
     for (a, b, _), k in three.items():
         after2[a, b] += k - nt.DISCOUNT
-    one = lambda w: (c[w] + 1) / (n + v + 1)
+        before2[a, b] += k
 
     def p2(a, w):
-        return one(w) if not c[a] else max(two[a, w] - nt.DISCOUNT, 0) / c[a] + (1 - after[a] / c[a]) * one(w)
+        return any_(w) if not total[a] else max(two[a, w] - nt.DISCOUNT, 0) / total[a] + (1 - after[a] / total[a]) * any_(w)
 
     def p3(a, b, w):
-        k = two[a, b]
-        if not k:
-            return p2(b, w)
-        return max(three[a, b, w] - nt.DISCOUNT, 0) / k + max(1 - after2[a, b] / k, 1e-9) * p2(b, w)
+        k = before2[a, b]
+        return p2(b, w) if not k else max(three[a, b, w] - nt.DISCOUNT, 0) / k + (1 - after2[a, b] / k) * p2(b, w)
 
     def score(t):
-        s = [None, *t]
-        return sum(math.log10(p3(*s[i - 2 : i + 1]) if i > 1 else p2(None, s[1])) for i in range(1, len(s)))
+        out, a, b = 0.0, "begin", id_of(None)
+        for w in t:
+            k = id_of(w)
+            out += math.log10(p3(a, b, k) / any_(k) * one(w))
+            a, b = b, k
+        return out
 
     return c, n, v, one, score
 
@@ -56,19 +67,54 @@ def check(df, texts, learn, tolerance):
 
 
 def test_against_dictionaries(spark, monkeypatch):
-    """Codes are within half a step; rare words go by the join when few are frequent."""
+    """As shipped, then with shards of few tokens (many are of one word's own), small flushes and pieces."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id % 5 = 1 and n_chars < 3000")
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
     texts = [[*words(t), None] for _, t in rows]
     learn = [zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows]
-    monkeypatch.setattr(nt, "VOCABULARY", {2: 1 << 14, 3: 1 << 14})
-    check(nt.scores(docs, ~held_out(F.col("doc_id"), 7, 2)), texts, learn, 0.03)
-    monkeypatch.setattr(nt, "FREQUENT", 50)
-    found = nt.scores(docs, ~held_out(F.col("doc_id"), 7, 2)).collect()
-    c, _, _, one, _ = model([t for t, own in zip(texts, learn) if own])
-    for r, t in zip(sorted(found, key=lambda r: r.id), texts):
-        assert r.n_known == sum(c[w] > 0 for w in t)
-        assert r.base_score == pytest.approx(sum(math.log10(one(w)) for w in t), rel=1e-9)
+    out = held_out(F.col("doc_id"), 7, 2)
+    check(nt.scores(docs, ~out), texts, learn, 0.03)
+    for name, value in (("SHARD_TOKENS", 300), ("FLUSH", 1000), ("PIECE", 64)):
+        monkeypatch.setattr(nt, name, value)
+    check(nt.scores(docs, ~out), texts, learn, 0.03)
+
+
+def test_classes(spark, monkeypatch):
+    """Words past the frequent ones share ids; counts stay exact, and shares sum to one."""
+    monkeypatch.setattr(nt, "FREQUENT", 3)
+    monkeypatch.setattr(nt, "CLASSES", 7)
+    monkeypatch.setattr(nt, "SHARD_TOKENS", 8)
+    known = ["a b c d", "a c e", "b b a f g", "c a d d h", "a b"]
+    vocabulary = sorted({w for t in known for w in t.split()})
+    asked = [f"a {w}" for w in [*vocabulary, "unseen"]] + ["a"]
+    rows = [(i, t) for i, t in enumerate(known + asked)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.id: r for r in nt.scores(df, F.col("doc_id") < len(known)).collect()}
+    texts = [[*words(t), None] for _, t in rows]
+    learnt = df.where(F.col("doc_id") < len(known)).select("text")
+    n = sum(map(len, texts[: len(known)]))
+    ids = nt._frequent(nt._unigrams(learnt), 1.0, n)
+    numbers = {None: int(ids.ids(np.array([nt.END]))[0])}
+    for part in word_parts(pa.array([" ".join([*vocabulary, "unseen"])])):
+        numbers |= {part.word(i).decode(): int(k) for i, k in enumerate(ids.ids(part.hashes()))}
+    assert len(set(numbers.values())) < len(numbers)
+    c, n, v, one, score = model(texts[: len(known)], numbers.get)
+    for i, t in enumerate(texts):
+        assert got[i].n_known == sum(c[w] > 0 for w in t) and got[i].train_tokens == n
+        assert got[i].base_score == pytest.approx(sum(math.log10(one(w)) for w in t), rel=1e-9)
+        assert got[i].score == pytest.approx(score(t), abs=0.03 * len(t))
+
+
+def test_repeated_rows_share_their_sums(spark):
+    rows = [(1, "to be or not to be")] * 3 + [(2, "to be or not to be"), (2, "not to be"), (None, "to be")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    texts = [[*words(t), None] for _, t in sorted(rows, key=repr)]
+    got = sorted(nt.scores(df, F.lit(True)).collect(), key=lambda r: (str(r.id), r.n_tokens))
+    _, _, _, _, score = model([[*words(t), None] for _, t in rows])
+    want = sorted((str(i), len(words(t)) + 1, score([*words(t), None])) for i, t in rows)
+    assert len(got) == len(texts)
+    for r, (i, n, s) in zip(got, want):
+        assert (str(r.id), r.n_tokens) == (i, n) and r.score == pytest.approx(s, abs=0.03 * n)
 
 
 def test_edges(documents, nothing):
