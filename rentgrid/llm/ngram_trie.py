@@ -35,6 +35,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -56,17 +57,12 @@ SPREAD = 8  # tasks that may share the requests to one shard
 DISCOUNT = 0.5
 END = np.uint64(0x7E5D_0000_0000_0E0D)  # the end token's hash
 
-_SELECT = np.zeros((256, 8), dtype=np.uint8)  # place of the k-th one of a byte
-for _b in range(256):
-    _ones = [i for i in range(8) if _b >> i & 1]
-    _SELECT[_b, : len(_ones)] = _ones
-
 
 class EliasFano:
-    """A monotone sequence: low bits packed, high bits in unary, select by counts per word."""
+    """A monotone sequence: low bits packed, high bits in unary."""
 
-    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, counts: np.ndarray):
-        self.n, self.low_bits, self.low, self.high, self.counts = n, low_bits, low, high, counts
+    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
+        self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
@@ -85,30 +81,23 @@ class EliasFano:
             np.bitwise_or.at(low, at >> 6, part << shift)
             over = (at & 63) + low_bits > 64
             np.bitwise_or.at(low, (at[over] >> 6) + 1, part[over] >> (np.uint64(64) - shift[over]))
-        counts = np.r_[0, np.cumsum(np.bitwise_count(high).astype(np.int64))].astype(np.uint32)
-        return cls(n, low_bits, low, high, counts)
+        return cls(n, low_bits, low, high)
+
+    @cached_property
+    def ones(self) -> np.ndarray:
+        """Places of the ones in the high bits: select, worked out once for a mapped shard."""
+        bits = np.unpackbits(np.ascontiguousarray(self.high).view(np.uint8), bitorder="little")
+        return np.flatnonzero(bits).astype(np.uint32 if len(bits) < 1 << 32 else np.int64)
 
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
         """Values at places ``i``."""
         i = np.asarray(i, dtype=np.int64)
-        word = np.searchsorted(self.counts, i, "right") - 1
-        left = i - self.counts[word]
-        bits = self.high[word]
-        at = word << 6
-        for _ in range(7):  # skip whole bytes
-            ones = np.bitwise_count(bits & np.uint64(255)).astype(np.int64)
-            skip = left >= ones
-            left = np.where(skip, left - ones, left)
-            bits = np.where(skip, bits >> np.uint64(8), bits)
-            at = np.where(skip, at + 8, at)
-        at = at + _SELECT[(bits & np.uint64(255)).astype(np.int64), left]
-        value = (at - i) << self.low_bits
+        value = (self.ones[i] - i) << self.low_bits
         if self.low_bits:
             bit = i * self.low_bits
-            shift = (bit & 63).astype(np.uint64)
-            low = self.low[bit >> 6] >> shift
+            at, shift = bit >> 6, (bit & 63).astype(np.uint64)
             # a shift by 64 is no shift, so it is done in two steps
-            low |= (self.low[(bit >> 6) + 1] << np.uint64(1)) << (np.uint64(63) - shift)
+            low = (self.low[at] >> shift) | ((self.low[at + 1] << np.uint64(1)) << (np.uint64(63) - shift))
             value |= (low & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
         return value
 
@@ -204,14 +193,14 @@ def _pack(level: Level, name: str) -> dict[str, np.ndarray]:
     out = {f"{name}.{c}": codes for c, codes in level.codes.items()}
     for part, ef in (("first", level.first), ("values", level.values)):
         out[f"{name}.{part}.n"] = np.array([ef.n, ef.low_bits])
-        out |= {f"{name}.{part}.{k}": getattr(ef, k) for k in ("low", "high", "counts")}
+        out |= {f"{name}.{part}.{k}": getattr(ef, k) for k in ("low", "high")}
     return out
 
 
 def _unpack(arrays: dict[str, np.ndarray], name: str) -> Level:
     def sequence(part):
         n, low_bits = (int(x) for x in arrays[f"{name}.{part}.n"])
-        return EliasFano(n, low_bits, *(arrays[f"{name}.{part}.{k}"] for k in ("low", "high", "counts")))
+        return EliasFano(n, low_bits, *(arrays[f"{name}.{part}.{k}"] for k in ("low", "high")))
 
     codes = {c: arrays[f"{name}.{c}"] for c in ("p", "bow") if f"{name}.{c}" in arrays}
     return Level(sequence("first"), sequence("values"), codes)
@@ -275,9 +264,12 @@ class Trie:
         node = np.minimum(np.searchsorted(self.roots, v), max(len(self.roots) - 1, 0))
         own = np.flatnonzero(self.roots[node] == v) if len(self.roots) else np.zeros(0, np.int64)
         node, u, w = node[own], u[own], w[own]
-        place, rank = self.successors.find(node, w)
+        # a pair is looked up once, whatever its contexts
+        pair, at, back = np.unique((node << 20) | w, return_index=True, return_inverse=True)
+        place, rank = (x[back] for x in self.successors.find(node[at], pair & 0xFFFFF))
         two = np.where(place >= 0, table[self.successors.codes["p"][place]] - log1[w], self.bow[node])
-        at, _ = self.contexts.find(node, u)
+        context, first, back = np.unique((node << 21) | u, return_index=True, return_inverse=True)
+        at = self.contexts.find(node[first], context & 0x1FFFFF)[0][back]
         some = np.flatnonzero(at >= 0)
         two[some] += np.where(rank[some] >= 0, 0, table[self.contexts.codes["bow"][at[some]]])
         some = some[rank[some] >= 0]
@@ -389,13 +381,24 @@ def _frequent(unigrams: DataFrame, below: float, n: int) -> Dictionary:
 
 
 def _planes(sorted_: np.ndarray) -> bytes:
-    """Steps of an ascending sequence, byte by byte: equal high bytes lie together."""
-    return np.diff(sorted_, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Steps of an ascending sequence."""
+    return _packed(np.diff(sorted_, prepend=0).astype("<i8"))
+
+
+def _unplanes(raw: pa.Buffer) -> np.ndarray:
+    return np.cumsum(_unpacked(raw, "<i8"))
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte, compressed, after their count."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def _unplanes(raw) -> np.ndarray:
-    planes = np.frombuffer(raw, dtype=np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<i8").ravel())
+def _unpacked(raw: pa.Buffer, kind: str) -> np.ndarray:
+    size, n = np.dtype(kind).itemsize, int.from_bytes(raw.slice(0, 8).to_pybytes(), "little")
+    planes = pa.decompress(raw.slice(8), decompressed_size=n * size, codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def _flushes(batches, words_of: Dictionary, at: int):
@@ -434,7 +437,7 @@ def _build(texts: DataFrame, words_of: Dictionary, n: int, folder: str) -> DataF
             yield pa.RecordBatch.from_arrays([
                 pa.array(shard[cut[:-1]], pa.int64()),
                 pa.array([_planes(keys[a:b]) for a, b in zip(cut, cut[1:])], pa.binary()),
-                pa.array([counts[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
+                pa.array([_packed(counts[a:b]) for a, b in zip(cut, cut[1:])], pa.binary()),
             ], ["shard", "keys", "counts"])
 
     def write(shard, k3, c3, k2, c2) -> pa.Table:
@@ -469,7 +472,7 @@ def _build(texts: DataFrame, words_of: Dictionary, n: int, folder: str) -> DataF
 
     def shared(table: pa.Table) -> pa.Table:
         keys = np.concatenate([_unplanes(x.as_buffer()) for x in table["keys"]])
-        counts = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table["counts"]])
+        counts = np.concatenate([_unpacked(x.as_buffer(), "<u4") for x in table["counts"]])
         k3, c3 = _summed(keys, counts)
         return write(table["shard"][0].as_py(), k3, c3, *_summed(_pair(k3), c3))
 
@@ -535,7 +538,7 @@ def _gains(docs: DataFrame, words_of: Dictionary, shards: DataFrame) -> DataFram
                 out = []
                 for a, b in zip(cut[lo : lo + 64], cut[lo + 1 : lo + 65]):
                     seen, at = np.unique(row[a:b], return_inverse=True)
-                    out.append((_planes(keys[a:b]), at.astype("<u2").tobytes(), doc[seen].tobytes()))
+                    out.append((_planes(keys[a:b]), _packed(at.astype("<u2")), doc[seen].tobytes()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shard[cut[:-1][lo : lo + 64]], pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*out))],
                     ["shard", "keys", "at", "docs"],
@@ -547,7 +550,7 @@ def _gains(docs: DataFrame, words_of: Dictionary, shards: DataFrame) -> DataFram
         for batch in batches:
             for i in range(batch.num_rows):
                 keys, at, docs = (batch.column(c)[i].as_buffer() for c in (1, 2, 3))
-                keys, at, docs = _unplanes(keys), np.frombuffer(at, "<u2"), np.frombuffer(docs, np.int64)
+                keys, at, docs = _unplanes(keys), _unpacked(at, "<u2"), np.frombuffer(docs, np.int64)
                 if batch.column(4)[i].as_py() != path:
                     path = batch.column(4)[i].as_py()
                     trie = Trie(path) if path else None
