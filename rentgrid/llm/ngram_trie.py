@@ -594,6 +594,8 @@ def scores(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text
     shards = _build(texts, words_of, n, folder)
     release_shuffles(spark)
     gains = keep(_gains(docs, words_of, shards), "gains")
+    store, path = _store(folder)
+    store.delete_dir(path)  # the sums are written; nothing reads the trie again
     release_shuffles(spark)
     held = spark.sparkContext.broadcast(words_of)
     id_kind = docs.schema["id"].dataType.simpleString()
