@@ -8,6 +8,7 @@ exact deduplication has work; nothing is left out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,7 @@ from ..plans.marts import (
 )
 from ..plans.staging import stage_dual_price, stage_single_price, unify_sources
 from ..plans.together import together
+from ..sources.csv_tree import by_period
 from ..sources.rates import typed_rates
 from ..sources.workspace import Workspace, workspace_of
 
@@ -62,23 +64,29 @@ class Listings:
     def workspace(self) -> Workspace:
         return workspace_of(self.spark)
 
-    def _placed_items(self, status: str) -> DataFrame:
-        """Line items with their supplier's place.
+    def _placed_items(self, status: str, periods: Callable[[Column], Column] | None) -> DataFrame:
+        """Line items with their supplier's place, clustered by ``periodo`` if periods are wanted.
 
         One lookup after the other, each sized by Spark from its own file: small
         tables are broadcast, and a large supplier table costs one shuffle, where a
         hot supplier is split at run time.
         """
         items = self.table("lineitem").where(F.col("l_linestatus") == status)
-        placed = (
+        copies = F.when(F.col("l_partkey") % 100 == 0, 2).otherwise(1)
+        items = items.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+        if periods:  # a line item takes a third of the room its listing does
+            day = F.col("l_shipdate").cast("date")
+            items = by_period(items.withColumn("periodo", F.explode(periods(day))), "periodo")
+        return (
             items.join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
             .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
         )
-        copies = F.when(F.col("l_partkey") % 100 == 0, 2).otherwise(1)
-        return placed.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
 
-    def _raw(self, status: str, prefix: str, source: str, area: str, **money: Column) -> DataFrame:
+    def _raw(
+        self, status: str, prefix: str, source: str, area: str, periods: Callable[[Column], Column] | None,
+        **money: Column,
+    ) -> DataFrame:
         upper = status == "O"
         name = F.concat(F.lit(" "), F.replace("n_name", F.lit("_"), F.lit("  ")), F.lit(" "))
         captured = F.col("l_shipdate").cast("date")
@@ -87,7 +95,7 @@ class Listings:
         contact = F.when(F.col("l_suppkey") % 3 == 0, "owner_direct").otherwise("agency")
         if not upper:
             contact = F.when(F.col("l_suppkey") % 7 != 0, contact)
-        return self._placed_items(status).select(
+        return self._placed_items(status, periods).select(
             F.concat_ws("-", F.lit(prefix), "l_orderkey", "l_linenumber").alias("id"),
             F.lit(source).alias("fuente"),
             F.when(
@@ -101,22 +109,36 @@ class Listings:
             F.when(even, "DEPARTAMENTO").otherwise("departamento").alias("tipo_propiedad"),
             F.when(even, "ARRIENDO").otherwise("arriendo").alias("tipo_operacion"),
             contact.alias("contact_type"),
+            *(["periodo"] if periods else []),
         )
 
+    def raw_of(self, name: str, periods: Callable[[Column], Column] | None = None) -> DataFrame:
+        """Raw listings of a source; with ``periods`` (of a day: an array) one for each of them.
+
+        Then they have a column ``periodo`` and are ready for ``write_csv_tree``, clustered.
+        """
+        return self._alpha(periods) if name == "alpha" else self._beta(periods)
+
     @property
     def raw_alpha(self) -> DataFrame:
+        return self.raw_of("alpha")
+
+    @property
+    def raw_beta(self) -> DataFrame:
+        return self.raw_of("beta")
+
+    def _alpha(self, periods: Callable[[Column], Column] | None) -> DataFrame:
         currency = F.when(F.col("l_returnflag") == "A", "UF").when(
             F.col("l_returnflag") == "N", "CLP"
         )
         return self._raw(
-            "F", "TA", "alpha", ALPHA.area, precio=_text(F.col("l_extendedprice")), divisa=currency
+            "F", "TA", "alpha", ALPHA.area, periods, precio=_text(F.col("l_extendedprice")), divisa=currency
         )
 
-    @property
-    def raw_beta(self) -> DataFrame:
+    def _beta(self, periods: Callable[[Column], Column] | None) -> DataFrame:
         price = F.col("l_extendedprice")
         return self._raw(
-            "O", "PB", "beta", BETA.area,
+            "O", "PB", "beta", BETA.area, periods,
             precio_clp=_text(price), precio_uf=_text(F.when(F.col("l_tax") > 0, price / 1000)),
         )
 

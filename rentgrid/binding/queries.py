@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Namespaces, PipelineConfig
@@ -195,9 +195,9 @@ def raw_tree(x: Listings) -> str:
     """Raw CSV trees of the binding, one folder per source and month; written once."""
     if "_tree" not in x.__dict__:
         root = x.workspace.path("raw")
-        for raw, name in ((x.alpha_raw, "alpha"), (x.beta_raw, "beta")):
-            month = F.substring("fecha_scraping", 1, 7)
-            write_csv_tree(raw.withColumn("periodo", month), f"{root}/{name}", "periodo")
+        for name in SOURCES:
+            rows = x.raw_of(name, lambda day: F.array(F.substring(day.cast("string"), 1, 7)))
+            write_csv_tree(rows, f"{root}/{name}", "periodo", clustered=True, compression="gzip")
         write_rate_csv(x.raw_rates, f"{root}/uf")
         x.__dict__["_tree"] = root
     return x.__dict__["_tree"]
@@ -632,15 +632,18 @@ def key_collisions(x: Listings) -> DataFrame:
     )
 
 
+def _delivered_in(day: Column) -> Column:
+    months = F.array(F.date_format(day, "yyyy-MM"), F.date_format(F.add_months(day, -1), "yyyy-MM"))
+    return F.when(F.dayofmonth(day) <= 3, months).otherwise(F.slice(months, 1, 1))
+
+
 def redelivered_tree(x: Listings) -> str:
     """Monthly CSV files, in which the first three days of a month are in the month before's file too."""
     if "_redelivered" not in x.__dict__:
         root = x.workspace.path("redelivered")
-        for raw, name in ((x.alpha_raw, "alpha"), (x.beta_raw, "beta")):
-            day = F.col("fecha_scraping").cast("date")
-            months = F.array(F.date_format(day, "yyyy-MM"), F.date_format(F.add_months(day, -1), "yyyy-MM"))
-            wanted = F.when(F.dayofmonth(day) <= 3, months).otherwise(F.slice(months, 1, 1))
-            write_csv_tree(raw.withColumn("periodo", F.explode(wanted)), f"{root}/{name}", "periodo")
+        for name in SOURCES:
+            rows = x.raw_of(name, _delivered_in)
+            write_csv_tree(rows, f"{root}/{name}", "periodo", clustered=True, compression="gzip")
         x.__dict__["_redelivered"] = root
     return x.__dict__["_redelivered"]
 

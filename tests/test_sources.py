@@ -299,6 +299,24 @@ def test_files_per_period_do_not_follow_the_tasks(spark, tmp_path):
     assert len(files) <= 5
 
 
+def test_packed_tree_reads_like_a_plain_one(spark, tmp_path):
+    from rentgrid.sources.csv_tree import list_files, period_of_path, scan_csv_tree, with_source_file, write_csv_tree
+
+    rows = spark.createDataFrame(
+        [("1", " a ", "2023-01"), ("2", None, "2023-01"), ("3", 'x,"y', "2023-02"), ("4", "z", None)], "id string, v string, periodo string"
+    )
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    write_csv_tree(rows, str(tmp_path / "tree"), "periodo", compression="gzip")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    assert len(list((tmp_path / "tree").rglob("*.csv.gz"))) == 3 and not list((tmp_path / "tree").rglob("*.csv"))
+    periods = list_files(spark, str(tmp_path / "tree")).select(period_of_path(F.col("path")).alias("p"))
+    assert {r.p for r in periods.collect()} == {"2023-01", "2023-02", None}
+    found = with_source_file(scan_csv_tree(spark, str(tmp_path / "tree"), ["id", "v"])).select("id", "v", "periodo_archivo")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows.collect()))
+    packed = spark.createDataFrame([("/a/2023/2023-04.csv.gz",)], "p string").select(period_of_path(F.col("p")).alias("p"))
+    assert packed.first().p == "2023-04"
+
+
 def point(day, value):
     return {"fecha": f"{day}T03:00:00.000Z", "valor": value}
 
