@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import trimmed
-from ..sources.workspace import Workspace
+from ..sources.workspace import Workspace, spread
 from .quantiles import described
 
 
@@ -46,9 +46,9 @@ def collapsed(df: DataFrame, columns: Sequence[str], workspace: Workspace) -> Da
     """Distinct rows and ``_n``, how often each occurs; written once.
 
     Copies, repeated keys and collisions all follow from it, so the source is shuffled
-    once for the three, and copies combine before that.
+    once for the three.
     """
-    return workspace.keep(df.groupBy(*columns).agg(F.count("*").alias("_n")), "filas")
+    return workspace.keep(spread(df, columns).groupBy(*columns).agg(F.count("*").alias("_n")), "filas")
 
 
 def exact_duplicate_count(rows: DataFrame) -> DataFrame:
@@ -67,11 +67,12 @@ def copies_across_files(df: DataFrame, columns: Sequence[str], file: str) -> Dat
     """Copies with the file as part of the row, and without it.
 
     Rows collapse per file first, then over files: the file's identity goes along, so one
-    pass tells copies inside a file from rows that several files deliver. ``n_exactos``:
+    pass, and one shuffle, by the columns alone, tells copies inside a file from rows that
+    several files deliver. ``n_exactos``:
     rows beyond the first with the file in the row; ``n_entre_archivos``: further files that
     hold a row; ``n_filas_repartidas``: distinct rows that more than one file holds.
     """
-    per_file = df.groupBy(*columns, file).agg(F.count("*").alias("_n"))
+    per_file = spread(df, columns).groupBy(*columns, file).agg(F.count("*").alias("_n"))
     rows = per_file.groupBy(*columns).agg(
         F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_inside"), F.count("*").alias("_files")
     )

@@ -15,11 +15,14 @@ from ..functions import (
     round_to_long,
     title_case_words,
 )
+from ..sources.workspace import spread
 
 
 def distinct_raw(raw: DataFrame, source: ListingSource) -> DataFrame:
-    """Exact copies collapse (NULLs equal). Copies combine before the shuffle."""
-    return raw.select(*source.columns).distinct()
+    """Exact copies collapse (NULLs equal), a bounded number of rows at a time."""
+    # fuente is one value: Spark may fold it, and would then shuffle again to group by the rest
+    keys = [c for c in source.columns if c != "fuente"]
+    return spread(raw.select(*source.columns), keys).distinct()
 
 
 def _normalised(source: ListingSource, rules: ListingRules) -> dict[str, Column]:

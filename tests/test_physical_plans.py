@@ -63,3 +63,35 @@ def test_quantiles_shuffle_no_listing(x):
 def test_top_k_per_place_prunes_before_the_shuffle(x):
     text = plan(metrics.top_listings_to_contact(x.fact, x.place_figures, x.places))
     assert "row_number(), 5, Partial" in text
+
+
+def test_trees_are_clustered_before_rows_grow_wide(x):
+    text = plan(x.raw_of("alpha", lambda day: F.array(F.date_format(day, "yyyy-MM"))))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.index("Exchange hashpartitioning") > text.rindex("BroadcastHashJoin")
+
+
+def test_dedup_keeps_no_map_of_a_tasks_rows_before_the_shuffle(x):
+    text = plan(stage_single_price(x.alpha_raw, x.rates, ALPHA, RULES))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.index("Exchange hashpartitioning") > text.rindex("HashAggregate")
+
+
+def test_copies_across_files_shuffle_a_row_once(x):
+    from rentgrid.operators.profile import copies_across_files
+
+    text = plan(copies_across_files(x.alpha_raw.withColumn("archivo", F.lit("a")), ALPHA.columns, "archivo"))
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_tasks_of_a_group_by_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    from rentgrid.sources import workspace
+
+    monkeypatch.setattr(workspace, "ROWS_AT_ONCE", 100)
+    rows = spark.range(1000).select((F.col("id") % 700).alias("k"), F.when(F.col("id") % 2 == 0, "x").alias("v"))
+    spread = workspace.spread(rows, ["k", "v"])
+    assert spread.rdd.getNumPartitions() == 10
+    assert spread.distinct().count() == rows.distinct().count() == 700
+    assert workspace.spread(rows.limit(0), ["k"]).count() == 0
+    monkeypatch.setattr(workspace, "ROWS_AT_ONCE", 600_000)
+    assert workspace.spread(rows, ["k"]).rdd.getNumPartitions() == 2
