@@ -69,6 +69,9 @@ class TextEncoder:
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         top = max(self.tokenizer.get_vocab_size() - 1, end_id or 0)
         self.dtype = np.uint16 if top < 1 << 16 else np.uint32
+        comma = self.tokenizer.encode(",", add_special_tokens=False).ids
+        # an added token made of letters would be found in plain words too
+        self.comma = comma[0] if len(comma) == 1 and not any(a.isalnum() for a in self.added) else None
         self._reset()
 
     def _reset(self):
@@ -76,6 +79,21 @@ class TextEncoder:
         self.at, self.n = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int32)
         self.ids, self.used = np.zeros(1 << 14, dtype=self.dtype), 0
 
+    def _together(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, their numbers) of words of ASCII letters and digits, from one text.
+
+        A text's ids are those of its pieces; commas stand between the words, and no word
+        holds one.
+        """
+        text = b" , ".join(words).decode()
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        ids = np.array(found, dtype=self.dtype)
+        at = np.flatnonzero(ids == self.comma)
+        if len(at) != len(words) - 1:
+            raise ValueError("the tokenizer does not cut words at commas")
+        ends = np.r_[at, len(ids)]
+        return np.delete(ids, at), np.diff(np.r_[-1, ends]) - 1
+
     @staticmethod
     def _put(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
         """``array`` with ``values`` from ``at`` on; room grows by doubling."""
@@ -89,12 +107,18 @@ class TextEncoder:
             self._reset()
         new = [p for p in pieces if p not in self.known]
         if new:
-            found = []
-            for a in range(0, len(new), ENCODED_AT_ONCE):  # what it returns is large beside the ids
+            if self.comma is not None:  # plain words share a call; the others come after them
+                plain = [p for p in new if p.isalnum()]  # of bytes: ASCII letters and digits only
+                new = plain + [p for p in new if not p.isalnum()]
+            else:
+                plain = []
+            parts = [self._together(plain[a : a + ENCODED_AT_ONCE]) for a in range(0, len(plain), ENCODED_AT_ONCE)]
+            for a in range(len(plain), len(new), ENCODED_AT_ONCE):  # what it returns is large beside the ids
                 part = [p.decode() for p in new[a : a + ENCODED_AT_ONCE]]
-                found += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            n = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            ids = np.fromiter((i for own in found for i in own), dtype=self.dtype, count=int(n.sum()))
+                found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                n = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+                parts.append((np.fromiter((i for own in found for i in own), dtype=self.dtype, count=int(n.sum())), n))
+            ids, n = (np.concatenate(x) for x in zip(*parts))
             k = len(self.known)
             self.known.update(zip(new, range(k, k + len(new))))
             self.at = self._put(self.at, k, self.used + np.cumsum(n) - n)
@@ -120,9 +144,10 @@ class TextEncoder:
             start[first] |= kind[first] > 0
             at = np.flatnonzero(start)
             solid = kind > 0
-            places = np.r_[0, np.cumsum(solid)]
+            places = np.cumsum(solid, dtype=np.int32 if len(raw) < 1 << 31 else np.int64)
             joined = raw[solid]
-            ends = np.r_[places[at], len(joined)].astype(np.int32)
+            ends = np.r_[places[at] - 1, len(joined)].astype(np.int32)
+            del places
             pieces = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(joined)])
             coded = pieces.dictionary_encode()
             number = self._numbers(coded.dictionary.to_pylist())

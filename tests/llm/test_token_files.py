@@ -58,3 +58,24 @@ def test_pieces_give_the_texts_ids(tokenizer):
         for ids, n in encoder.encode(pa.array(own, pa.string())):
             got = [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
             assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for t in own]
+
+
+def test_plain_words_share_a_call(tokenizer):
+    with open(PATH, encoding="utf-8") as f:
+        encoder = tf.TextEncoder(f.read(), None)
+    assert encoder.comma is not None
+    texts = []
+
+    class Counting:
+        def encode_batch_fast(self, part, **options):
+            texts.extend(part)
+            return tokenizer.encode_batch_fast(part, **options)
+
+    encoder.tokenizer = Counting()
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcXYZ0189") for _ in range(rng.randrange(1, 30))) for _ in range(3000)]
+    words += ["don't", ",", ", ,", "a,b", "é1", "x"]
+    for ids, n in encoder.encode(pa.array(words, pa.string())):
+        got = [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+        assert got == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    assert len(texts) <= 3 + 6
