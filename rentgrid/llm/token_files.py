@@ -24,8 +24,10 @@ manifest. Other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +37,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import keep, new_folder
-from .texts import _LOWER, buffers, chunks, give_back_memory
+from .texts import _LOWER, buffers, chunks, gathered, give_back_memory
 
 LENGTH = 1024
 BATCH = 64
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 ENCODED_AT_ONCE = 1024
 
 # 0 white space, 1 ASCII letters and digits, 2 ASCII punctuation but the apostrophe, 3 the rest
@@ -49,6 +51,7 @@ _KIND[[0x20, *range(0x09, 0x0E)]] = 0
 for _part in (range(0x30, 0x3A), range(0x41, 0x5B), range(0x61, 0x7B)):
     _KIND[_part.start : _part.stop] = 1
 _KIND[0x27] = 3
+_NO_PUNCTUATION = re.compile(rb"[0-9A-Za-z\x80-\xff]+").fullmatch
 
 
 class TextEncoder:
@@ -72,28 +75,64 @@ class TextEncoder:
         comma = self.tokenizer.encode(",", add_special_tokens=False).ids
         # an added token made of letters would be found in plain words too
         self.comma = comma[0] if len(comma) == 1 and not any(a.isalnum() for a in self.added) else None
-        self._reset()
-
-    def _reset(self):
+        self.letters = self._for_letters() if self.comma is not None else None
         self.known: dict[bytes, int] = {}
         self.at, self.n = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int32)
+        self.seen = np.zeros(1 << 12, dtype=np.int32)  # chunks of texts that held the piece
         self.ids, self.used = np.zeros(1 << 14, dtype=self.dtype), 0
 
-    def _together(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, their numbers) of words of ASCII letters and digits, from one text.
+    def _for_letters(self):
+        """The same model for words of ASCII small letters, if nothing before it changes or cuts them."""
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        every = "abcdefghijklmnopqrstuvwxyz"
+        normal, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if cut is None or normal is not None and normal.normalize_str(every) != every:
+            return None
+        parts = [part for part, _ in cut.pre_tokenize_str(f"{every} , {every}")]
+        if [part for part in parts if part.strip()] != [every, ",", every]:
+            return None
+        letters = Tokenizer(self.tokenizer.model)  # shared, not copied
+        letters.pre_tokenizer = WhitespaceSplit()
+        return letters if letters.encode(",", add_special_tokens=False).ids == [self.comma] else None
+
+    def _forget(self):
+        """Keep the pieces that came again since the last time, the most frequent half at most."""
+        k = len(self.known)
+        seen = self.seen[:k]
+        least = max(1, int(np.partition(seen, k // 2)[k // 2]))
+        kept = seen > least
+        self.known = {piece: i for i, piece in enumerate(p for p, keep in zip(self.known, kept.tolist()) if keep)}
+        at, n = self.at[:k][kept], self.n[:k][kept]
+        self.ids, self.used = gathered(self.ids, at, n.astype(np.int64)), int(n.sum())
+        self.at, self.n, self.seen = np.cumsum(n) - n, n, np.zeros(len(n), dtype=np.int32)
+
+    def _each(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words after one another, their numbers)"""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        n = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter((i for own in found for i in own), dtype=self.dtype, count=int(n.sum())), n
+
+    def _together(self, words: list[bytes], tokenizer=None) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words without ASCII punctuation, from one text.
 
         A text's ids are those of its pieces; commas stand between the words, and no word
-        holds one.
+        holds one. Should the tokenizer make commas of something else, each is encoded alone.
         """
         text = b" , ".join(words).decode()
-        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        found = (tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids
         ids = np.array(found, dtype=self.dtype)
         at = np.flatnonzero(ids == self.comma)
         if len(at) != len(words) - 1:
-            raise ValueError("the tokenizer does not cut words at commas")
+            return self._each(words)
         ends = np.r_[at, len(ids)]
         return np.delete(ids, at), np.diff(np.r_[-1, ends]) - 1
 
+    def _letters(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words of small ASCII letters."""
+        return self._together(words, self.letters)
+
     @staticmethod
     def _put(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
         """``array`` with ``values`` from ``at`` on; room grows by doubling."""
@@ -104,28 +143,36 @@ class TextEncoder:
 
     def _numbers(self, pieces: list[bytes]) -> np.ndarray:
         if len(self.known) > CACHED_WORDS:
-            self._reset()
-        new = [p for p in pieces if p not in self.known]
-        if new:
-            if self.comma is not None:  # plain words share a call; the others come after them
-                plain = [p for p in new if p.isalnum()]  # of bytes: ASCII letters and digits only
-                new = plain + [p for p in new if not p.isalnum()]
-            else:
-                plain = []
-            parts = [self._together(plain[a : a + ENCODED_AT_ONCE]) for a in range(0, len(plain), ENCODED_AT_ONCE)]
-            for a in range(len(plain), len(new), ENCODED_AT_ONCE):  # what it returns is large beside the ids
-                part = [p.decode() for p in new[a : a + ENCODED_AT_ONCE]]
-                found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-                n = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-                parts.append((np.fromiter((i for own in found for i in own), dtype=self.dtype, count=int(n.sum())), n))
+            self._forget()
+        at = np.fromiter(map(self.known.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            new = [pieces[i] for i in unknown.tolist()]
+            small, mixed, alone = [], [], []  # places in new
+            for i, p in enumerate(new):
+                if self.letters is not None and p.isalpha() and p.islower():  # of bytes: ASCII letters only
+                    small.append(i)
+                elif self.comma is not None and _NO_PUNCTUATION(p):
+                    mixed.append(i)
+                else:
+                    alone.append(i)
+            parts = []
+            for own, encoded in ((small, self._letters), (mixed, self._together), (alone, self._each)):
+                for a in range(0, len(own), ENCODED_AT_ONCE):  # what a call returns is large beside the ids
+                    parts.append(encoded([new[i] for i in own[a : a + ENCODED_AT_ONCE]]))
+            order = small + mixed + alone
             ids, n = (np.concatenate(x) for x in zip(*parts))
             k = len(self.known)
-            self.known.update(zip(new, range(k, k + len(new))))
+            numbers = np.arange(k, k + len(new))
+            at[unknown[np.array(order)]] = numbers
+            self.known.update(zip((new[i] for i in order), numbers.tolist()))
             self.at = self._put(self.at, k, self.used + np.cumsum(n) - n)
             self.n = self._put(self.n, k, n)
+            self.seen = self._put(self.seen, k, np.zeros(len(n), dtype=np.int32))
             self.ids = self._put(self.ids, self.used, ids)
             self.used += len(ids)
-        return np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        self.seen[at] += 1  # pieces are distinct
+        return at
 
     def encode(self, column: pa.Array):
         """(ids of some rows after one another, their lengths), some rows at a time."""

@@ -79,3 +79,21 @@ def test_plain_words_share_a_call(tokenizer):
         got = [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
         assert got == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
     assert len(texts) <= 3 + 6
+
+
+def test_words_that_come_again_outlive_a_full_cache(tokenizer, monkeypatch):
+    """Frequent words stay known when the cache is emptied; no id changes, and letters need no cutting again."""
+    monkeypatch.setattr(tf, "CACHED_WORDS", 60)
+    monkeypatch.setattr(tf, "chunks", lambda offsets: ((i, i + 1) for i in range(len(offsets) - 1)))
+    encoder, asked = tf.TextEncoder(open(PATH, encoding="utf-8").read(), 2), []
+    for name in ("_together", "_each"):
+        monkeypatch.setattr(encoder, name, lambda words, tokenizer=None, f=getattr(encoder, name): asked.extend(words) or f(words))
+    texts = [
+        "often again Caf\u00e9 x2y " + " ".join(f"w{'abcdefghij'[k % 10]}{'klmnopqrst'[j]}{'uvwxyz'[k % 6]}" for j in range(10))
+        + f" \u4e2d\u6587{k}, \uff0c{k} isn't a\u00a0b e\u0301{k} \u037e!? A{k}B caf\u00e9,{k}" for k in range(40)
+    ]
+    ids, _ = zip(*encoder.encode(pa.array(texts)))
+    for own, text in zip(ids, texts):
+        assert own.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [2]
+    assert encoder.letters is not None and len(encoder.known) <= 120
+    assert asked.count(b"often") == 1
