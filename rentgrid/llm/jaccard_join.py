@@ -45,6 +45,7 @@ from .texts import Words, mix, words
 
 FREQUENT = 1 << 20  # entries of the broadcast list of frequent tokens, at most
 LEAST_FREQUENT = 64
+POSTED_AT_ONCE = 1 << 17
 SLACK = 3  # lists beyond the necessary one in which a pair is counted
 
 
@@ -117,6 +118,20 @@ def _longs(values) -> pa.Array:
     return pa.array(np.asarray(values, dtype=np.int64))
 
 
+def _repeated(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens of two sets or more, their counts), ascending; empties ``sets``.
+
+    Sorted in place: a worker holds the tokens of a batch about once.
+    """
+    tokens = np.concatenate(sets)
+    sets.clear()
+    tokens.sort()
+    again = np.zeros(len(tokens) + 1, dtype=bool)  # equal to the one before
+    again[1:-1] = tokens[1:] == tokens[:-1]
+    first = np.flatnonzero(again[1:] & ~again[:-1])
+    return tokens[first], np.flatnonzero(again[:-1] & ~again[1:]) - first + 1
+
+
 def _survey(docs: DataFrame, how: Similarity) -> DataFrame:
     """Rows of documents (id, n, cls) and, with n null, of repeated tokens (id: token, cls: count)."""
 
@@ -133,11 +148,9 @@ def _survey(docs: DataFrame, how: Similarity) -> DataFrame:
                 [batch.column(0), pa.array(n, pa.int64()), _longs(cls)], ["id", "n", "cls"]
             )
             if tokens:
-                values, counts = np.unique(np.concatenate(tokens), return_counts=True)
-                often = counts > 1
+                values, counts = _repeated(tokens)
                 yield pa.RecordBatch.from_arrays(
-                    [_longs(values[often].view(np.int64)), pa.nulls(int(often.sum()), pa.int64()), _longs(counts[often])],
-                    ["id", "n", "cls"],
+                    [_longs(values.view(np.int64)), pa.nulls(len(values), pa.int64()), _longs(counts)], ["id", "n", "cls"]
                 )
 
     return docs.mapInArrow(task, "id long, n long, cls long")
@@ -174,20 +187,29 @@ def _postings(docs: DataFrame, how: Similarity, frequent: np.ndarray) -> DataFra
 
     def task(batches):
         for batch in batches:
-            seen, token, cls, n = set(), [], [], []
+            seen, token, cls, n, size = set(), [], [], [], 0
+
+            def flush():
+                return pa.RecordBatch.from_arrays(
+                    [_longs(np.concatenate(token).view(np.int64)), _longs(np.concatenate(cls)), pa.array(np.concatenate(n))],
+                    ["token", "cls", "n"],
+                )
+
             for u in _sets_of(batch.column(1), how.width):
                 if not len(u) or (c := fingerprint(u)) in seen:
                     continue
                 seen.add(c)
-                head = _first_prefix(u, how.prefix(len(u)), held.value)
+                # a copy: a part of the set would hold all of it in memory
+                head = _first_prefix(u, how.prefix(len(u)), held.value).copy()
                 token.append(head)
                 cls.append(np.full(len(head), c, dtype=np.int64))
                 n.append(np.full(len(head), len(u), dtype=np.int32))
+                size += len(head)
+                if size >= POSTED_AT_ONCE:
+                    yield flush()
+                    token, cls, n, size = [], [], [], 0
             if token:
-                yield pa.RecordBatch.from_arrays(
-                    [_longs(np.concatenate(token).view(np.int64)), _longs(np.concatenate(cls)), pa.array(np.concatenate(n))],
-                    ["token", "cls", "n"],
-                )
+                yield flush()
 
     rows = docs.mapInArrow(task, "token long, cls long, n int")
     ordered = rows.repartition("token").sortWithinPartitions("token", "cls")
@@ -387,10 +409,19 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, how: Simila
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             take = in_bloom(bits, ids)
             if take.any():
-                rows = [u for u in _sets_of(batch.column(1).filter(pa.array(take)), how.width) if len(u)]
-                own, first = np.unique([fingerprint(u) for u in rows], return_index=True)
-                tokens = pa.array([rows[i].tobytes() for i in first], pa.binary())
-                yield pa.RecordBatch.from_arrays([_longs(own), tokens], ["cls", "tokens"])
+                seen, own, tokens, size = set(), [], [], 0
+                for u in _sets_of(batch.column(1).filter(pa.array(take)), how.width):
+                    if not len(u) or (c := fingerprint(u)) in seen:
+                        continue
+                    seen.add(c)
+                    own.append(c)
+                    tokens.append(u.tobytes())
+                    size += len(u)
+                    if size >= POSTED_AT_ONCE:
+                        yield pa.RecordBatch.from_arrays([_longs(own), pa.array(tokens, pa.binary())], ["cls", "tokens"])
+                        own, tokens, size = [], [], 0
+                if own:
+                    yield pa.RecordBatch.from_arrays([_longs(own), pa.array(tokens, pa.binary())], ["cls", "tokens"])
 
     by_class = docs.mapInArrow(sets, "cls long, tokens binary").dropDuplicates(["cls"])
     left = by_class.select(F.col("cls").alias("a"), F.col("tokens").alias("x"))

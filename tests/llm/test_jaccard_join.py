@@ -90,3 +90,35 @@ def test_lists_stream_over_batches():
         ]
         got = [(r["token"], r["cls"]) for b in jj._shared_tokens(batches, jj.DEFAULT) for r in b.to_pylist()]
         assert got == [(2, 1), (2, 2), (2, 3), (4, 1), (4, 9)]
+
+
+def test_repeated_tokens_are_counted_without_copies_of_them():
+    import tracemalloc
+
+    from rentgrid.llm.jaccard_join import _repeated
+
+    rng = np.random.default_rng(5)
+    for top in (1, 3, 50, 10**9):
+        sets = [np.unique(rng.integers(0, top, k)).astype(np.uint64) for k in (1, 40, 7, 100)]
+        values, counts = np.unique(np.concatenate(sets), return_counts=True)
+        found, n = _repeated(list(sets))
+        assert found.tolist() == values[counts > 1].tolist() and n.tolist() == counts[counts > 1].tolist()
+    sets = [rng.integers(0, 1 << 62, 1000).astype(np.uint64) for _ in range(500)]
+    tracemalloc.start()
+    _repeated(sets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * 500_000 * 8  # np.unique with counts took over three times the tokens
+
+
+def test_postings_of_a_batch_leave_in_parts(spark, monkeypatch):
+    from rentgrid.llm import jaccard_join
+
+    rows = [(k, " ".join(f"w{(k // 2) * 31 + j}" for j in range(60))) for k in range(40)]
+    docs = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    found = []
+    for size in (1 << 17, 10):
+        monkeypatch.setattr(jaccard_join, "POSTED_AT_ONCE", size)
+        got = jaccard_join._postings(docs, jaccard_join.DEFAULT, np.zeros(0, dtype=np.uint64))
+        found.append((sorted(map(tuple, got.collect())), sorted(map(tuple, jaccard_join.near_duplicates(docs).collect()))))
+    assert found[0] == found[1] and len({c for _, _, c in found[0][1]}) == 20
