@@ -120,5 +120,5 @@ def test_postings_of_a_batch_leave_in_parts(spark, monkeypatch):
     for size in (1 << 17, 10):
         monkeypatch.setattr(jaccard_join, "POSTED_AT_ONCE", size)
         got = jaccard_join._postings(docs, jaccard_join.DEFAULT, np.zeros(0, dtype=np.uint64))
-        found.append((sorted(map(tuple, got.collect())), sorted(map(tuple, jaccard_join.near_duplicates(docs).collect()))))
+        found.append((sorted(map(tuple, got.collect())), sorted(map(tuple, jaccard_join.near_duplicates(docs, "id").collect()))))
     assert found[0] == found[1] and len({c for _, _, c in found[0][1]}) == 20
