@@ -41,6 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +54,8 @@ CLASSES = 1 << 20  # ids of words; three fit in one long
 SHARD_TOKENS = 1 << 21
 FLUSH = 1 << 21  # tokens packed at a time
 PIECE = 1 << 15  # tokens of a request
+BLOCK = 1 << 16  # values packed at a time, a multiple of 64
+SAMPLED = 8  # values of a sequence between two that a search begins with
 SPREAD = 8  # tasks that may share the requests to one shard
 DISCOUNT = 0.5
 END = np.uint64(0x7E5D_0000_0000_0E0D)  # the end token's hash
@@ -70,25 +73,34 @@ class EliasFano:
         n = len(values)
         top = int(values[-1]) + 1 if n else 1
         low_bits = max(0, int(top // max(n, 1)).bit_length() - 1)
-        high_at = (values >> low_bits) + np.arange(n)
-        high = np.zeros(((int(high_at[-1]) if n else 0) >> 6) + 1, dtype=np.uint64)
-        np.bitwise_or.at(high, high_at >> 6, np.uint64(1) << (high_at & 63).astype(np.uint64))
+        bits = np.zeros((((int(values[-1] >> low_bits) + n - 1 if n else 0) >> 6) + 1) << 6, dtype=bool)
         low = np.zeros((n * low_bits >> 6) + 2, dtype=np.uint64)
-        if low_bits:
-            part = (values & ((1 << low_bits) - 1)).astype(np.uint64)
-            at = np.arange(n) * low_bits
-            shift = (at & 63).astype(np.uint64)
-            np.bitwise_or.at(low, at >> 6, part << shift)
-            over = (at & 63) + low_bits > 64
-            np.bitwise_or.at(low, (at[over] >> 6) + 1, part[over] >> (np.uint64(64) - shift[over]))
+        for a in range(0, n, BLOCK):  # some at a time, which a cache holds; a block begins with a word
+            some = values[a : a + BLOCK]
+            i = np.arange(a, a + len(some))
+            bits[(some >> low_bits) + i] = True
+            if low_bits:
+                part = (some & ((1 << low_bits) - 1)).astype(np.uint64)
+                at = i * low_bits
+                shift, word = (at & 63).astype(np.uint64), at >> 6
+                cut = np.flatnonzero(np.diff(word, prepend=-1))
+                low[word[cut]] |= np.bitwise_or.reduceat(part << shift, cut)
+                over = (at & 63) + low_bits > 64  # once a word at most
+                low[word[over] + 1] |= part[over] >> (np.uint64(64) - shift[over])
+        high = np.packbits(bits, bitorder="little").view(np.uint64)
         return cls(n, low_bits, low, high)
 
     @cached_property
     def ones(self) -> np.ndarray:
         """Places of the ones in the high bits: select, worked out once for a mapped shard."""
-        bits = np.unpackbits(np.ascontiguousarray(self.high).view(np.uint8), bitorder="little")
+        bits = np.unpackbits(np.ascontiguousarray(self.high).view(np.uint8), bitorder="little").view(bool)
         return np.flatnonzero(bits).astype(np.uint32 if len(bits) < 1 << 32 else np.int64)
 
+    @cached_property
+    def samples(self) -> np.ndarray:
+        """Every SAMPLED-th value, where a search begins."""
+        return self[np.arange(0, self.n, SAMPLED)]
+
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
         """Values at places ``i``."""
         i = np.asarray(i, dtype=np.int64)
@@ -103,16 +115,17 @@ class EliasFano:
 
     def successor(self, lo: np.ndarray, hi: np.ndarray, x: np.ndarray) -> np.ndarray:
         """First place in [lo, hi) whose value is ``x`` or more; ``hi`` if there is none."""
-        lo, end = lo.copy(), hi
-        hi = hi.copy()
-        while True:
-            open_ = np.flatnonzero(lo < hi)
-            if not len(open_):
-                return np.minimum(lo, end)
+        after = np.searchsorted(self.samples, x) * SAMPLED
+        lo = np.minimum(np.maximum(lo, after - SAMPLED + 1), hi)
+        hi = np.maximum(np.minimum(hi, after), lo)
+        open_ = np.flatnonzero(lo < hi)
+        while len(open_):
             mid = (lo[open_] + hi[open_]) >> 1
             less = self[mid] < x[open_]
             lo[open_[less]] = mid[less] + 1
             hi[open_[~less]] = mid[~less]
+            open_ = open_[lo[open_] < hi[open_]]
+        return lo
 
 
 def _monotone(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -121,7 +134,7 @@ def _monotone(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     base = np.zeros(len(values), dtype=np.int64)
     if len(ends) > 1:
         base[ends[:-1] + 1] = values[ends[:-1]]
-    return values + np.cumsum(base)
+    return values + np.cumsum(base, out=base)
 
 
 class Level:
@@ -136,17 +149,15 @@ class Level:
 
     def find(self, node: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place of ``x`` under ``node`` or -1, rank among the node's children)."""
-        lo, hi = self.first[node], self.first[node + 1]
-        place = np.full(len(node), -1, dtype=np.int64)
-        some = np.flatnonzero(lo < hi)
-        if len(some):
-            a, b = lo[some], hi[some]
-            base = np.where(a > 0, self.values[np.maximum(a - 1, 0)], 0)
-            want = x[some] + base
-            at = self.values.successor(a, b, want)
-            good = at < b
-            good[good] = self.values[at[good]] == want[good]
-            place[some[good]] = at[good]
+        if not len(node) or not self.values.n:
+            return np.full(len(node), -1, dtype=np.int64), np.full(len(node), -1, dtype=np.int64)
+        new = np.diff(node, prepend=-1) != 0  # a node's range is looked up once where it repeats
+        of, own = np.cumsum(new) - 1, node[new]
+        lo, hi = self.first[own], self.first[own + 1]
+        base = np.where(lo > 0, self.values[np.maximum(lo - 1, 0)], 0)
+        lo, hi, want = lo[of], hi[of], x + base[of]
+        place = self.values.successor(lo, hi, want)
+        place[(place == hi) | (self.values[np.minimum(place, self.values.n - 1)] != want)] = -1
         return place, place - lo
 
 
@@ -159,33 +170,42 @@ def encode(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def _write(path: str, arrays: dict[str, np.ndarray]) -> None:
+    """A file of arrays; those that shrink by a tenth or more are compressed."""
     fs, path = _store(path)
-    head, at = {}, 0
+    head, parts, at = {}, [], 0
     for name, a in arrays.items():
-        head[name] = (at, str(a.dtype), len(a))
-        at += -(-a.nbytes // 8) * 8
+        raw = a.tobytes()
+        small = pa.compress(raw, codec="zstd", asbytes=True)
+        packed = len(small) < 0.9 * len(raw)
+        parts.append(small if packed else raw)
+        head[name] = (at, str(a.dtype), len(a), len(small) if packed else 0)
+        at += -(-len(parts[-1]) // 8) * 8
     text = json.dumps(head).encode()
     text += b" " * (-len(text) % 8)
     with fs.open_output_stream(path) as f:
         f.write(len(text).to_bytes(8, "little") + text)
-        for a in arrays.values():
-            f.write(a.tobytes() + bytes(-a.nbytes % 8))
+        for part in parts:
+            f.write(part + bytes(-len(part) % 8))
 
 
 def _read(path: str) -> dict[str, np.ndarray]:
-    """Arrays of a file, mapped where the store is a local or mounted folder."""
+    """Arrays of a file, mapped where they are not compressed and the store is a local or mounted folder."""
     fs, path = _store(path)
     if isinstance(fs, pafs.LocalFileSystem):
-        raw = np.memmap(path, dtype=np.uint8, mode="r")
+        raw = np.asarray(np.memmap(path, dtype=np.uint8, mode="r"))  # indexed faster than a memmap
     else:
         with fs.open_input_file(path) as f:
             raw = np.frombuffer(f.read_buffer(), dtype=np.uint8)
     size = int(raw[:8].view(np.int64)[0])
     head = json.loads(raw[8 : 8 + size].tobytes())
     out = {}
-    for name, (at, kind, n) in head.items():
-        at += 8 + size
-        out[name] = raw[at : at + n * np.dtype(kind).itemsize].view(kind)
+    for name, (at, kind, n, packed) in head.items():
+        at, length = at + 8 + size, n * np.dtype(kind).itemsize
+        if packed:
+            small = pa.py_buffer(raw[at : at + packed])
+            out[name] = np.frombuffer(pa.decompress(small, decompressed_size=length, codec="zstd"), dtype=kind)
+        else:
+            out[name] = raw[at : at + length].view(kind)
     return out
 
 
@@ -224,11 +244,37 @@ class Dictionary:
     def __post_init__(self):
         self.by_hash = np.argsort(self.hashes)
         self.order = self.hashes[self.by_hash]
+        # a hash's leading bits tell where it stands in the list, but for a few places
+        bits = len(self.order).bit_length() + 1
+        self.lead = np.uint64(64 - bits)
+        self.begin = np.searchsorted(self.order >> self.lead, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def __reduce__(self):
+        return Dictionary, (self.hashes, self.p1, self.shards, self.hot, self.first, self.flush, self.piece)
+
+    def frequent(self, h: np.ndarray) -> np.ndarray:
+        """Ids of frequent words, -1 for others."""
+        if not len(self.order):
+            return np.full(len(h), -1, dtype=np.int64)
+        lead = (h >> self.lead).view(np.int64)
+        at = np.minimum(self.begin[lead], len(self.order) - 1)
+        found = self.order[at] == h
+        out = np.where(found, self.by_hash[at], -1)
+        rest = np.flatnonzero(~found)
+        at, end = at[rest] + 1, self.begin[lead[rest] + 1]
+        while len(rest):
+            more = at < end
+            rest, at, end = rest[more], at[more], end[more]
+            found = self.order[at] == h[rest]
+            out[rest[found]] = self.by_hash[at[found]]
+            rest, at, end = rest[~found], at[~found] + 1, end[~found]
+        return out
 
     def ids(self, h: np.ndarray) -> np.ndarray:
-        found = _ids(h, self.order, self.by_hash)
-        n = len(self.hashes)
-        return np.where(found >= 0, found, n + h.view(np.int64) % (len(self.p1) - n))
+        found = self.frequent(h)
+        rest, n = np.flatnonzero(found < 0), len(self.hashes)
+        found[rest] = n + h[rest].view(np.int64) % (len(self.p1) - n)
+        return found
 
     def keys(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Middle word, context and word of each token in one number; texts begin after an end."""
@@ -239,8 +285,8 @@ class Dictionary:
         return np.isin(keys >> 41, self.hot)
 
     def shard(self, keys: np.ndarray) -> np.ndarray:
-        v = keys >> 41
-        out = v % self.shards
+        v = (keys >> 41).astype(np.int32)
+        out = v % np.int32(self.shards)
         own = np.flatnonzero(np.isin(v, self.hot))
         at = np.searchsorted(self.hot, v[own])
         context = mix(((keys[own] >> 20) & 0x1FFFFF).view(np.uint64)) >> np.uint64(1)
@@ -264,12 +310,11 @@ class Trie:
         node = np.minimum(np.searchsorted(self.roots, v), max(len(self.roots) - 1, 0))
         own = np.flatnonzero(self.roots[node] == v) if len(self.roots) else np.zeros(0, np.int64)
         node, u, w = node[own], u[own], w[own]
-        # a pair is looked up once, whatever its contexts
-        pair, at, back = np.unique((node << 20) | w, return_index=True, return_inverse=True)
-        place, rank = (x[back] for x in self.successors.find(node[at], pair & 0xFFFFF))
+        place, rank = self.successors.find(node, w)
         two = np.where(place >= 0, table[self.successors.codes["p"][place]] - log1[w], self.bow[node])
-        context, first, back = np.unique((node << 21) | u, return_index=True, return_inverse=True)
-        at = self.contexts.find(node[first], context & 0x1FFFFF)[0][back]
+        # keys that follow one another share the context
+        new = np.diff((node << 21) | u, prepend=-1) != 0
+        at = self.contexts.find(node[new], u[new])[0][np.cumsum(new) - 1]
         some = np.flatnonzero(at >= 0)
         two[some] += np.where(rank[some] >= 0, 0, table[self.contexts.codes["bow"][at[some]]])
         some = some[rank[some] >= 0]
@@ -293,14 +338,6 @@ def _counted_pairs(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return row[cut], h[cut], np.diff(np.r_[cut, len(h)])
 
 
-def _ids(hashes: np.ndarray, order: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """Number of each hash in a sorted list, or -1."""
-    if not len(order):
-        return np.full(len(hashes), -1, dtype=np.int64)
-    at = np.minimum(np.searchsorted(order, hashes), len(order) - 1)
-    return np.where(order[at] == hashes, number[at], -1)
-
-
 def _tokens(batch: pa.RecordBatch, at: int = 0):
     """(first row, hashes of all tokens with an end after each row, offsets of the rows)."""
     for part in words(batch.column(at)):
@@ -403,27 +440,41 @@ def _unpacked(raw: pa.Buffer, kind: str) -> np.ndarray:
 
 def _flushes(batches, words_of: Dictionary, at: int):
     """(keys, row number in its batch, batch) of some texts' tokens at a time."""
+
+    def joined(parts):
+        out = np.concatenate(parts)
+        parts.clear()  # not held while the caller works
+        return out
+
     for batch in batches:
         held, rows, size = [], [], 0
         for lo, h, first in _tokens(batch, at):
             held.append(words_of.keys(h, first))
-            rows.append(lo + np.repeat(np.arange(len(first) - 1), np.diff(first)))
+            rows.append(np.repeat(np.arange(lo, lo + len(first) - 1, dtype=np.int32), np.diff(first)))
             size += len(h)
             if size >= words_of.flush:
-                yield np.concatenate(held), np.concatenate(rows), batch
-                held, rows, size = [], [], 0
+                yield joined(held), joined(rows), batch
+                size = 0
         if held:
-            yield np.concatenate(held), np.concatenate(rows), batch
+            yield joined(held), joined(rows), batch
+
 
+def _by_shard(shard: np.ndarray) -> np.ndarray:
+    """Places in the order of shards; small numbers are sorted by radix."""
+    small = len(shard) and shard.max() < 1 << 16
+    return np.argsort(shard.astype(np.uint16) if small else shard, kind="stable")
 
-def _cuts(shard: np.ndarray) -> np.ndarray:
-    """Where a new shard begins, and the end."""
-    return np.r_[np.flatnonzero(np.diff(shard, prepend=-1)), len(shard)]
 
+def _cuts(sorted_: np.ndarray) -> np.ndarray:
+    """Where a new number begins, and the end."""
+    new = np.ones(len(sorted_), dtype=bool)
+    np.not_equal(sorted_[1:], sorted_[:-1], out=new[1:])
+    return np.r_[np.flatnonzero(new), len(sorted_)]
 
-def _build(texts: DataFrame, words_of: Dictionary, n: int, folder: str) -> DataFrame:
+
+def _build(texts: DataFrame, held: Broadcast[Dictionary], n: int, folder: str) -> DataFrame:
     """Write the shards: ``shard, path``."""
-    held = texts.sparkSession.sparkContext.broadcast(words_of)
+    words_of = held.value
     least = float(-np.log10(max(n, 2) / DISCOUNT))  # of any discounted probability
 
     def pack(batches):
@@ -431,7 +482,7 @@ def _build(texts: DataFrame, words_of: Dictionary, n: int, folder: str) -> DataF
         for keys, _, _ in _flushes(batches, own, 0):
             keys, counts = np.unique(keys[~own.is_hot(keys)], return_counts=True)
             shard = own.shard(keys)
-            order = np.argsort(shard, kind="stable")
+            order = _by_shard(shard)
             keys, counts, shard = keys[order], counts[order].astype("<u4"), shard[order]
             cut = _cuts(shard)
             yield pa.RecordBatch.from_arrays([
@@ -444,16 +495,16 @@ def _build(texts: DataFrame, words_of: Dictionary, n: int, folder: str) -> DataF
         """Sorted n-grams with counts: middle, context and word; middle and word."""
         p1 = held.value.p1
         table = _codes(least)
-        v2, w2 = k2 >> 20, k2 & 0xFFFFF
-        roots, first2 = np.unique(v2, return_index=True)
-        first2 = np.r_[first2, len(k2)]
-        root = np.repeat(np.arange(len(roots)), np.diff(first2))
+        w2 = (k2 & 0xFFFFF).astype(np.int32)
+        first2 = _cuts(k2 >> 20)
+        roots = k2[first2[:-1]] >> 20
+        root = np.repeat(np.arange(len(roots), dtype=np.int32), np.diff(first2))
         total = np.bincount(root, c2, len(roots))
         bow = np.maximum(1 - np.bincount(root, c2 - DISCOUNT, len(roots)) / total, 1e-12)
         p2 = (c2 - DISCOUNT) / total[root] + bow[root] * p1[w2]
-        node, first3 = np.unique(k3 >> 20, return_index=True)  # middle and context
-        first3 = np.r_[first3, len(k3)]
-        parent = np.repeat(np.arange(len(node)), np.diff(first3))
+        first3 = _cuts(k3 >> 20)  # middle and context
+        node = k3[first3[:-1]] >> 20
+        parent = np.repeat(np.arange(len(node), dtype=np.int32), np.diff(first3))
         total3 = np.bincount(parent, c3, len(node))
         bow3 = np.maximum(1 - np.bincount(parent, c3 - DISCOUNT, len(node)) / total3, 1e-12)
         lower = np.searchsorted(k2, ((k3 >> 41) << 20) | (k3 & 0xFFFFF))
@@ -461,20 +512,29 @@ def _build(texts: DataFrame, words_of: Dictionary, n: int, folder: str) -> DataF
         rank = lower - first2[root[lower]]
         code = lambda x: encode(np.log10(x), table)
         path = f"{folder}/{uuid.uuid4().hex}.trie"
+        codes2, codes3, bows3 = code(p2), code(p3), code(bow3)
+        del root, parent, lower, p2, p3, bow3, total3
         _write(path, {
             "roots": roots, "bow": np.log10(bow), "least": np.array([least]),
-            **_pack(Level.of(first2, w2, {"p": code(p2)}), "s"),
-            **_pack(Level.of(np.searchsorted(node >> 21, np.r_[roots, 1 << 21]), node & 0x1FFFFF, {"bow": code(bow3)}), "c"),
-            **_pack(Level.of(first3, rank, {"p": code(p3)}), "t"),
+            **_pack(Level.of(first2, w2, {"p": codes2}), "s"),
+            **_pack(Level.of(np.searchsorted(node >> 21, np.r_[roots, 1 << 21]), node & 0x1FFFFF, {"bow": bows3}), "c"),
+            **_pack(Level.of(first3, rank, {"p": codes3}), "t"),
         })
         give_back_memory()
         return pa.table({"shard": pa.array([shard], pa.int64()), "path": [path]})
 
     def shared(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([_unplanes(x.as_buffer()) for x in table["keys"]])
-        counts = np.concatenate([_unpacked(x.as_buffer(), "<u4") for x in table["counts"]])
-        k3, c3 = _summed(keys, counts)
-        return write(table["shard"][0].as_py(), k3, c3, *_summed(_pair(k3), c3))
+        # one number a token, of which a shard has a bounded number: sorted faster than with counts beside them
+        tokens = np.concatenate([
+            np.repeat(_unplanes(k.as_buffer()), _unpacked(c.as_buffer(), "<u4")) for k, c in zip(table["keys"], table["counts"])
+        ])
+        tokens.sort()
+        three = _runs(tokens)
+        tokens = _pair(tokens)
+        tokens.sort()
+        two = _runs(tokens)
+        del tokens
+        return write(table["shard"][0].as_py(), *three, *two)
 
     made = texts.mapInArrow(pack, "shard long, keys binary, counts binary")
     made = made.groupBy("shard").applyInArrow(shared, "shard long, path string")
@@ -489,23 +549,29 @@ def _build(texts: DataFrame, words_of: Dictionary, n: int, folder: str) -> DataF
     def deal(batches):
         for batch in batches:
             keys = batch.column(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(held.value.shard(keys)), *batch.columns], ["shard", "k", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(held.value.shard(keys), pa.int64()), *batch.columns], ["shard", "k", "c"])
 
     def own_shard(table: pa.Table) -> pa.Table:
         keys, counts, pair = (table[x].to_numpy(zero_copy_only=False) for x in ("k", "c", "pair"))
         k3, k2 = _summed(keys[~pair], counts[~pair]), _summed(keys[pair], counts[pair])
         return write(table["shard"][0].as_py(), *k3, *k2)
 
-    three = keep(texts.mapInArrow(hot, "k long, c long").groupBy("k").agg(F.sum("c").alias("c")), "frequent_ngrams")
+    # below the trie's folder, and removed once the shards are written
+    summed, spark = f"{folder}/frequent_ngrams", texts.sparkSession
+    texts.mapInArrow(hot, "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).write.parquet(summed)
+    three = spark.read.schema("k long, c long").parquet(summed)
     ends = words_of.first
-    spread = texts.sparkSession.createDataFrame(pa.table({"v": words_of.hot, "a": ends[:-1], "b": ends[1:] - 1}))
+    spread = spark.createDataFrame(pa.table({"v": words_of.hot, "a": ends[:-1], "b": ends[1:] - 1}))
     spread = spread.select("v", F.explode(F.sequence("a", "b")).alias("shard"))
     pair = F.shiftleft(F.shiftright("k", 41), 20).bitwiseOR(F.col("k").bitwiseAND(F.lit(0xFFFFF)))
     two = three.groupBy(pair.alias("k")).agg(F.sum("c").alias("c")).withColumn("v", F.shiftright("k", 20))
     two = two.join(spread, "v").select("shard", "k", "c", F.lit(True).alias("pair"))
     three = three.mapInArrow(deal, "shard long, k long, c long").withColumn("pair", F.lit(False))
     own = three.unionByName(two).groupBy("shard").applyInArrow(own_shard, "shard long, path string")
-    return keep(made.unionByName(own), "shards")
+    shards = keep(made.unionByName(own), "shards")
+    store, path = _store(summed)
+    store.delete_dir(path)
+    return shards
 
 
 def _pair(keys: np.ndarray) -> np.ndarray:
@@ -513,6 +579,12 @@ def _pair(keys: np.ndarray) -> np.ndarray:
     return ((keys >> 41) << 20) | (keys & 0xFFFFF)
 
 
+def _runs(ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers and how often each is there."""
+    cut = _cuts(ascending)
+    return ascending[cut[:-1]], np.diff(cut)
+
+
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, ascending, and the sums of their counts."""
     order = np.argsort(keys, kind="stable")
@@ -521,18 +593,20 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[cut], np.add.reduceat(counts, cut) if len(cut) else counts
 
 
-def _gains(docs: DataFrame, words_of: Dictionary, shards: DataFrame) -> DataFrame:
+def _gains(docs: DataFrame, held: Broadcast[Dictionary], shards: DataFrame) -> DataFrame:
     """``doc, tokens, gain``: sums over the tokens of all rows with this hash."""
-    held = docs.sparkSession.sparkContext.broadcast(words_of)
 
     def ask(batches):
         own = held.value
         for keys, row, batch in _flushes(batches, own, 0):
             shard = own.shard(keys)
-            order = np.lexsort((keys, shard))
+            order = _by_shard(shard)
             keys, row, shard = keys[order], row[order], shard[order]
             doc = batch.column(1).to_numpy()
             cut = _cuts(shard)
+            for a, b in zip(cut, cut[1:]):  # some at a time, which a cache holds
+                order = np.argsort(keys[a:b])
+                keys[a:b], row[a:b] = keys[a:b][order], row[a:b][order]
             cut = np.concatenate([np.arange(a, b, own.piece) for a, b in zip(cut, cut[1:])] + [cut[-1:]])
             for lo in range(0, len(cut) - 1, 64):
                 out = []
@@ -588,27 +662,25 @@ def scores(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text
     unigrams = keep(_unigrams(texts), "unigrams")
     n, v = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     below = float(n + v + 1)
-    words_of = _frequent(unigrams, below, n)
+    held = spark.sparkContext.broadcast(_frequent(unigrams, below, n))
     folder = new_folder(spark, "trie")
     _store(folder)[0].create_dir(_store(folder)[1], recursive=True)
-    shards = _build(texts, words_of, n, folder)
+    shards = _build(texts, held, n, folder)
     release_shuffles(spark)
-    gains = keep(_gains(docs, words_of, shards), "gains")
+    gains = keep(_gains(docs, held, shards), "gains")
     store, path = _store(folder)
     store.delete_dir(path)  # the sums are written; nothing reads the trie again
     release_shuffles(spark)
-    held = spark.sparkContext.broadcast(words_of)
     id_kind = docs.schema["id"].dataType.simpleString()
 
     def task(batches):
         own = held.value
-        frequent, order = own.by_hash, own.order
         log1 = np.log10(own.p1)
         key = TaskContext.get().partitionId() << 36
         for batch in batches:
             for lo, h, first in _tokens(batch):
                 rows = len(first) - 1
-                number = _ids(h, order, frequent)
+                number = own.frequent(h)
                 known = number >= 0
                 row = np.repeat(np.arange(rows), np.diff(first))
                 base = np.where(known, log1[np.maximum(number, 0)], 0.0)

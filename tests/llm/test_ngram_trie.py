@@ -1,5 +1,7 @@
 import collections
 import math
+import os
+import pickle
 import zlib
 
 import numpy as np
@@ -137,3 +139,72 @@ def test_elias_fano():
             x = rng.integers(0, top + 2, 50)
             zero = np.zeros(50, dtype=np.int64)
             assert (ef.successor(zero, zero + n, x) == np.searchsorted(values, x)).all()
+
+
+def test_a_search_looks_at_few_values(monkeypatch):
+    """Between two samples, however wide the range; it used to halve all of it."""
+    rng = np.random.default_rng(4)
+    values = np.sort(rng.integers(0, 1 << 40, 1 << 16))
+    ef, x = nt.EliasFano.of(values), rng.integers(0, 1 << 40, 5000)
+    assert (ef.samples == values[:: nt.SAMPLED]).all()
+    looked, get = [], nt.EliasFano.__getitem__
+    monkeypatch.setattr(nt.EliasFano, "__getitem__", lambda self, i: looked.append(len(i)) or get(self, i))
+    lo, hi = np.zeros(5000, dtype=np.int64), np.full(5000, len(values))
+    assert (ef.successor(lo, hi, x) == np.searchsorted(values, x)).all()
+    assert sum(looked) < 4 * 5000
+    lo = rng.integers(0, len(values), 5000)
+    hi = np.minimum(lo + rng.integers(0, 40, 5000), len(values))
+    want = [a + np.searchsorted(values[a:b], y) for a, b, y in zip(lo, hi, x)]
+    assert (ef.successor(lo, hi, x) == want).all()
+    near = values[np.minimum(lo + 3, len(values) - 1)] + rng.integers(-1, 2, 5000)
+    want = [a + np.searchsorted(values[a:b], y) for a, b, y in zip(lo, hi, near)]
+    assert (ef.successor(lo, hi, near) == want).all()
+
+
+def test_files_are_compressed_where_that_saves(tmp_path):
+    rng = np.random.default_rng(5)
+    arrays = {
+        "codes": np.repeat(rng.integers(0, 256, 40).astype(np.uint8), 1000), "none": np.zeros(0, dtype=np.int64),
+        "bits": rng.integers(0, 1 << 62, 3000).astype(np.uint64), "one": np.array([2.5]), "odd": np.arange(7, dtype=np.uint8),
+    }
+    path = str(tmp_path / "a.trie")
+    nt._write(path, arrays)
+    assert os.path.getsize(path) < arrays["bits"].nbytes + 2000
+    got = nt._read(path)
+    assert list(got) == list(arrays)
+    for name, a in arrays.items():
+        assert got[name].dtype == a.dtype and (got[name] == a).all() and not isinstance(got[name], np.memmap)
+
+
+def test_ids_of_frequent_words():
+    """Hashes that share their leading bits, the smallest and the greatest among them."""
+    rng = np.random.default_rng(6)
+    top = np.uint64(2**64 - 1)
+    for n in (0, 1, 2, 500):
+        hashes = np.unique(np.r_[rng.integers(0, 900, n).astype(np.uint64), top - rng.integers(0, 900, n).astype(np.uint64)])
+        rng.shuffle(hashes)
+        own = nt.Dictionary(hashes, np.ones(len(hashes) + 10), 1, np.zeros(0, np.int64), np.array([1]), 10, 10)
+        asked = np.r_[hashes, np.arange(1000, dtype=np.uint64), top - np.arange(1000, dtype=np.uint64)]
+        place = {int(h): i for i, h in enumerate(hashes)}
+        for d in (own, pickle.loads(pickle.dumps(own))):
+            assert d.frequent(asked).tolist() == [place.get(int(h), -1) for h in asked]
+            assert [k >= len(hashes) for k in d.ids(asked)] == [int(h) not in place for h in asked]
+    # what follows from the hashes is not sent
+    assert len(pickle.dumps(own)) < own.hashes.nbytes + own.p1.nbytes + 2000
+
+
+def test_frequent_ngrams_are_gone_before_requests(spark, monkeypatch):
+    """Sums of words with their own shards, needed by the shards alone, and one broadcast for all steps."""
+    monkeypatch.setattr(nt, "SHARD_TOKENS", 8)
+    there, sent, real = [], [], nt._gains
+
+    def gains(docs, held, shards):
+        folder = os.path.dirname(shards.first().path).removeprefix("file:")
+        there.extend(os.listdir(folder))
+        sent.append(held)
+        return real(docs, held, shards)
+
+    monkeypatch.setattr(nt, "_gains", gains)
+    rows = [(i, "a b a b a c a d") for i in range(20)]
+    assert nt.scores(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True)).count() == 20
+    assert len(sent[0].value.hot) and there and all(name.endswith(".trie") for name in there)
