@@ -19,8 +19,9 @@ is scored as one word, and the word inside it by its exact unigram share.
   counts, packed. N-grams of words with their own shards are summed by Spark first, so that a
   frequent context reaches its shard once and not once a batch.
 - **Scoring.** Tokens are sent to their shard in packed pieces, and sums for each text come
-  back; a task maps one shard at a time. Pieces of a frequent word's shard are dealt to
-  several tasks. Texts are told apart by a 64-bit hash of id and text.
+  back; a task maps one shard at a time. Shards are in GROUPS groups: a lot of texts sends its
+  hashes once to each, and a text has one sum from each, however many shards there are. The
+  lots of a group are dealt to SPREAD tasks. Texts are told apart by a 64-bit hash of id and text.
 - **Unigrams.** Counts of frequent words (2**18 at most) and of classes (2**20) go to the
   tasks; those of all other words are joined by word, so every count is exact.
 
@@ -56,6 +57,7 @@ FLUSH = 1 << 21  # tokens packed at a time
 PIECE = 1 << 15  # tokens of a request
 BLOCK = 1 << 16  # values packed at a time, a multiple of 64
 SAMPLED = 8  # values of a sequence between two that a search begins with
+GROUPS = 32  # of shards, whose sums for a text are one row
 SPREAD = 8  # tasks that may share the requests to one shard
 DISCOUNT = 0.5
 END = np.uint64(0x7E5D_0000_0000_0E0D)  # the end token's hash
@@ -598,33 +600,45 @@ def _gains(docs: DataFrame, held: Broadcast[Dictionary], shards: DataFrame) -> D
 
     def ask(batches):
         own = held.value
+        lot = TaskContext.get().partitionId() << 32
         for keys, row, batch in _flushes(batches, own, 0):
+            lot += 1
+            # the hashes of a lot's texts, once for each group of shards; requests name texts by their place
+            lo, hi = int(row[0]), int(row[-1]) + 1
+            doc, row = batch.column(1).slice(lo, hi - lo).to_numpy(), row - lo
             shard = own.shard(keys)
+            groups = np.unique(shard % GROUPS)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(groups, pa.int64()), pa.array(np.full(len(groups), lot)), pa.array(np.full(len(groups), -1)),
+                pa.array([doc.tobytes()] * len(groups), pa.binary()), pa.array([b""] * len(groups), pa.binary()),
+            ], ["group", "lot", "shard", "keys", "at"])
             order = _by_shard(shard)
             keys, row, shard = keys[order], row[order], shard[order]
-            doc = batch.column(1).to_numpy()
             cut = _cuts(shard)
             for a, b in zip(cut, cut[1:]):  # some at a time, which a cache holds
                 order = np.argsort(keys[a:b])
                 keys[a:b], row[a:b] = keys[a:b][order], row[a:b][order]
             cut = np.concatenate([np.arange(a, b, own.piece) for a, b in zip(cut, cut[1:])] + [cut[-1:]])
             for lo in range(0, len(cut) - 1, 64):
-                out = []
-                for a, b in zip(cut[lo : lo + 64], cut[lo + 1 : lo + 65]):
-                    seen, at = np.unique(row[a:b], return_inverse=True)
-                    out.append((_planes(keys[a:b]), _packed(at.astype("<u2")), doc[seen].tobytes()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard[cut[:-1][lo : lo + 64]], pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*out))],
-                    ["shard", "keys", "at", "docs"],
-                )
+                own_shard = shard[cut[:-1][lo : lo + 64]]
+                out = [(_planes(keys[a:b]), _packed(row[a:b].astype("<u4"))) for a, b in zip(cut[lo : lo + 64], cut[lo + 1 : lo + 65])]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(own_shard % GROUPS, pa.int64()), pa.array(np.full(len(out), lot)), pa.array(own_shard, pa.int64()),
+                    *(pa.array(x, pa.binary()) for x in zip(*out)),
+                ], ["group", "lot", "shard", "keys", "at"])
 
     def answer(batches):
         log1 = np.log10(held.value.p1)
         path = trie = None
+        lots = {}
         for batch in batches:
             for i in range(batch.num_rows):
-                keys, at, docs = (batch.column(c)[i].as_buffer() for c in (1, 2, 3))
-                keys, at, docs = _unplanes(keys), _unpacked(at, "<u2"), np.frombuffer(docs, np.int64)
+                lot, shard = (batch.column(c)[i].as_py() for c in (0, 1))
+                keys, at = (batch.column(c)[i].as_buffer() for c in (2, 3))
+                if shard < 0:  # before all requests
+                    lots[lot] = np.frombuffer(keys.to_pybytes(), np.int64)
+                    continue
+                keys, at, docs = _unplanes(keys), _unpacked(at, "<u4"), lots[lot]
                 if batch.column(4)[i].as_py() != path:
                     path = batch.column(4)[i].as_py()
                     trie = Trie(path) if path else None
@@ -633,17 +647,18 @@ def _gains(docs: DataFrame, held: Broadcast[Dictionary], shards: DataFrame) -> D
                     # each distinct n-gram is looked up once
                     new = np.diff(keys, prepend=-1) > 0
                     gain = trie.gains(keys[new], log1)[np.cumsum(new) - 1]
-                n = len(docs)
+                tokens, gain = np.bincount(at), np.bincount(at, gain)
+                seen = np.flatnonzero(tokens)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs), pa.array(np.bincount(at, minlength=n)), pa.array(np.bincount(at, gain, n))],
-                    ["doc", "tokens", "gain"],
+                    [pa.array(docs[seen]), pa.array(tokens[seen]), pa.array(gain[seen])], ["doc", "tokens", "gain"]
                 )
         give_back_memory()
 
-    asked = docs.select("text", "doc").mapInArrow(ask, "shard long, keys binary, at binary, docs binary")
-    asked = asked.join(shards, "shard", "left").select("shard", "keys", "at", "docs", "path")
-    salt = F.pmod(F.xxhash64("docs"), F.lit(SPREAD))
-    asked = asked.repartition(F.col("shard"), salt).sortWithinPartitions("shard")
+    asked = docs.select("text", "doc").mapInArrow(ask, "group long, lot long, shard long, keys binary, at binary")
+    asked = asked.join(shards, "shard", "left").select("group", "lot", "shard", "keys", "at", "path")
+    # all of a lot's requests to a group meet in one task, which sums them
+    salt = F.pmod(F.xxhash64("lot"), F.lit(SPREAD))
+    asked = asked.repartition("group", salt).sortWithinPartitions("shard").drop("group")
     sums = asked.mapInArrow(answer, "doc long, tokens long, gain double")
     return sums.groupBy("doc").agg(F.sum("tokens").alias("tokens"), F.sum("gain").alias("gain"))
 

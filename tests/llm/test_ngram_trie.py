@@ -208,3 +208,26 @@ def test_frequent_ngrams_are_gone_before_requests(spark, monkeypatch):
     rows = [(i, "a b a b a c a d") for i in range(20)]
     assert nt.scores(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True)).count() == 20
     assert len(sent[0].value.hot) and there and all(name.endswith(".trie") for name in there)
+
+
+def test_texts_are_named_once_a_group(spark, monkeypatch):
+    """However many shards there are, a lot of texts sends its hashes GROUPS times at most."""
+    monkeypatch.setattr(nt, "SHARD_TOKENS", 8)
+    monkeypatch.setattr(nt, "GROUPS", 3)
+    df = spark.createDataFrame([(i, f"a b c{i % 7} d e{i % 5} a b") for i in range(60)], "doc_id long, text string").repartition(2)
+    asked, real = [], type(df).mapInArrow
+
+    def watched(self, func, schema, *more, **named):
+        out = real(self, func, schema, *more, **named)
+        if "lot long" in str(schema):
+            asked.append(out)
+        return out
+
+    monkeypatch.setattr(type(df), "mapInArrow", watched)
+    got = nt.scores(df, F.lit(True)).collect()
+    assert sum(r.n_tokens for r in got) == 60 * 8
+    sent = asked[0].collect()
+    assert len({r.shard for r in sent if r.shard >= 0}) > 10
+    named = collections.Counter(r.lot for r in sent if r.shard < 0)
+    assert named and max(named.values()) <= 3
+    assert all(len(r["keys"]) <= 60 * 8 for r in sent if r.shard < 0)
