@@ -2,6 +2,7 @@
 
 Every stage but the last returns the columns of ``documents`` as they came, in their
 order. Columns that are not named here pass through. An empty table passes through.
+Every stage writes its documents and returns that table; whole texts go to tasks in small batches.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from rentgrid.llm import quality_gam, queries
 from rentgrid.llm.decontaminate import contamination
 from rentgrid.llm.jaccard_join import near_duplicates
 from rentgrid.llm.raking import mix
-from rentgrid.llm.shared import keep
+from rentgrid.llm.shared import keep, small_batches
 from rentgrid.llm.token_files import read_documents, write_token_files
 
 
@@ -23,9 +24,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts. Null and empty texts are scored like any other."""
-    model = queries.quality_model(docs, _table(spark, sf_dir, "labels"))
-    scored = quality_gam.score(docs, model)
-    return scored.where(F.col("score") >= queries.PREDICT_AT).select("row.*")
+    with small_batches(spark):
+        model = queries.quality_model(docs, _table(spark, sf_dir, "labels"))
+        scored = quality_gam.score(docs, model)
+        return keep(scored.where(F.col("score") >= queries.PREDICT_AT).select("row.*"), "quality")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +44,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     left = docs.join(marked.where("_gone"), same, "left_anti")
     repeated = marked.where("not _gone")
     if repeated.isEmpty():
-        return left
+        return keep(left, "near_copies")
     again = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(repeated, same, "left_anti").unionByName(again)
+    return keep(left.join(repeated, same, "left_anti").unionByName(again), "near_copies")
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,12 +58,13 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         new["n_chars"] = F.when(F.col("n_hit") > 0, F.length("clean")).otherwise(F.col("row.n_chars")).cast(
             docs.schema["n_chars"].dataType
         )
-    return rest.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
+    with small_batches(spark):
+        return keep(rest.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns)), "leaks")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose tokens meet the raked shares of source, language and topic."""
-    return mix(docs).where("kept").select("row.*")
+    return keep(mix(docs).where("kept").select("row.*"), "mixture")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,6 +80,6 @@ ORACLE_SQL = None  # trained model and tokenizer: see tests/llm/test_pipeline.py
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = keep(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for _, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+    return docs

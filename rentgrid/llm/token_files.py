@@ -36,12 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import keep, new_folder
+from .shared import keep, new_folder, small_batches
 from .texts import _LOWER, buffers, chunks, gathered, give_back_memory
 
 LENGTH = 1024
 BATCH = 64
 CACHED_WORDS = 200_000
+KEPT_WORDS = 50_000  # of them between tasks
 ENCODED_AT_ONCE = 1024
 
 # 0 white space, 1 ASCII letters and digits, 2 ASCII punctuation but the apostrophe, 3 the rest
@@ -97,11 +98,11 @@ class TextEncoder:
         letters.pre_tokenizer = WhitespaceSplit()
         return letters if letters.encode(",", add_special_tokens=False).ids == [self.comma] else None
 
-    def _forget(self):
-        """Keep the pieces that came again since the last time, the most frequent half at most."""
+    def _forget(self, most: int):
+        """Keep the pieces that came again since the last time, the ``most`` most frequent at most."""
         k = len(self.known)
         seen = self.seen[:k]
-        least = max(1, int(np.partition(seen, k // 2)[k // 2]))
+        least = max(1, int(np.partition(seen, k - most)[k - most]))
         kept = seen > least
         self.known = {piece: i for i, piece in enumerate(p for p, keep in zip(self.known, kept.tolist()) if keep)}
         at, n = self.at[:k][kept], self.n[:k][kept]
@@ -133,6 +134,11 @@ class TextEncoder:
         """The same of words of small ASCII letters."""
         return self._together(words, self.letters)
 
+    def rest(self):
+        """Between tasks: what the cache holds beyond KEPT_WORDS would stay in the worker's memory."""
+        if len(self.known) > KEPT_WORDS:
+            self._forget(KEPT_WORDS)
+
     @staticmethod
     def _put(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
         """``array`` with ``values`` from ``at`` on; room grows by doubling."""
@@ -143,7 +149,7 @@ class TextEncoder:
 
     def _numbers(self, pieces: list[bytes]) -> np.ndarray:
         if len(self.known) > CACHED_WORDS:
-            self._forget()
+            self._forget(len(self.known) // 2)
         at = np.fromiter(map(self.known.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
@@ -194,9 +200,10 @@ class TextEncoder:
             places = np.cumsum(solid, dtype=np.int32 if len(raw) < 1 << 31 else np.int64)
             joined = raw[solid]
             ends = np.r_[places[at] - 1, len(joined)].astype(np.int32)
-            del places
+            del raw, kind, before, start, solid, places
             pieces = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(joined)])
             coded = pieces.dictionary_encode()
+            del pieces, joined, ends
             number = self._numbers(coded.dictionary.to_pylist())
             number = number[coded.indices.to_numpy()] if len(at) else np.zeros(0, dtype=np.int64)
             n = self.n[number].astype(np.int64)
@@ -326,15 +333,18 @@ def write_token_files(
             for ids, lengths in encoder.encode(batch.column(1)):
                 writer.add(ids, lengths, batch.column(0).slice(at, len(lengths)))
                 at += len(lengths)
+            give_back_memory()
         if writer is not None:
             writer.close()
+            encoder.rest()
             give_back_memory()
             yield pa.RecordBatch.from_pylist(
                 [{"part": TaskContext.get().partitionId(), "path": writer.path, "n_docs": writer.n_docs, "n_tokens": writer.n_tokens}],
                 schema=pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]),
             )
 
-    manifest = keep(ordered.mapInArrow(task, "part int, path string, n_docs long, n_tokens long"), "shards")
+    with small_batches(spark):
+        manifest = keep(ordered.mapInArrow(task, "part int, path string, n_docs long, n_tokens long"), "shards")
     order = Window.orderBy("part")  # one row per shard
     return manifest.select(
         (F.row_number().over(order) - 1).alias("shard"), "path", "n_docs", "n_tokens",

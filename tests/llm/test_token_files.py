@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from rentgrid.llm import token_files as tf
 from rentgrid.llm.queries import tokenizer_path
+from rentgrid.llm.shared import BATCH_BYTES, BATCH_SETTING, small_batches
 
 PATH = tokenizer_path()
 
@@ -97,3 +98,34 @@ def test_words_that_come_again_outlive_a_full_cache(tokenizer, monkeypatch):
         assert own.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [2]
     assert encoder.letters is not None and len(encoder.known) <= 120
     assert asked.count(b"often") == 1
+
+
+def test_texts_reach_tasks_in_small_batches(spark, documents, monkeypatch):
+    """Whole texts came 10,000 rows at a time, whatever their bytes."""
+    held, keep, before = [], tf.keep, spark.conf.get(BATCH_SETTING)
+    monkeypatch.setattr(tf, "keep", lambda df, label: held.append(spark.conf.get(BATCH_SETTING)) or keep(df, label))
+    tf.write_token_files(documents, PATH, 2)
+    assert held == [str(BATCH_BYTES)] and spark.conf.get(BATCH_SETTING) == before
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pylist([{"n": batch.num_rows, "size": batch.nbytes}])
+
+    long = spark.range(4000, numPartitions=1).selectExpr("repeat('word ', 1000) as text")
+    with small_batches(spark):
+        rows = long.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in rows) == 4000 and max(r.size for r in rows) < 2 * BATCH_BYTES
+
+
+def test_a_resting_encoder_keeps_few_words(tokenizer, monkeypatch):
+    """Between tasks only frequent words stay, and the next task's ids are the same."""
+    monkeypatch.setattr(tf, "KEPT_WORDS", 20)
+    monkeypatch.setattr(tf, "chunks", lambda offsets: ((i, i + 1) for i in range(len(offsets) - 1)))
+    encoder = tf.TextEncoder(open(PATH, encoding="utf-8").read(), 2)
+    for task in range(3):
+        texts = [f"often again {task} a{k}x b{k} c{k}, " + "twice " * (k % 2) for k in range(60)]
+        ids, _ = zip(*encoder.encode(pa.array(texts)))
+        assert [x.tolist() for x in ids] == [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+        encoder.rest()
+        assert len(encoder.known) <= 20 and b"often" in encoder.known
+        assert len(encoder.at) == len(encoder.known) and encoder.used <= len(encoder.ids)
