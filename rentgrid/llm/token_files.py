@@ -27,6 +27,7 @@ import os
 import re
 import uuid
 import zlib
+from functools import partial
 from itertools import repeat
 
 import numpy as np
@@ -36,14 +37,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import texts
 from .shared import keep, new_folder, small_batches
-from .texts import _LOWER, buffers, chunks, gathered, give_back_memory
+from .texts import _LOWER, buffers, gathered, give_back_memory
 
 LENGTH = 1024
 BATCH = 64
 CACHED_WORDS = 200_000
 KEPT_WORDS = 50_000  # of them between tasks
 ENCODED_AT_ONCE = 1024
+chunks = partial(texts.chunks, limit=1 << 20)  # bytes of texts cut at a time
 
 # 0 white space, 1 ASCII letters and digits, 2 ASCII punctuation but the apostrophe, 3 the rest
 _KIND = np.full(256, 3, dtype=np.uint8)
